@@ -122,3 +122,59 @@ ORACLE["clean_trips"] = with_ctes("clean") + (
 ORACLE["reject_counts"] = with_ctes("parsed") + (
     f"select rule, count(*) as n from (select {FIRST_FAILED} as rule from parsed) group by rule")
 ORACLE["trip_features"] = with_ctes("trips") + "select * from trips"
+
+
+# -- sampling, statistics, segments ------------------------------------------
+def half_up2(x: str) -> str:
+    return f"cast(round(cast(cast({x} as varchar) as decimal(38,20)), 2) as double)"
+
+
+_zs = ", ".join(f"case when s_{c} > 0 then ({c} - m_{c}) / s_{c} else 0 end as {c}" for c in FEATURES)
+register("fstats", "select " + ", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in FEATURES)
+         + " from train", ["train"])
+register("z", f"select trip_id, {_zs} from train, fstats", ["train", "fstats"])
+register("rates", "select trip_id, (fare + surcharge + tip) / distance as driver_rate, "
+                  "(fare + surcharge + toll) / distance as passenger_rate from train", ["train"])
+register("thr", "select " + ", ".join(
+    f"{half_up2(f'quantile_disc({col}, {q})')} as {pre}{int(q * 100)}"
+    for pre, col in (("d", "driver_rate"), ("p", "passenger_rate")) for q in (0.75, 0.5, 0.25)) + " from rates",
+    ["rates"])
+register("labels", "select trip_id, "
+                   "case when driver_rate >= d75 then 'D2' when driver_rate >= d25 then 'D1' else 'D0' end as d_label, "
+                   "case when passenger_rate >= p75 then 'P2' when passenger_rate >= p25 then 'P1' else 'P0' end "
+                   "as p_label from rates, thr", ["rates", "thr"])
+
+_fmt = " || ', ' || ".join(
+    f"cast({c} as varchar)" if c in ("weekday", "hour") else f"cast(cast({c} as decimal(18,6)) as varchar)"
+    for c in FEATURES + FARES)
+_parse = ", ".join(
+    (f"cast(try_cast(p[{i + 1}] as double) as integer) as {c}" if c in ("weekday", "hour")
+     else f"{num(f'p[{i + 1}]')} as {c}") for i, c in enumerate(FEATURES + FARES))
+ORACLE["training_text_parse"] = with_ctes("train", extra=[
+    ("txt", f"select trip_id, '(' || {_fmt} || ')' as line from train"),
+    ("sp2", "select trip_id, string_split(substr(line, 2, length(line) - 2), ', ') as p from txt"),
+]) + f"select trip_id, {_parse} from sp2"
+ORACLE["sample_trips"] = with_ctes("trips") + (
+    f"select * from trips order by {md5_key()}, trip_id limit {SAMPLE_ROWS}")
+ORACLE["trip_index"] = with_ctes("trips") + (
+    "select row_number() over (order by trip_id) - 1 as idx, trip_id from trips")
+ORACLE["feature_stats"] = with_ctes("train") + " union all ".join(
+    f"select '{c}' as feature, count(*) as n, {r6(f'avg({c})')} as mean, {r6(f'var_pop({c})')} as var, "
+    f"{r6(f'stddev_pop({c})')} as std from train" for c in FEATURES)
+ORACLE["feature_var_as_written"] = with_ctes("train") + " union all ".join(
+    f"select '{c}' as feature, {r6(f'var_pop({FEATURES[0]}) + (avg({FEATURES[0]}) - avg({c})) * (avg({FEATURES[0]}) - avg({c}))')} as var from train"
+    for c in FEATURES)
+ORACLE["scaled_features"] = with_ctes("z") + "select trip_id, " + ", ".join(
+    f"{r6(c)} as {c}" for c in FEATURES) + " from z"
+ORACLE["fare_per_mile"] = with_ctes("rates") + (
+    f"select trip_id, {r6('driver_rate')} as driver_rate, {r6('passenger_rate')} as passenger_rate from rates")
+ORACLE["fare_quantiles"] = with_ctes("thr") + (
+    "select 'driver' as rate, d75 as q75, d50 as q50, d25 as q25 from thr union all "
+    "select 'passenger', p75, p50, p25 from thr")
+ORACLE["trip_labels"] = with_ctes("labels") + "select trip_id, d_label, p_label from labels"
+ORACLE["label_onehot"] = with_ctes("labels") + "select trip_id, " + ", ".join(
+    f"cast({col} = '{pre.upper()}{lv}' as integer) as {pre}{lv}"
+    for pre, col in (("d", "d_label"), ("p", "p_label")) for lv in (2, 1, 0)) + " from labels"
+ORACLE["attach_labels"] = with_ctes("labels") + (
+    "select t.trip_id, l.d_label, l.p_label, " + ", ".join(f"t.{c}" for c in FARES)
+    + " from train t left join labels l using (trip_id)")

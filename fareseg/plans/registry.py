@@ -80,3 +80,88 @@ def q_reject_counts(spark, sf_dir):
 @query("trip_features")
 def q_trip_features(spark, sf_dir):
     return load_trips(spark, sf_dir)
+
+
+# -- sampling, statistics, segments ------------------------------------------
+from fareseg.functions.numeric import rounded  # noqa: E402
+from fareseg.operators import sampling as S  # noqa: E402
+from fareseg.operators import segments as G  # noqa: E402
+from fareseg.operators import stats as ST  # noqa: E402
+from fareseg.schema import FARES, FEATURES, TRAIN_ROWS  # noqa: E402
+from fareseg.sources import text as TX  # noqa: E402
+
+
+def load_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training sample: the reference's 200,000-row exact sample."""
+    return S.sample_exact(load_trips(spark, sf_dir), TRAIN_ROWS, SEED)
+
+
+def r6(cols):
+    return [rounded(c).alias(c) for c in cols]
+
+
+@query("training_text_parse")
+def q_training_text_parse(spark, sf_dir):
+    text = TX.format_training_text(load_train(spark, sf_dir))
+    return TX.parse_training_text(text, "line")
+
+
+@query("sample_trips")
+def q_sample_trips(spark, sf_dir):
+    return S.sample_exact(load_trips(spark, sf_dir), SAMPLE_ROWS, SEED)
+
+
+@query("trip_index")
+def q_trip_index(spark, sf_dir):
+    return S.with_index(load_trips(spark, sf_dir).select("trip_id"), "trip_id").select("idx", "trip_id")
+
+
+@query("feature_stats")
+def q_feature_stats(spark, sf_dir):
+    return ST.feature_stats(load_train(spark, sf_dir)).select("feature", "n", *r6(["mean", "var", "std"]))
+
+
+@query("feature_var_as_written")
+def q_feature_var_as_written(spark, sf_dir):
+    return ST.feature_var_as_written(load_train(spark, sf_dir)).select("feature", *r6(["var"]))
+
+
+@query("scaled_features")
+def q_scaled_features(spark, sf_dir):
+    return ST.scaled_features(load_train(spark, sf_dir)).select("trip_id", *r6(FEATURES))
+
+
+@query("fare_per_mile")
+def q_fare_per_mile(spark, sf_dir):
+    return G.fare_per_mile(load_train(spark, sf_dir)).select("trip_id", *r6(["driver_rate", "passenger_rate"]))
+
+
+@query("fare_quantiles")
+def q_fare_quantiles(spark, sf_dir):
+    train = load_train(spark, sf_dir)
+    return G.thresholds_frame(train, G.fare_thresholds(train))
+
+
+def labelled_train(spark, sf_dir):
+    train = load_train(spark, sf_dir)
+    return train, G.fare_thresholds(train)
+
+
+@query("trip_labels")
+def q_trip_labels(spark, sf_dir):
+    train, th = labelled_train(spark, sf_dir)
+    return G.trip_labels(train, th)
+
+
+@query("label_onehot")
+def q_label_onehot(spark, sf_dir):
+    train, th = labelled_train(spark, sf_dir)
+    return G.label_onehot(G.trip_labels(train, th))
+
+
+@query("attach_labels")
+def q_attach_labels(spark, sf_dir):
+    train, th = labelled_train(spark, sf_dir)
+    labels = G.trip_labels(train, th)
+    return G.attach_labels(train.select("trip_id", *FARES), labels).select(
+        "trip_id", "d_label", "p_label", *FARES)

@@ -178,3 +178,90 @@ ORACLE["label_onehot"] = with_ctes("labels") + "select trip_id, " + ", ".join(
 ORACLE["attach_labels"] = with_ctes("labels") + (
     "select t.trip_id, l.d_label, l.p_label, " + ", ".join(f"t.{c}" for c in FARES)
     + " from train t left join labels l using (trip_id)")
+
+
+# -- k-means (unrolled rounds) -----------------------------------------------
+KMEANS_K = 5
+KMEANS_ROUNDS = 200
+
+
+def _d2(a: str, b: str, cols=FEATURES) -> str:
+    return " + ".join(f"(({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c}))" for c in cols)
+
+
+def kmeans_ctes(k: int = KMEANS_K, rounds: int = KMEANS_ROUNDS, src: str = "z", cols=FEATURES,
+                prefix: str = "km") -> list[tuple[str, str]]:
+    """c0 = seeds; a{t} = assign(c{t-1}); c{t} = means over a{t} (empty -> keep)."""
+    fl = ", ".join(cols)
+    out = [(f"{prefix}_c0", f"materialized (select cast(row_number() over (order by {md5_key()}, trip_id) - 1 as integer) "
+                            f"as cluster, {fl} from (select * from {src} order by {md5_key()}, trip_id limit {k}))")]
+    for t in range(1, rounds + 2):
+        out.append((f"{prefix}_a{t}",
+                    f"materialized (select trip_id, cluster, d2 from (select p.trip_id, c.cluster, {_d2('p', 'c', cols)} as d2, "
+                    f"row_number() over (partition by p.trip_id order by {_d2('p', 'c', cols)}, c.cluster) as rn "
+                    f"from {src} p cross join {prefix}_c{t - 1} c) where rn = 1)"))
+        if t <= rounds:
+            means = ", ".join(f"sum(p.{c}) / count(*) as {c}" for c in cols)
+            keep = ", ".join(f"coalesce(u.{c}, c.{c}) as {c}" for c in cols)
+            out.append((f"{prefix}_c{t}",
+                        f"materialized (select c.cluster, {keep} from {prefix}_c{t - 1} c left join "
+                        f"(select a.cluster, {means} from {src} p join {prefix}_a{t} a using (trip_id) group by a.cluster) u "
+                        f"using (cluster))"))
+    return out
+
+
+def _km(k=KMEANS_K, rounds=KMEANS_ROUNDS):
+    return with_ctes("z", extra=kmeans_ctes(k, rounds))
+
+
+_R = KMEANS_ROUNDS
+_r6cols = ", ".join(f"{r6(c)} as {c}" for c in FEATURES)
+ORACLE["kmeans_seeds"] = with_ctes("z", extra=kmeans_ctes(KMEANS_K, 0)) + f"select cluster, {_r6cols} from km_c0"
+ORACLE["point_centroid_distances"] = with_ctes("z", extra=kmeans_ctes(KMEANS_K, 0)) + (
+    f"select p.trip_id, c.cluster, {r6(f'sqrt({_d2(chr(112), chr(99))})')} as distance from z p cross join km_c0 c")
+ORACLE["kmeans_update"] = with_ctes("z", extra=kmeans_ctes(KMEANS_K, 1)) + (
+    f"select c.cluster, cast(coalesce(m.n, 0) as bigint) as n, " + ", ".join(f"{r6('c.' + c)} as {c}" for c in FEATURES)
+    + " from km_c1 c left join (select cluster, count(*) as n from km_a1 group by cluster) m using (cluster)")
+ORACLE["kmeans_fit"] = _km() + (
+    f"select c.cluster, cast(coalesce(m.n, 0) as bigint) as n, " + ", ".join(f"{r6('c.' + c)} as {c}" for c in FEATURES)
+    + f" from km_c{_R} c left join (select cluster, count(*) as n from km_a{_R + 1} group by cluster) m using (cluster)")
+ORACLE["kmeans_assign"] = _km() + f"select trip_id, cluster from km_a{_R + 1}"
+_re = " union all ".join(
+    [f"select 1 as round, count(*) as n from km_a1"]
+    + [f"select {t} as round, count_if(x.cluster <> y.cluster) as n from km_a{t + 1} x join km_a{t} y using (trip_id)"
+       for t in range(2, _R + 1)])
+ORACLE["kmeans_reassigned"] = _km() + (
+    f", re as ({_re}) select cast(round as integer) as round, cast(n as bigint) as n from re "
+    "where round <= coalesce((select min(round) from re where n = 0), 1000000)")
+ORACLE["kmeans_cost"] = _km() + (
+    f"select {r6('sum(sqrt(d2))')} as sum_distance, {r6('sum(d2)')} as wssse from km_a{_R + 1}")
+ORACLE["silhouette"] = _km() + f""", st as (select a.cluster, count(*) as n, {", ".join(f"sum(p.{c}) as s_{c}" for c in FEATURES)},
+  sum({" + ".join(f"(p.{c} * p.{c})" for c in FEATURES)}) as q from z p join km_a{_R + 1} a using (trip_id) group by a.cluster),
+pt as (select p.trip_id, a.cluster as own, {" + ".join(f"(p.{c} * p.{c})" for c in FEATURES)} as xx, {", ".join(f"p.{c}" for c in FEATURES)}
+  from z p join km_a{_R + 1} a using (trip_id)),
+av as (select pt.trip_id, pt.own, st.cluster, st.n, ((pt.xx + st.q / st.n) - (2.0 * ({" + ".join(f"(pt.{c} * st.s_{c})" for c in FEATURES)})) / st.n) as avg_d
+  from pt cross join st),
+ab as (select trip_id, max(case when cluster = own then avg_d * n / (n - 1.0) end) as a, max(case when cluster = own then n end) as n_own,
+  min(case when cluster <> own then avg_d end) as b from av group by trip_id)
+select {r6("avg(case when n_own = 1 then 0.0 when a < b then 1.0 - a / b when a > b then b / a - 1.0 else 0.0 end)")} as silhouette from ab"""
+
+
+_kmj = with_ctes("z", "labels", extra=kmeans_ctes(KMEANS_K, KMEANS_ROUNDS) + [
+    ("ka", f"select t.*, l.d_label, l.p_label, a.cluster from train t join km_a{_R + 1} a using (trip_id) "
+           "join labels l using (trip_id)")])
+ORACLE["cluster_centroids"] = _kmj + "select cluster, " + ", ".join(f"{r6(f'avg({c})')} as {c}" for c in FEATURES) + (
+    " from ka group by cluster")
+
+
+def summary_sql(src: str, key: str) -> str:
+    hot = ", ".join(f"{r6(f'avg(cast({col} = {chr(39)}{pre.upper()}{lv}{chr(39)} as integer))')} as {pre}{lv}"
+                    for pre, col in (("d", "d_label"), ("p", "p_label")) for lv in (2, 1, 0))
+    fares = ", ".join(f"{r6(f'avg({c})')} as {c}" for c in FARES)
+    return f"select {key}, count(*) as n, {hot}, {fares} from {src} group by {key}"
+
+
+ORACLE["cluster_summary"] = _kmj + summary_sql("ka", "cluster")
+_pairs = [(a, b) for i, a in enumerate(FEATURES) for b in FEATURES[i:]]
+ORACLE["cluster_covariance"] = _kmj + " union all ".join(
+    f"select cluster, '{a}' as a, '{b}' as b, {r6(f'covar_pop({a}, {b})')} as cov from ka group by cluster"
+    for a, b in _pairs)

@@ -165,3 +165,85 @@ def q_attach_labels(spark, sf_dir):
     labels = G.trip_labels(train, th)
     return G.attach_labels(train.select("trip_id", *FARES), labels).select(
         "trip_id", "d_label", "p_label", *FARES)
+
+
+# -- k-means -----------------------------------------------------------------
+import numpy as np  # noqa: E402
+
+from fareseg.operators import kmeans as K  # noqa: E402
+from fareseg.plans import models as M  # noqa: E402
+from fareseg.schema import DEFAULT_K  # noqa: E402
+
+
+def _centroid_rows(spark, centroids, counts=None):
+    df = K.centroids_frame(spark, centroids, FEATURES, counts)
+    lead = ["cluster"] + (["n"] if counts is not None else [])
+    return df.select(*lead, *r6(FEATURES))
+
+
+@query("kmeans_seeds")
+def q_kmeans_seeds(spark, sf_dir):
+    return _centroid_rows(spark, M.seeds(spark, sf_dir))
+
+
+@query("point_centroid_distances")
+def q_point_centroid_distances(spark, sf_dir):
+    d = K.point_centroid_distances(M.scaled(spark, sf_dir), FEATURES, M.seeds(spark, sf_dir))
+    return d.select("trip_id", "cluster", rounded("distance").alias("distance"))
+
+
+@query("kmeans_update")
+def q_kmeans_update(spark, sf_dir):
+    c1, st = K.kmeans_update(M.scaled(spark, sf_dir), FEATURES, M.seeds(spark, sf_dir))
+    return _centroid_rows(spark, c1, st.n)
+
+
+@query("kmeans_fit")
+def q_kmeans_fit(spark, sf_dir):
+    m = M.kmeans(spark, sf_dir)
+    return _centroid_rows(spark, m.centroids, m.stats.n)
+
+
+@query("kmeans_assign")
+def q_kmeans_assign(spark, sf_dir):
+    return K.assign(M.scaled(spark, sf_dir), FEATURES, M.kmeans(spark, sf_dir).centroids)
+
+
+@query("kmeans_reassigned")
+def q_kmeans_reassigned(spark, sf_dir):
+    m = M.kmeans(spark, sf_dir)
+    return spark.createDataFrame([(i + 1, int(n)) for i, n in enumerate(m.reassigned)], "round int, n long")
+
+
+@query("kmeans_cost")
+def q_kmeans_cost(spark, sf_dir):
+    m = M.kmeans(spark, sf_dir)
+    return spark.createDataFrame([(float(m.sum_distance), float(m.wssse))], "sum_distance double, wssse double").select(
+        *r6(["sum_distance", "wssse"]))
+
+
+@query("silhouette")
+def q_silhouette(spark, sf_dir):
+    m = M.kmeans(spark, sf_dir)
+    s = K.model_silhouette(M.scaled(spark, sf_dir), m)
+    return spark.createDataFrame([(s,)], "silhouette double").select(*r6(["silhouette"]))
+
+
+@query("cluster_centroids")
+def q_cluster_centroids(spark, sf_dir):
+    return K.cluster_means(M.kmeans_labelled(spark, sf_dir), "cluster", FEATURES).select("cluster", *r6(FEATURES))
+
+
+SUMMARY_COLS = ["d2", "d1", "d0", "p2", "p1", "p0"] + FARES
+
+
+@query("cluster_summary")
+def q_cluster_summary(spark, sf_dir):
+    s = G.segment_summary(M.kmeans_labelled(spark, sf_dir), "cluster")
+    return s.select("cluster", "n", *r6(SUMMARY_COLS))
+
+
+@query("cluster_covariance")
+def q_cluster_covariance(spark, sf_dir):
+    cov = M.covariance_long(M.kmeans_labelled(spark, sf_dir), "cluster")
+    return cov.select("cluster", "a", "b", *r6(["cov"]))

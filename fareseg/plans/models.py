@@ -96,3 +96,28 @@ def covariance_long(df: DataFrame, key: str, cols=FEATURES) -> DataFrame:
 
 __all__ = ["FARES", "FEATURES", "clustered", "covariance_long", "feature_stats", "kmeans", "kmeans_labelled",
            "labelled", "memo", "scaled", "seeds", "thresholds", "train", "trips"]
+
+
+GMM_MAX_ITER = 500
+
+
+def gmm_init(spark, sf_dir, k: int = DEFAULT_K):
+    from fareseg.operators import mixture as X
+
+    def run():
+        st = feature_stats(spark, sf_dir)
+        center = np.array([st.mean[c] for c in FEATURES])
+        return X.init_from_clusters(kmeans_labelled(spark, sf_dir, k), FEATURES, "cluster", k, center)
+    return memo(("gmm_init", sf_dir, k), run)
+
+
+def gmm(spark, sf_dir, k: int = DEFAULT_K, em_schedule: str = "two_phase"):
+    """(final model, lagged model) of EM seeded from the k-means clusters."""
+    from fareseg.operators import mixture as X
+
+    def run():
+        st = feature_stats(spark, sf_dir)
+        center = np.array([st.mean[c] for c in FEATURES])
+        return X.gmm_fit(train(spark, sf_dir), FEATURES, gmm_init(spark, sf_dir, k), max_iter=GMM_MAX_ITER,
+                         em_schedule=em_schedule, center=center)
+    return memo(("gmm", sf_dir, k, em_schedule), run)

@@ -265,3 +265,70 @@ _pairs = [(a, b) for i, a in enumerate(FEATURES) for b in FEATURES[i:]]
 ORACLE["cluster_covariance"] = _kmj + " union all ".join(
     f"select cluster, '{a}' as a, '{b}' as b, {r6(f'covar_pop({a}, {b})')} as cov from ka group by cluster"
     for a, b in _pairs)
+
+
+# -- Gaussian mixture ------------------------------------------------------------
+import math as _math  # noqa: E402
+
+from fareseg.operators.mixture import LOG_2PI, prepare  # noqa: E402
+from fareseg.plans.fixed_model import fixed_mixture  # noqa: E402
+
+
+def dlit(v: float) -> str:
+    return f"'{float(v)!r}'::double"
+
+
+def _fixed_density_ctes() -> list[tuple[str, str]]:
+    fm = fixed_mixture()
+    gs = [prepare(fm.mu[j], fm.sigma[j]) for j in range(fm.k)]
+    proj = []
+    for j, g in enumerate(gs):
+        for i in range(g.rank):
+            proj.append(" + ".join(f"(({c} - {dlit(g.mu[a])}) * {dlit(g.proj[a, i])})" for a, c in enumerate(FEATURES))
+                        + f" as z{j}_{i}")
+    ld = [f"(-0.5 * ({dlit(g.rank * LOG_2PI + g.log_pdet)} + ("
+          + " + ".join(f"(z{j}_{i} * z{j}_{i})" for i in range(g.rank)) + f"))) as ld{j}" for j, g in enumerate(gs)]
+    k = fm.k
+    lw = ", ".join(f"ld{j} + {dlit(_math.log(fm.phi[j]))} as l{j}" for j in range(k))
+    return [
+        ("gz", f"select trip_id, {', '.join(FEATURES)}, {', '.join(proj)} from train"),
+        ("gd", f"select trip_id, {', '.join(FEATURES)}, {', '.join(ld)} from gz"),
+        ("gl", f"select *, {lw} from gd"),
+        ("gm", f"select *, greatest({', '.join(f'l{j}' for j in range(k))}) as m from gl"),
+        ("ge", f"select *, {', '.join(f'exp(l{j} - m) as e{j}' for j in range(k))} from gm"),
+        ("gr", f"select *, {', '.join(f'e{j} / (' + ' + '.join(f'e{i}' for i in range(k)) + f') as r{j}' for j in range(k))} from ge"),
+    ]
+
+
+_GK = fixed_mixture().k
+_gmm = with_ctes("train", extra=_fixed_density_ctes())
+ORACLE["gmm_density"] = _gmm + " union all ".join(
+    f"select trip_id, {j} as component, {r6(f'ld{j}')} as log_density from gd" for j in range(_GK))
+ORACLE["gmm_e_step"] = _gmm + " union all ".join(
+    f"select trip_id, {j} as component, {r6(f'r{j}')} as r from gr" for j in range(_GK))
+ORACLE["join_features_resp"] = _gmm + ", rl as (" + " union all ".join(
+    f"select trip_id, {j} as component, {r6(f'r{j}')} as r from gr" for j in range(_GK)) + (
+    ") select t.trip_id, rl.component, rl.r, " + ", ".join(f"t.{c}" for c in FEATURES)
+    + " from train t join rl using (trip_id)")
+ORACLE["gmm_phi_update"] = _gmm + " union all ".join(
+    f"select {j} as component, {r6(f'avg(r{j})')} as phi from gr" for j in range(_GK))
+ORACLE["gmm_predict"] = _gmm + "select trip_id, cast(case " + " ".join(
+    f"when l{j} = m then {j}" for j in range(_GK)) + " end as integer) as component from gm"
+_wm = ", wm as (" + " union all ".join(
+    f"select {j} as component, sum(r{j}) as weight, " + ", ".join(f"sum(r{j} * {c}) / sum(r{j}) as {c}" for c in FEATURES)
+    + " from gr" for j in range(_GK)) + ")"
+ORACLE["gmm_m_step_mu"] = _gmm + _wm + " select component, " + r6("weight") + " as weight, " + ", ".join(
+    f"{r6(c)} as {c}" for c in FEATURES) + " from wm"
+ORACLE["gmm_m_step_sigma"] = _gmm + _wm + " " + " union all ".join(
+    f"select {j} as component, '{a}' as a, '{b}' as b, "
+    f"{r6(f'sum(gr.r{j} * (gr.{a} - wm.{a}) * (gr.{b} - wm.{b})) / sum(gr.r{j})')} as cov "
+    f"from gr, wm where wm.component = {j}"
+    for j in range(_GK) for i, a in enumerate(FEATURES) for b in FEATURES[i:])
+ORACLE["gmm_sigma_as_written"] = _gmm + _wm + " " + " union all ".join(
+    f"select {j} as component, '{a}' as a, '{b}' as b, "
+    f"{r6(f'sum(gr.r{j} * (gr.{FEATURES[j]} - wm.{FEATURES[j]}) * (gr.{FEATURES[j]} - wm.{FEATURES[j]})) / sum(gr.r{j}) + (min(wm.{FEATURES[j]}) - min(wm.{a})) * (min(wm.{FEATURES[j]}) - min(wm.{b}))')} as cov "
+    f"from gr, wm where wm.component = {j}"
+    for j in range(_GK) for i, a in enumerate(FEATURES) for b in FEATURES[i:])
+ORACLE["gmm_init"] = _kmj + (
+    "select cast(cluster as integer) as component, " + r6("count(*) / (select count(*) from ka)") + " as phi, "
+    + ", ".join(f"{r6(f'avg({c})')} as {c}" for c in FEATURES) + " from ka group by cluster")

@@ -247,3 +247,112 @@ def q_cluster_summary(spark, sf_dir):
 def q_cluster_covariance(spark, sf_dir):
     cov = M.covariance_long(M.kmeans_labelled(spark, sf_dir), "cluster")
     return cov.select("cluster", "a", "b", *r6(["cov"]))
+
+
+# -- Gaussian mixture ----------------------------------------------------------
+from fareseg.operators import mixture as X  # noqa: E402
+from fareseg.plans.fixed_model import fixed_mixture  # noqa: E402
+
+
+def _long(df, k, value, name):
+    """(trip_id, component, value) from wide per-component columns."""
+    rows = ", ".join(f"struct({j} as component, {value.format(j=j)} as {name})" for j in range(k))
+    return df.selectExpr("trip_id", f"inline(array({rows}))").select(
+        "trip_id", "component", rounded(name).alias(name))
+
+
+def _fixed_resp(spark, sf_dir):
+    return X.responsibilities(M.train(spark, sf_dir), FEATURES, fixed_mixture(), keep=("trip_id",))
+
+
+@query("gmm_init")
+def q_gmm_init(spark, sf_dir):
+    m = M.gmm_init(spark, sf_dir)
+    rows = [(j, float(m.phi[j]), *[float(v) for v in m.mu[j]]) for j in range(m.k)]
+    df = spark.createDataFrame(rows, "component int, phi double, " + ", ".join(f"{c} double" for c in FEATURES))
+    return df.select("component", *r6(["phi"] + FEATURES))
+
+
+@query("gmm_density")
+def q_gmm_density(spark, sf_dir):
+    fm = fixed_mixture()
+    d = X.log_density(M.train(spark, sf_dir), FEATURES, fm, keep=("trip_id",))
+    return _long(d, fm.k, "_ld{j}", "log_density")
+
+
+@query("gmm_e_step")
+def q_gmm_e_step(spark, sf_dir):
+    return _long(_fixed_resp(spark, sf_dir), fixed_mixture().k, "_r{j}", "r")
+
+
+@query("join_features_resp")
+def q_join_features_resp(spark, sf_dir):
+    resp = _long(_fixed_resp(spark, sf_dir), fixed_mixture().k, "_r{j}", "r")
+    feats = M.train(spark, sf_dir).select("trip_id", *FEATURES)
+    return feats.join(resp, "trip_id", "inner").select("trip_id", "component", "r", *FEATURES)
+
+
+def _fixed_moments(spark, sf_dir):
+    fm = fixed_mixture()
+    st = M.feature_stats(spark, sf_dir)
+    center = np.array([st.mean[c] for c in FEATURES])
+    W, S, Q = X.weighted_moments(_fixed_resp(spark, sf_dir), FEATURES, [f"_r{j}" for j in range(fm.k)], center)
+    return fm, W, S, Q, center
+
+
+@query("gmm_phi_update")
+def q_gmm_phi_update(spark, sf_dir):
+    fm = fixed_mixture()
+    r = _fixed_resp(spark, sf_dir)
+    rows = ", ".join(f"struct({j} as component, _r{j} as r)" for j in range(fm.k))
+    return (r.selectExpr(f"inline(array({rows}))").groupBy("component").agg(F.avg("r").alias("phi"))
+            .select("component", rounded("phi").alias("phi")))
+
+
+@query("gmm_m_step_mu")
+def q_gmm_m_step_mu(spark, sf_dir):
+    fm, W, S, Q, center = _fixed_moments(spark, sf_dir)
+    mu, _ = X.moments_to_params(W, S, Q, center)
+    rows = [(j, float(W[j]), *[float(v) for v in mu[j]]) for j in range(fm.k)]
+    df = spark.createDataFrame(rows, "component int, weight double, " + ", ".join(f"{c} double" for c in FEATURES))
+    return df.select("component", *r6(["weight"] + FEATURES))
+
+
+def _sigma_long(spark, sigma):
+    rows = [(j, FEATURES[a], FEATURES[b], float(sigma[j, a, b]))
+            for j in range(sigma.shape[0]) for a in range(len(FEATURES)) for b in range(a, len(FEATURES))]
+    return spark.createDataFrame(rows, "component int, a string, b string, cov double").select(
+        "component", "a", "b", rounded("cov").alias("cov"))
+
+
+@query("gmm_m_step_sigma")
+def q_gmm_m_step_sigma(spark, sf_dir):
+    fm, W, S, Q, center = _fixed_moments(spark, sf_dir)
+    return _sigma_long(spark, X.moments_to_params(W, S, Q, center)[1])
+
+
+@query("gmm_sigma_as_written")
+def q_gmm_sigma_as_written(spark, sf_dir):
+    fm, W, S, Q, center = _fixed_moments(spark, sf_dir)
+    return _sigma_long(spark, X.sigma_as_written(W, S, Q, center))
+
+
+@query("gmm_predict")
+def q_gmm_predict(spark, sf_dir):
+    return X.predict(M.train(spark, sf_dir), FEATURES, fixed_mixture(), keep=("trip_id",))
+
+
+@query("gmm_fit")
+def q_gmm_fit(spark, sf_dir):
+    m, _ = M.gmm(spark, sf_dir)
+    rows = [(j, float(m.phi[j]), *[float(v) for v in m.mu[j]]) for j in range(m.k)]
+    df = spark.createDataFrame(rows, "component int, phi double, " + ", ".join(f"{c} double" for c in FEATURES))
+    return df.select("component", *r6(["phi"] + FEATURES))
+
+
+@query("gmm_component_summary")
+def q_gmm_component_summary(spark, sf_dir):
+    m, _ = M.gmm(spark, sf_dir)
+    lab = M.labelled(spark, sf_dir)
+    comp = X.predict(lab, FEATURES, m, keep=lab.columns)
+    return G.segment_summary(comp, "component").select("component", "n", *r6(SUMMARY_COLS))

@@ -195,7 +195,7 @@ def silhouette_from_stats(df: DataFrame, cols, pred: str, n: np.ndarray, sums: n
     own = "case " + " ".join(f"when _pred = {j} then _a{j}" for j in live) + " end"
     n_own = "case " + " ".join(f"when _pred = {j} then {lit(n[j])}" for j in live) + " end"
     other = "least(" + ", ".join(f"case when _pred <> {j} then _a{j} end" for j in live) + ")"
-    step = step.selectExpr(f"({own}) * ({n_own}) / (({n_own}) - 1.0D) as _a", f"{other} as _b", f"{n_own} as _n")
+    step = step.selectExpr(f"({own}) * ({n_own}) / nullif(({n_own}) - 1.0D, 0.0D) as _a", f"{other} as _b", f"{n_own} as _n")
     s = ("case when _n = 1.0D then 0.0D when _a < _b then 1.0D - _a / _b "
          "when _a > _b then _b / _a - 1.0D else 0.0D end")
     return float(step.agg(F.expr(f"avg({s})")).first()[0])
@@ -209,12 +209,12 @@ def silhouette(df: DataFrame, cols, pred: str = "prediction") -> float:
     rows = df.groupBy(pred).agg(*[F.expr(a) for a in aggs]).collect()
     ids = sorted(int(r[pred]) for r in rows)
     k = max(ids) + 1 if ids else 0
-    n, sums, q = np.zeros(k), np.zeros((k, len(cols))), np.zeros(k)
+    n, sums, qn = np.zeros(k), np.zeros((k, len(cols))), np.zeros(k)
     for r in rows:
         j = int(r[pred])
-        n[j], q[j] = r["n"], r["q"]
+        n[j], qn[j] = r["n"], r["q"]
         sums[j] = [r[f"s{i}"] for i in range(len(cols))]
-    return silhouette_from_stats(df, cols, pred, n, sums, q)
+    return silhouette_from_stats(df, cols, pred, n, sums, qn)
 
 
 def model_silhouette(df: DataFrame, model: KMeansModel) -> float:

@@ -121,3 +121,19 @@ def gmm(spark, sf_dir, k: int = DEFAULT_K, em_schedule: str = "two_phase"):
         return X.gmm_fit(train(spark, sf_dir), FEATURES, gmm_init(spark, sf_dir, k), max_iter=GMM_MAX_ITER,
                          em_schedule=em_schedule, center=center)
     return memo(("gmm", sf_dir, k, em_schedule), run)
+
+
+def sweep(spark, sf_dir, ks=None):
+    """Scores of the k sweep (k = 2..20) on the training sample."""
+    from fareseg.operators import sweep as SW
+    from fareseg.schema import SWEEP_KS
+
+    ks = tuple(ks or SWEEP_KS)
+
+    def run():
+        z = scaled(spark, sf_dir)
+        fits = SW.k_sweep(z, FEATURES, ks, SEED)
+        sil = SW.multi_silhouette(z, FEATURES, fits)
+        return [(k, float(f.sum_distance), float(f.wssse), float(sil[k]), f.rounds, f.converged)
+                for k, f in sorted(fits.items())]
+    return memo(("sweep", sf_dir, ks), run)

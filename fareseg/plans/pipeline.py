@@ -1,0 +1,134 @@
+"""End-to-end segmentation: raw trip lines to cluster and component summaries.
+
+The three reference scripts (clean + sample, sweep over k, cluster + mixture)
+as one composition of the operators. Only model-sized results reach the
+driver; the training sample is cut from its lineage with a reliable
+checkpoint in the cluster's checkpoint folder, so a lost executor recomputes
+from the checkpoint, not from the raw scan.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fareseg.operators import kmeans as K
+from fareseg.operators import mixture as X
+from fareseg.operators import sampling as S
+from fareseg.operators import segments as G
+from fareseg.operators import stats as ST
+from fareseg.operators import sweep as SW
+from fareseg.operators.clean import trips_from_raw
+from fareseg.plans.models import clustered
+from fareseg.schema import DEFAULT_K, FEATURES, SWEEP_KS, TRAIN_ROWS
+from fareseg.session import ensure_checkpoint_dir
+
+
+@dataclass
+class SegmentResult:
+    train: DataFrame
+    thresholds: dict
+    stats: ST.FeatureStats
+    kmeans: K.KMeansModel
+    silhouette: float
+    centroids: DataFrame          # cluster, unscaled feature means
+    cluster_summary: DataFrame
+    mixture: X.Mixture | None = None
+    component_summary: DataFrame | None = None
+
+
+def training_sample(raw: DataFrame, n: int = TRAIN_ROWS, seed: int = 42, require: str = "any",
+                    checkpoint: bool = True) -> DataFrame:
+    """Clean, derive features and draw the exact-size sample (checkpointed)."""
+    sample = S.sample_exact(trips_from_raw(raw, require), n, seed)
+    if checkpoint:
+        ensure_checkpoint_dir(raw.sparkSession)
+        sample = sample.checkpoint(eager=True)
+    return sample
+
+
+def scores_frame(spark: SparkSession, fits: dict[int, K.KMeansModel], sil: dict[int, float]) -> DataFrame:
+    rows = [(k, float(f.sum_distance), float(f.wssse), sil.get(k), f.rounds, f.converged)
+            for k, f in sorted(fits.items())]
+    return spark.createDataFrame(
+        rows, "k int, sum_distance double, wssse double, silhouette double, rounds int, converged boolean")
+
+
+def k_sweep_scores(train: DataFrame, ks=SWEEP_KS, seed: int = 42, scaling: str = "zscore",
+                   max_iter: int | None = None) -> DataFrame:
+    """``(k, sum_distance, wssse, silhouette, rounds, converged)`` for every k."""
+    stats = ST.feature_stats_row(train, FEATURES, scaling)
+    z = ST.scaled_features(train, FEATURES, stats=stats, keep=["trip_id"])
+    fits = SW.k_sweep(z, FEATURES, ks, seed, max_iter=max_iter)
+    sil = SW.multi_silhouette(z, FEATURES, fits)
+    return scores_frame(train.sparkSession, fits, sil)
+
+
+def pick_k(scores: DataFrame, by: str = "silhouette") -> DataFrame:
+    """The k with the best score (highest silhouette, smallest k on ties)."""
+    return scores.orderBy(F.desc(by), F.asc("k")).limit(1).select("k")
+
+
+def segment_trips(raw: DataFrame, k: int = DEFAULT_K, seed: int = 42, n: int = TRAIN_ROWS,
+                  scaling: str = "zscore", max_iter: int | None = None, mixture: bool = True,
+                  em_schedule: str = "two_phase", em_max_iter: int | None = 500, labels: str = "final",
+                  checkpoint: bool = True) -> SegmentResult:
+    train = training_sample(raw, n, seed, checkpoint=checkpoint)
+    thresholds = G.fare_thresholds(train)
+    stats = ST.feature_stats_row(train, FEATURES, scaling)
+    z = ST.scaled_features(train, FEATURES, stats=stats, keep=["trip_id"])
+    seeds = S.seed_rows(z, k, seed, FEATURES)
+    model = K.kmeans_fit(z, FEATURES, init=seeds, max_iter=max_iter)
+    sil = K.model_silhouette(z, model)
+    labelled = train.select("*", *G.label_columns(thresholds))
+    kl = clustered(labelled, stats, model.centroids)
+    centroids = K.cluster_means(kl, "cluster", FEATURES)
+    summary = G.segment_summary(kl, "cluster")
+    res = SegmentResult(train, thresholds, stats, model, sil, centroids, summary)
+    if mixture:
+        center = np.array([stats.mean[c] for c in FEATURES])
+        init = X.init_from_clusters(kl, FEATURES, "cluster", k, center)
+        final, lagged = X.gmm_fit(train, FEATURES, init, max_iter=em_max_iter, em_schedule=em_schedule,
+                                  center=center)
+        res.mixture = final
+        use = lagged if labels == "lagged" else final
+        comp = X.predict(labelled, FEATURES, use, keep=labelled.columns)
+        res.component_summary = G.segment_summary(comp, "component")
+    return res
+
+
+# -- sinks ------------------------------------------------------------------------
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False,
+                mode: str = "overwrite") -> None:
+    """Write a result. ``single_file`` only for model-sized tables (k rows)."""
+    out = df.coalesce(1) if single_file else df
+    w = out.write.mode(mode)
+    if fmt == "csv":
+        w.option("header", "true").csv(path)
+    else:
+        w.format(fmt).save(path)
+
+
+def write_trips(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    write_table(df, path, fmt)
+
+
+def write_scores(scores: DataFrame, path: str, fmt: str = "parquet") -> None:
+    write_table(scores, path, fmt, single_file=True)
+
+
+def write_centroids(centroids: DataFrame, path: str, fmt: str = "parquet") -> None:
+    write_table(centroids.orderBy("cluster"), path, fmt, single_file=True)
+
+
+def write_summary(summary: DataFrame, path: str, fmt: str = "parquet") -> None:
+    key = "cluster" if "cluster" in summary.columns else "component"
+    write_table(summary.orderBy(key), path, fmt, single_file=True)
+
+
+def write_mixture(spark: SparkSession, model: X.Mixture, path: str) -> None:
+    """Components with phi, mu (array) and sigma (nested array)."""
+    write_table(X.mixture_frame(spark, model, FEATURES), path, "parquet", single_file=True)

@@ -356,3 +356,29 @@ def q_gmm_component_summary(spark, sf_dir):
     lab = M.labelled(spark, sf_dir)
     comp = X.predict(lab, FEATURES, m, keep=lab.columns)
     return G.segment_summary(comp, "component").select("component", "n", *r6(SUMMARY_COLS))
+
+
+# -- sweep, choice of k, end to end ---------------------------------------------------
+from fareseg.plans import pipeline as P  # noqa: E402
+
+
+def _scores(spark, sf_dir):
+    return spark.createDataFrame(M.sweep(spark, sf_dir),
+                                 "k int, sum_distance double, wssse double, silhouette double, rounds int, "
+                                 "converged boolean")
+
+
+@query("k_sweep")
+def q_k_sweep(spark, sf_dir):
+    return _scores(spark, sf_dir).select("k", *r6(["sum_distance", "wssse", "silhouette"]))
+
+
+@query("pick_k")
+def q_pick_k(spark, sf_dir):
+    return P.pick_k(_scores(spark, sf_dir))
+
+
+@query("segment_pipeline")
+def q_segment_pipeline(spark, sf_dir):
+    res = P.segment_trips(load_raw(spark, sf_dir), mixture=False, max_iter=M.KMEANS_MAX_ITER)
+    return res.cluster_summary.select("cluster", "n", *r6(SUMMARY_COLS))

@@ -120,6 +120,17 @@ def round_scan(df: DataFrame, cols, cur: np.ndarray, prev: np.ndarray | None) ->
     return st
 
 
+def loop_input(df: DataFrame, cols) -> DataFrame:
+    """The persisted input of an iterative fit, spread over at least the
+    cluster's default parallelism (a small sample read from few files would
+    otherwise run every round in one task)."""
+    data = df.select(*cols)
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if data.rdd.getNumPartitions() < want:
+        data = data.repartition(want)
+    return data.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def update_centroids(stats: ClusterStats, previous: np.ndarray) -> np.ndarray:
     new = previous.copy()
     for j in range(previous.shape[0]):
@@ -136,9 +147,7 @@ def kmeans_fit(df: DataFrame, cols, k: int | None = None, seed: int = 42, max_it
     it converged. ``init`` replaces the seeds (k is then its row count).
     """
     cols = list(cols)
-    data = df.select(*cols)
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = loop_input(df, cols) if persist else df.select(*cols)
     try:
         cur = np.array(init, dtype=float) if init is not None else seed_rows(df, k, seed, cols, key)
         prev = None

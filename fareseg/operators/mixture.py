@@ -20,7 +20,6 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -198,10 +197,10 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
     ``engine="sql"`` uses the column-expression E-step and a global aggregate.
     Both give the same model up to summation order.
     """
+    from fareseg.operators.kmeans import loop_input
+
     cols = list(cols)
-    data = df.select(*cols)
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = loop_input(df, cols) if persist else df.select(*cols)
     try:
         if center is None:
             r = data.agg(*[F.avg(c).alias(c) for c in cols]).first()

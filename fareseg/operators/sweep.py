@@ -17,25 +17,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareseg.operators.kmeans import ClusterStats, KMeansModel, update_centroids
+from fareseg.operators.kmeans import ClusterStats, KMeansModel, loop_input, update_centroids
 from fareseg.operators.sampling import seed_rows
 
 
 def _sq_dist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """(m, k) squared distances, summed over features in column order."""
-    m, d = x.shape
-    out = np.zeros((m, c.shape[0]))
-    for j in range(c.shape[0]):
-        acc = (x[:, 0] - c[j, 0]) * (x[:, 0] - c[j, 0])
-        for f in range(1, d):
-            diff = x[:, f] - c[j, f]
-            acc = acc + diff * diff
-        out[:, j] = acc
-    return out
+    diff = x[:, None, :] - c[None, :, :]
+    acc = diff[:, :, 0] * diff[:, :, 0]
+    for f in range(1, x.shape[1]):
+        acc = acc + diff[:, :, f] * diff[:, :, f]
+    return acc
 
 
 def _partials(cols: list[str], models: dict[int, tuple[np.ndarray, np.ndarray | None]]):
@@ -104,9 +99,7 @@ def kmeans_many(df: DataFrame, cols, inits: dict[int, np.ndarray], max_iter: int
     Same stopping rule and round accounting as :func:`kmeans.kmeans_fit`.
     """
     cols = list(cols)
-    data = df.select(*cols)
-    if persist:
-        data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = loop_input(df, cols) if persist else df.select(*cols)
     try:
         state = {m: {"cur": np.array(c, dtype=float), "prev": None, "rounds": 0, "re": []} for m, c in inits.items()}
         done: dict[int, KMeansModel] = {}

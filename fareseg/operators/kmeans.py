@@ -74,6 +74,8 @@ def assign(df: DataFrame, cols, centroids, keep=("trip_id",), name="cluster", wi
     k = len(centroids)
     names = [f"_d{j}" for j in range(k)]
     keep = list(keep)
+    if np.asarray(centroids).size > WIDE_MODEL:
+        return _assign_batched(df, list(cols), np.asarray(centroids, float), keep, name, with_distance)
     step = df.selectExpr(*[q(c) for c in keep], *distance_exprs(cols, centroids))
     out = [*[q(c) for c in keep], f"{first_argmin(names)} as {q(name)}"]
     if with_distance:
@@ -81,6 +83,29 @@ def assign(df: DataFrame, cols, centroids, keep=("trip_id",), name="cluster", wi
     return step.selectExpr(*out)
 
 
+def _assign_batched(df, cols, centroids, keep, name, with_distance):
+    """Wide models: nearest centroid per Arrow batch (same kernel as the sweep)."""
+    from fareseg.operators.sweep import _sq_dist
+
+    fields = [f for f in df.select(*keep).schema.fields]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{name}` int"
+    if with_distance:
+        schema += ", distance double"
+    need = list(dict.fromkeys([*keep, *cols]))
+
+    def run(batches):
+        for pdf in batches:
+            d = _sq_dist(pdf[cols].to_numpy(dtype=float), centroids)
+            lab = d.argmin(axis=1)
+            out = pdf[keep].copy()
+            out[name] = lab.astype("int32")
+            if with_distance:
+                out["distance"] = np.sqrt(d[np.arange(len(d)), lab])
+            yield out
+
+    return df.select(*need).mapInPandas(run, schema)
+
+
 def point_centroid_distances(df: DataFrame, cols, centroids, key="trip_id") -> DataFrame:
     """Long form (key, cluster, distance): each row against every centroid.
 
@@ -139,17 +164,31 @@ def update_centroids(stats: ClusterStats, previous: np.ndarray) -> np.ndarray:
     return new
 
 
+# Above this many centroid coordinates (k x d) the unrolled expressions stop
+# fitting the JVM method-size limit; the Arrow-batched round takes over.
+WIDE_MODEL = 256
+
+
 def kmeans_fit(df: DataFrame, cols, k: int | None = None, seed: int = 42, max_iter: int | None = None,
-               init: np.ndarray | None = None, key: str = "trip_id", persist: bool = True) -> KMeansModel:
+               init: np.ndarray | None = None, key: str = "trip_id", persist: bool = True,
+               engine: str = "auto") -> KMeansModel:
     """Lloyd iterations from k seed rows until no row changes cluster.
 
     ``max_iter=None`` means no cap (as the reference); the result says whether
     it converged. ``init`` replaces the seeds (k is then its row count).
+    ``engine``: "sql" (column expressions), "arrow" (NumPy per Arrow batch) or
+    "auto" (sql unless k x d is wide).
     """
     cols = list(cols)
+    if init is None:
+        init = seed_rows(df, k, seed, cols, key)
+    init = np.array(init, dtype=float)
+    if engine == "arrow" or (engine == "auto" and init.size > WIDE_MODEL):
+        from fareseg.operators.sweep import kmeans_many
+        return kmeans_many(df, cols, {0: init}, max_iter=max_iter, persist=persist)[0]
     data = loop_input(df, cols) if persist else df.select(*cols)
     try:
-        cur = np.array(init, dtype=float) if init is not None else seed_rows(df, k, seed, cols, key)
+        cur = init
         prev = None
         reassigned: list[int] = []
         rounds = 0
@@ -227,6 +266,9 @@ def silhouette(df: DataFrame, cols, pred: str = "prediction") -> float:
 
 
 def model_silhouette(df: DataFrame, model: KMeansModel) -> float:
+    if model.centroids.size > WIDE_MODEL:
+        from fareseg.operators.sweep import multi_silhouette
+        return multi_silhouette(df, model.cols, {0: model})[0]
     labelled = assign(df, model.cols, model.centroids, keep=tuple(model.cols), name="_kc")
     return silhouette_from_stats(labelled, model.cols, "_kc", model.stats.n, model.stats.sums, model.stats.sqnorm)
 

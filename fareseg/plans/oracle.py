@@ -190,22 +190,23 @@ def _d2(a: str, b: str, cols=FEATURES) -> str:
 
 
 def kmeans_ctes(k: int = KMEANS_K, rounds: int = KMEANS_ROUNDS, src: str = "z", cols=FEATURES,
-                prefix: str = "km") -> list[tuple[str, str]]:
+                prefix: str = "km", key: str = "trip_id") -> list[tuple[str, str]]:
     """c0 = seeds; a{t} = assign(c{t-1}); c{t} = means over a{t} (empty -> keep)."""
     fl = ", ".join(cols)
-    out = [(f"{prefix}_c0", f"materialized (select cast(row_number() over (order by {md5_key()}, trip_id) - 1 as integer) "
-                            f"as cluster, {fl} from (select * from {src} order by {md5_key()}, trip_id limit {k}))")]
+    h = md5_key(key=key)
+    out = [(f"{prefix}_c0", f"materialized (select cast(row_number() over (order by {h}, {key}) - 1 as integer) "
+                            f"as cluster, {fl} from (select * from {src} order by {h}, {key} limit {k}))")]
     for t in range(1, rounds + 2):
         out.append((f"{prefix}_a{t}",
-                    f"materialized (select trip_id, cluster, d2 from (select p.trip_id, c.cluster, {_d2('p', 'c', cols)} as d2, "
-                    f"row_number() over (partition by p.trip_id order by {_d2('p', 'c', cols)}, c.cluster) as rn "
+                    f"materialized (select {key}, cluster, d2 from (select p.{key}, c.cluster, {_d2('p', 'c', cols)} as d2, "
+                    f"row_number() over (partition by p.{key} order by {_d2('p', 'c', cols)}, c.cluster) as rn "
                     f"from {src} p cross join {prefix}_c{t - 1} c) where rn = 1)"))
         if t <= rounds:
             means = ", ".join(f"sum(p.{c}) / count(*) as {c}" for c in cols)
             keep = ", ".join(f"coalesce(u.{c}, c.{c}) as {c}" for c in cols)
             out.append((f"{prefix}_c{t}",
                         f"materialized (select c.cluster, {keep} from {prefix}_c{t - 1} c left join "
-                        f"(select a.cluster, {means} from {src} p join {prefix}_a{t} a using (trip_id) group by a.cluster) u "
+                        f"(select a.cluster, {means} from {src} p join {prefix}_a{t} a using ({key}) group by a.cluster) u "
                         f"using (cluster))"))
     return out
 
@@ -333,3 +334,25 @@ ORACLE["gmm_init"] = _kmj + (
     "select cast(cluster as integer) as component, " + r6("count(*) / (select count(*) from ka)") + " as phi, "
     + ", ".join(f"{r6(f'avg({c})')} as {c}" for c in FEATURES) + " from ka group by cluster")
 ORACLE["segment_pipeline"] = ORACLE["cluster_summary"]
+
+
+# -- k-means on the 64-dimensional embeddings ----------------------------------------
+EMB_DIM = 64
+EMB_K = 10
+EMB_COLS = [f"e{i}" for i in range(EMB_DIM)]
+register("emb", "select vec_id, label, " + ", ".join(f"cast(embedding[{i + 1}] as double) as e{i}" for i in range(EMB_DIM))
+         + " from embeddings", [])
+_emb = with_ctes("emb", extra=kmeans_ctes(EMB_K, KMEANS_ROUNDS, "emb", EMB_COLS, "ek", "vec_id"))
+ORACLE["embedding_kmeans"] = _emb + (
+    f"select cast(a.cluster as integer) as cluster, e.label, count(*) as n from emb e join ek_a{_R + 1} a using (vec_id) "
+    "group by a.cluster, e.label")
+_sq = " + ".join(f"(p.{c} * p.{c})" for c in EMB_COLS)
+ORACLE["embedding_silhouette"] = _emb + f""", st as (select a.cluster, count(*) as n, {", ".join(f"sum(p.{c}) as s_{c}" for c in EMB_COLS)},
+  sum({_sq}) as q from emb p join ek_a{_R + 1} a using (vec_id) group by a.cluster),
+pt as (select p.vec_id, a.cluster as own, {_sq} as xx, {", ".join(f"p.{c}" for c in EMB_COLS)}
+  from emb p join ek_a{_R + 1} a using (vec_id)),
+av as (select pt.vec_id, pt.own, st.cluster, st.n, ((pt.xx + st.q / st.n) - (2.0 * ({" + ".join(f"(pt.{c} * st.s_{c})" for c in EMB_COLS)})) / st.n) as avg_d
+  from pt cross join st),
+ab as (select vec_id, max(case when cluster = own then avg_d * n / (n - 1.0) end) as a, max(case when cluster = own then n end) as n_own,
+  min(case when cluster <> own then avg_d end) as b from av group by vec_id)
+select {r6("avg(case when n_own = 1 then 0.0 when a < b then 1.0 - a / b when a > b then b / a - 1.0 else 0.0 end)")} as silhouette from ab"""

@@ -382,3 +382,36 @@ def q_pick_k(spark, sf_dir):
 def q_segment_pipeline(spark, sf_dir):
     res = P.segment_trips(load_raw(spark, sf_dir), mixture=False, max_iter=M.KMEANS_MAX_ITER)
     return res.cluster_summary.select("cluster", "n", *r6(SUMMARY_COLS))
+
+
+# -- the same fit on 64-dimensional embeddings ------------------------------------------
+EMB_DIM, EMB_K = 64, 10
+EMB_COLS = [f"e{i}" for i in range(EMB_DIM)]
+
+
+def load_embeddings(spark, sf_dir):
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)])
+
+
+def _emb_model(spark, sf_dir):
+    def fit():
+        emb = load_embeddings(spark, sf_dir)
+        seeds = S.seed_rows(emb, EMB_K, SEED, EMB_COLS, key="vec_id")
+        return K.kmeans_fit(emb, EMB_COLS, init=seeds, max_iter=M.KMEANS_MAX_ITER)
+    return M.memo(("emb_kmeans", sf_dir), fit)
+
+
+@query("embedding_kmeans")
+def q_embedding_kmeans(spark, sf_dir):
+    """Cluster x true label counts: how well k-means recovers the labels."""
+    m = _emb_model(spark, sf_dir)
+    lab = K.assign(load_embeddings(spark, sf_dir), EMB_COLS, m.centroids, keep=("vec_id", "label"))
+    return lab.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("embedding_silhouette")
+def q_embedding_silhouette(spark, sf_dir):
+    m = _emb_model(spark, sf_dir)
+    s = K.model_silhouette(load_embeddings(spark, sf_dir), m)
+    return spark.createDataFrame([(s,)], "silhouette double").select(*r6(["silhouette"]))

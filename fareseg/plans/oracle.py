@@ -356,3 +356,50 @@ av as (select pt.vec_id, pt.own, st.cluster, st.n, ((pt.xx + st.q / st.n) - (2.0
 ab as (select vec_id, max(case when cluster = own then avg_d * n / (n - 1.0) end) as a, max(case when cluster = own then n end) as n_own,
   min(case when cluster <> own then avg_d end) as b from av group by vec_id)
 select {r6("avg(case when n_own = 1 then 0.0 when a < b then 1.0 - a / b when a > b then b / a - 1.0 else 0.0 end)")} as silhouette from ab"""
+
+
+# -- EM on two features: k-means seed, then fixed rounds with a closed-form 2x2 density -------
+GMM2_K, GMM2_ROUNDS = 3, 5
+register("t2", "select trip_id, cast(hour as double) as hour, trip_min from train", ["train"])
+register("z2", "select trip_id, case when sh > 0 then (hour - mh) / sh else 0 end as hour, "
+               "case when st > 0 then (trip_min - mt) / st else 0 end as trip_min from t2, "
+               "(select avg(hour) as mh, stddev_pop(hour) as sh, avg(trip_min) as mt, stddev_pop(trip_min) as st from t2)",
+         ["t2"])
+
+
+def _em_ctes() -> list[tuple[str, str]]:
+    out = [("ka2", f"select t.trip_id, t.hour, t.trip_min, a.cluster from t2 t join g2_a{_R + 1} a using (trip_id)"),
+           ("g0", "materialized (select cast(row_number() over (order by cluster) - 1 as integer) as component, "
+                  "count(*) / (select count(*) from ka2) as phi, avg(hour) as mh, avg(trip_min) as mt, "
+                  "var_pop(hour) as s11, covar_pop(hour, trip_min) as s12, var_pop(trip_min) as s22 "
+                  "from ka2 group by cluster)")]
+
+    def resp(model: str, phi_src: str) -> str:
+        lw = (f"ln(f.phi) + (-0.5 * (2 * ln(2 * pi()) + ln(g.s11 * g.s22 - g.s12 * g.s12) + "
+              "((t.hour - g.mh) * (t.hour - g.mh) * g.s22 - 2 * (t.hour - g.mh) * (t.trip_min - g.mt) * g.s12 "
+              "+ (t.trip_min - g.mt) * (t.trip_min - g.mt) * g.s11) / (g.s11 * g.s22 - g.s12 * g.s12)))")
+        inner = (f"select t.trip_id, t.hour, t.trip_min, g.component, {lw} as lw from t2 t cross join {model} g "
+                 f"join {phi_src} f on f.component = g.component")
+        shifted = f"select *, exp(lw - max(lw) over (partition by trip_id)) as e from ({inner})"
+        return (f"select trip_id, hour, trip_min, component, e / sum(e) over (partition by trip_id) as r "
+                f"from ({shifted})")
+
+    for t in range(1, GMM2_ROUNDS + 1):
+        g = f"g{t - 1}"
+        out.append((f"ra{t}", f"materialized ({resp(g, g)})"))
+        out.append((f"ph{t}", f"materialized (select component, avg(r) as phi from ra{t} group by component)"))
+        out.append((f"rb{t}", f"materialized ({resp(g, f'ph{t}')})"))
+        out.append((f"mu{t}", f"materialized (select component, sum(r) as w, sum(r * hour) / sum(r) as mh, "
+                              f"sum(r * trip_min) / sum(r) as mt from rb{t} group by component)"))
+        out.append((f"g{t}", f"materialized (select m.component, p.phi, m.mh, m.mt, "
+                             f"sum(b.r * (b.hour - m.mh) * (b.hour - m.mh)) / m.w as s11, "
+                             f"sum(b.r * (b.hour - m.mh) * (b.trip_min - m.mt)) / m.w as s12, "
+                             f"sum(b.r * (b.trip_min - m.mt) * (b.trip_min - m.mt)) / m.w as s22 "
+                             f"from rb{t} b join mu{t} m using (component) join ph{t} p using (component) "
+                             f"group by m.component, p.phi, m.mh, m.mt, m.w)"))
+    return out
+
+
+ORACLE["gmm_fit_2d"] = with_ctes("z2", "t2", extra=kmeans_ctes(GMM2_K, KMEANS_ROUNDS, "z2", ["hour", "trip_min"], "g2")
+                                 + _em_ctes()) + (
+    f"select component, {r6('phi')} as phi, {r6('mh')} as mu_hour, {r6('mt')} as mu_trip_min from g{GMM2_ROUNDS}")

@@ -415,3 +415,31 @@ def q_embedding_silhouette(spark, sf_dir):
     m = _emb_model(spark, sf_dir)
     s = K.model_silhouette(load_embeddings(spark, sf_dir), m)
     return spark.createDataFrame([(s,)], "silhouette double").select(*r6(["silhouette"]))
+
+
+# -- the EM loop end to end on two features (SQL-checkable: closed-form 2x2) --------------
+GMM2_COLS, GMM2_K, GMM2_ROUNDS = ["hour", "trip_min"], 3, 5
+
+
+def _gmm2(spark, sf_dir):
+    def run():
+        train = M.train(spark, sf_dir).select("trip_id", *[F.col(c).cast("double").alias(c) for c in GMM2_COLS])
+        st = ST.feature_stats_row(train, GMM2_COLS)
+        zc = [f"z_{c}" for c in GMM2_COLS]
+        z = train.select("trip_id", *GMM2_COLS, *ST.scale_columns(st, GMM2_COLS, prefix="z_"))
+        seeds = S.seed_rows(z, GMM2_K, SEED, zc)
+        km = K.kmeans_fit(z, zc, init=seeds, max_iter=M.KMEANS_MAX_ITER)
+        kl = K.assign(z, zc, km.centroids, keep=("trip_id", *GMM2_COLS))
+        center = np.array([st.mean[c] for c in GMM2_COLS])
+        init = X.init_from_clusters(kl, GMM2_COLS, "cluster", GMM2_K, center)
+        model, _ = X.gmm_fit(train, GMM2_COLS, init, tol=0.0, max_iter=GMM2_ROUNDS, center=center)
+        return model
+    return M.memo(("gmm2", sf_dir), run)
+
+
+@query("gmm_fit_2d")
+def q_gmm_fit_2d(spark, sf_dir):
+    m = _gmm2(spark, sf_dir)
+    rows = [(j, float(m.phi[j]), float(m.mu[j, 0]), float(m.mu[j, 1])) for j in range(m.k)]
+    df = spark.createDataFrame(rows, "component int, phi double, mu_hour double, mu_trip_min double")
+    return df.select("component", *r6(["phi", "mu_hour", "mu_trip_min"]))

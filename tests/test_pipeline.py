@@ -83,3 +83,16 @@ def test_streaming_scores_equal_batch(spark, result):
 def test_pick_k(spark):
     scores = spark.createDataFrame([(2, 0.1), (3, 0.4), (4, 0.4), (5, 0.2)], "k int, silhouette double")
     assert P.pick_k(scores).first().k == 3
+
+
+def test_read_raw_text_bz2(spark):
+    from fareseg.operators.clean import clean_trips
+
+    out = tempfile.mkdtemp(prefix="fareseg-raw-")
+    raw = raw_trips(spark, SF_SMALL)
+    raw.select("line").write.option("compression", "bzip2").text(os.path.join(out, "raw"))
+    assert any(f.endswith(".bz2") for f in os.listdir(os.path.join(out, "raw")))
+    back = TX.read_raw_trips(spark, os.path.join(out, "raw"))
+    assert back.count() == raw.count()
+    assert back.select("trip_id").distinct().count() == raw.count()
+    assert clean_trips(back).count() == clean_trips(raw).count()

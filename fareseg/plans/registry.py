@@ -172,7 +172,6 @@ import numpy as np  # noqa: E402
 
 from fareseg.operators import kmeans as K  # noqa: E402
 from fareseg.plans import models as M  # noqa: E402
-from fareseg.schema import DEFAULT_K  # noqa: E402
 
 
 def _centroid_rows(spark, centroids, counts=None):

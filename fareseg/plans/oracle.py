@@ -333,7 +333,7 @@ ORACLE["gmm_sigma_as_written"] = _gmm + _wm + " " + " union all ".join(
 ORACLE["gmm_init"] = _kmj + (
     "select cast(cluster as integer) as component, " + r6("count(*) / (select count(*) from ka)") + " as phi, "
     + ", ".join(f"{r6(f'avg({c})')} as {c}" for c in FEATURES) + " from ka group by cluster")
-ORACLE["segment_pipeline"] = ORACLE["cluster_summary"]
+ORACLE["segment_trips"] = ORACLE["cluster_summary"]
 
 
 # -- k-means on the 64-dimensional embeddings ----------------------------------------

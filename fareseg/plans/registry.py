@@ -358,7 +358,7 @@ def q_gmm_component_summary(spark, sf_dir):
 
 
 # -- sweep, choice of k, end to end ---------------------------------------------------
-from fareseg.plans import pipeline as P  # noqa: E402
+from fareseg.plans import segmentation as P  # noqa: E402
 
 
 def _scores(spark, sf_dir):
@@ -377,8 +377,8 @@ def q_pick_k(spark, sf_dir):
     return P.pick_k(_scores(spark, sf_dir))
 
 
-@query("segment_pipeline")
-def q_segment_pipeline(spark, sf_dir):
+@query("segment_trips")
+def q_segment_trips(spark, sf_dir):
     res = P.segment_trips(load_raw(spark, sf_dir), mixture=False, max_iter=M.KMEANS_MAX_ITER)
     return res.cluster_summary.select("cluster", "n", *r6(SUMMARY_COLS))
 

@@ -8,7 +8,7 @@ import pytest
 from conftest import SF_SMALL
 
 from fareseg.operators import segments as G
-from fareseg.plans import pipeline as P
+from fareseg.plans import segmentation as P
 from fareseg.schema import FARES, FEATURES
 from fareseg.sources import text as TX
 from fareseg.sources.fixtures import raw_trips

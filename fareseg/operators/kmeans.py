@@ -118,30 +118,39 @@ def point_centroid_distances(df: DataFrame, cols, centroids, key="trip_id") -> D
 
 
 def round_scan(df: DataFrame, cols, cur: np.ndarray, prev: np.ndarray | None) -> ClusterStats:
-    """One pass: statistics per cluster under assign(cur), changes vs assign(prev)."""
+    """One pass: statistics per cluster under assign(cur), changes vs assign(prev).
+
+    A keyless aggregate of per-cluster conditional sums: each task folds its
+    rows into one partial row and a single task merges them, whatever the
+    session's shuffle partition count.
+    """
     k, d = cur.shape
     qc = [q(c) for c in cols]
-    proj = [*qc, *distance_exprs(cols, cur, "_d")]
+    proj = [*qc, f"{sq_norm(cols)} as _xx", *distance_exprs(cols, cur, "_d")]
     if prev is not None:
         proj += distance_exprs(cols, prev, "_e")
     names = [f"_d{j}" for j in range(k)]
-    sel = [*qc, f"{first_argmin(names)} as _c", "least(" + ", ".join(names) + ") as _dmin"]
+    sel = [*qc, "_xx", f"{first_argmin(names)} as _c", "least(" + ", ".join(names) + ") as _dmin"]
     if prev is not None:
         sel.append(f"{first_argmin([f'_e{j}' for j in range(prev.shape[0])])} as _p")
     step = df.selectExpr(*proj).selectExpr(*sel)
-    changed = "cast(_c <> _p as bigint)" if prev is not None else "1L"
-    aggs = ["count(1) as n"] + [f"sum({c}) as s{i}" for i, c in enumerate(qc)]
-    aggs += [f"sum({sq_norm(cols)}) as q", f"sum({changed}) as ch", "sum(sqrt(_dmin)) as dist", "sum(_dmin) as d2"]
-    rows = step.groupBy("_c").agg(*[F.expr(a) for a in aggs]).collect()
+    aggs = []
+    for j in range(k):
+        on = f"_c = {j}"
+        aggs.append(f"count_if({on}) as n{j}")
+        aggs += [f"sum(if({on}, {c}, 0D)) as s{j}_{i}" for i, c in enumerate(qc)]
+        aggs.append(f"sum(if({on}, _xx, 0D)) as q{j}")
+        aggs.append(f"count_if({on} and _c <> _p) as ch{j}" if prev is not None else f"count_if({on}) as ch{j}")
+        aggs += [f"sum(if({on}, sqrt(_dmin), 0D)) as dist{j}", f"sum(if({on}, _dmin, 0D)) as d2{j}"]
+    r = step.agg(*[F.expr(a) for a in aggs]).first()
     st = ClusterStats(np.zeros(k), np.zeros((k, d)), np.zeros(k))
-    for r in rows:
-        j = r["_c"]
-        st.n[j] = r["n"]
-        st.sums[j] = [r[f"s{i}"] for i in range(d)]
-        st.sqnorm[j] = r["q"]
-        st.changed += r["ch"]
-        st.sum_distance += r["dist"]
-        st.wssse += r["d2"]
+    for j in range(k):
+        st.n[j] = r[f"n{j}"]
+        st.sums[j] = [r[f"s{j}_{i}"] or 0.0 for i in range(d)]
+        st.sqnorm[j] = r[f"q{j}"] or 0.0
+        st.changed += r[f"ch{j}"]
+        st.sum_distance += r[f"dist{j}"] or 0.0
+        st.wssse += r[f"d2{j}"] or 0.0
     return st
 
 

@@ -154,14 +154,20 @@ def round_scan(df: DataFrame, cols, cur: np.ndarray, prev: np.ndarray | None) ->
     return st
 
 
-def loop_input(df: DataFrame, cols) -> DataFrame:
-    """The persisted input of an iterative fit, spread over at least the
-    cluster's default parallelism (a small sample read from few files would
-    otherwise run every round in one task)."""
+def loop_input(df: DataFrame, cols, rows_per_task: int = 25_000) -> DataFrame:
+    """The persisted input of an iterative fit.
+
+    A small sample read from few files would run every round in one task; it
+    is spread to about ``rows_per_task`` rows per task, up to the default
+    parallelism. Inputs that already have enough partitions are left as they are.
+    """
     data = df.select(*cols)
+    have = data.rdd.getNumPartitions()
     want = df.sparkSession.sparkContext.defaultParallelism
-    if data.rdd.getNumPartitions() < want:
-        data = data.repartition(want)
+    if have < want:
+        want = max(1, min(want, math.ceil(data.count() / rows_per_task)))
+        if want > have:
+            data = data.repartition(want)
     return data.persist(StorageLevel.MEMORY_AND_DISK)
 
 

@@ -269,7 +269,7 @@ def _np_resp(x: np.ndarray, gs: list[Gaussian], phi: np.ndarray, underflow: str)
     return r
 
 
-def _moment_partials(cols, models: list[tuple[list[Gaussian], np.ndarray]], center, underflow, names):
+def _moment_partials(cols, models: dict[str, tuple[list[Gaussian], np.ndarray]], center, underflow):
     d = len(cols)
     iu = np.triu_indices(d)
 
@@ -280,47 +280,46 @@ def _moment_partials(cols, models: list[tuple[list[Gaussian], np.ndarray]], cent
             if len(x) == 0:
                 continue
             xc = x - center
-            vals = []
-            for gs, phi in models:
+            out = []
+            for tag, (gs, phi) in models.items():
                 r = _np_resp(x, gs, phi, underflow)
-                q = np.einsum("nk,na,nb->kab", r, xc, xc)
-                for j in range(len(gs)):
-                    vals.append(r[:, j].sum())
-                    vals.extend(r[:, j] @ xc)
-                    vals.extend(q[j][iu])
-            yield pd.DataFrame([vals], columns=names)
+                W = r.sum(axis=0)
+                S = r.T @ xc
+                rows = {"tag": [tag] * len(gs), "component": np.arange(len(gs)), "W": W}
+                for a in range(d):
+                    rows[f"S{a}"] = S[:, a]
+                Qs = np.einsum("nk,na,nb->kab", r, xc, xc)
+                for a, b in zip(*iu):
+                    rows[f"Q{a}_{b}"] = Qs[:, a, b]
+                out.append(pd.DataFrame(rows))
+            yield pd.concat(out, ignore_index=True)
 
     return run
 
 
 def batched_moments(data: DataFrame, cols, models: dict[str, Mixture], center: np.ndarray,
                     underflow: str = "exact") -> dict[str, tuple]:
-    """One scan: (W, S, Q) of the responsibilities under each model.
-
-    Each Arrow batch is reduced to one wide row of partial moments; a keyless
-    sum merges them (one partial row per task, one task at the end)."""
+    """One scan: (W, S, Q) of the responsibilities under each model."""
     cols = list(cols)
     d = len(cols)
     iu = list(zip(*np.triu_indices(d)))
-    tags = list(models)
-    prepared = [([prepare(models[t].mu[j], models[t].sigma[j]) for j in range(models[t].k)],
-                 np.asarray(models[t].phi, float)) for t in tags]
-    names = []
-    for ti, t in enumerate(tags):
-        for j in range(models[t].k):
-            names += [f"t{ti}_W{j}"] + [f"t{ti}_S{j}_{a}" for a in range(d)] + [f"t{ti}_Q{j}_{a}_{b}" for a, b in iu]
-    schema = ", ".join(f"{n} double" for n in names)
-    parts = data.select(*cols).mapInPandas(
-        _moment_partials(cols, prepared, np.asarray(center, float), underflow, names), schema)
-    r = parts.agg(*[F.sum(n).alias(n) for n in names]).first()
+    prepared = {t: ([prepare(m.mu[j], m.sigma[j]) for j in range(m.k)], np.asarray(m.phi, float))
+                for t, m in models.items()}
+    schema = ("tag string, component long, W double, " + ", ".join(f"S{a} double" for a in range(d)) + ", "
+              + ", ".join(f"Q{a}_{b} double" for a, b in iu))
+    parts = data.select(*cols).mapInPandas(_moment_partials(cols, prepared, np.asarray(center, float), underflow),
+                                           schema)
+    names = ["W"] + [f"S{a}" for a in range(d)] + [f"Q{a}_{b}" for a, b in iu]
+    # map-side partial sums: k rows per batch before the shuffle
+    rows = parts.groupBy("tag", "component").agg(*[F.sum(c).alias(c) for c in names]).collect()
     out = {}
-    for ti, t in enumerate(tags):
-        k = models[t].k
-        W, S, Q = np.zeros(k), np.zeros((k, d)), np.zeros((k, d, d))
-        for j in range(k):
-            W[j] = r[f"t{ti}_W{j}"] or 0.0
-            S[j] = [r[f"t{ti}_S{j}_{a}"] or 0.0 for a in range(d)]
-            for a, b in iu:
-                Q[j, a, b] = Q[j, b, a] = r[f"t{ti}_Q{j}_{a}_{b}"] or 0.0
-        out[t] = (W, S, Q)
+    for t, m in models.items():
+        out[t] = (np.zeros(m.k), np.zeros((m.k, d)), np.zeros((m.k, d, d)))
+    for r in rows:
+        W, S, Q = out[r["tag"]]
+        j = r["component"]
+        W[j] = r["W"]
+        S[j] = [r[f"S{a}"] for a in range(d)]
+        for a, b in iu:
+            Q[j, a, b] = Q[j, b, a] = r[f"Q{a}_{b}"]
     return out

@@ -13,7 +13,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -64,18 +63,21 @@ def main() -> None:
     seeds = S.seed_rows(z, 20, 42, FEATURES)
     km = timed("kmeans_k5", lambda: K.kmeans_fit(z, FEATURES, init=seeds[:5]))
     info["kmeans_rounds"] = km.rounds
+    info["kmeans_converged"] = km.converged
     timed("silhouette_k5", lambda: K.model_silhouette(z, km))
     labelled = train.select("*", *G.label_columns(th))
     kl = clustered(labelled, stats, km.centroids)
     timed("cluster_summary", lambda: G.segment_summary(kl, "cluster").collect())
     fits = timed("k_sweep_2_20", lambda: SW.k_sweep(z, FEATURES, range(2, 21), 42))
     info["sweep_max_rounds"] = max(f.rounds for f in fits.values())
+    info["sweep_all_converged"] = all(f.converged for f in fits.values())
     timed("sweep_silhouettes", lambda: SW.multi_silhouette(z, FEATURES, fits))
     import numpy as np
     center = np.array([stats.mean[c] for c in FEATURES])
     init = timed("gmm_init", lambda: X.init_from_clusters(kl, FEATURES, "cluster", 5, center))
     gm, _ = timed("gmm_fit", lambda: X.gmm_fit(train, FEATURES, init, center=center, max_iter=500))
     info["gmm_rounds"] = gm.rounds
+    info["gmm_converged"] = gm.converged
     timed("component_summary", lambda: G.segment_summary(
         X.predict(labelled, FEATURES, gm, keep=labelled.columns), "component").collect())
     total = round(sum(times.values()), 3)
@@ -85,5 +87,4 @@ def main() -> None:
 
 
 if __name__ == "__main__":
-    tempfile.tempdir = tempfile.tempdir  # noqa: PLW0127 (scratch stays under /tmp in local runs)
     main()

@@ -125,3 +125,12 @@ def test_uniform_underflow_falls_back_to_phi(spark):
     assert rows[0]["_r0"] == pytest.approx(0.7) and rows[0]["_r1"] == pytest.approx(0.3)
     exact = sorted(X.responsibilities(frame(spark, x), COLS, m).collect(), key=lambda r: r.trip_id)
     assert exact[0]["_r1"] == pytest.approx(1.0)
+
+
+def test_lagged_model_is_last_phi_with_previous_gaussians(spark):
+    x = data(seed=5)
+    df = frame(spark, x)
+    one, _ = X.gmm_fit(df, COLS, start(x), tol=0.0, max_iter=1)
+    two, lagged = X.gmm_fit(df, COLS, start(x), tol=0.0, max_iter=2)
+    assert np.allclose(lagged.phi, two.phi)
+    assert np.allclose(lagged.mu, one.mu) and np.allclose(lagged.sigma, one.sigma)

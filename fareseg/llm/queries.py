@@ -55,7 +55,7 @@ QUERIES = {f.__name__: f for f in (
 ORACLE = {
     "op1_near_embeddings": """
 WITH RECURSIVE u AS MATERIALIZED (
-  SELECT vec_id, label, list_transform(embedding, x -> x::DOUBLE) AS e FROM embeddings
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
 ),
 n AS MATERIALIZED (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS r FROM u),
@@ -69,7 +69,7 @@ FROM embeddings e JOIN (SELECT v, min(r) AS r FROM c GROUP BY v) m ON m.v = e.ve
 LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) k ON k.a = e.vec_id
 """,
     "op2_top_inner_products": """
-WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS e FROM embeddings),
+WITH v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
@@ -85,7 +85,7 @@ WITH RECURSIVE w AS MATERIALIZED (
 ),
 g AS MATERIALIZED (
   SELECT DISTINCT doc_id, s FROM (
-    SELECT doc_id, unnest(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) AS s
+    SELECT doc_id, unnest(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) AS s
     FROM w WHERE len(ws) >= 5
     UNION ALL SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4)
 ),

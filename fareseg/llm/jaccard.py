@@ -17,7 +17,8 @@ throughout, so copies never meet each other.
 4. *Scanning.* Each list first meets its fullest member only, then the members
    that aren't yet connected to it meet the others. Pairs whose overlap bound
    is too small, and pairs already connected, are skipped: a large group of
-   near copies costs its size, not its square. Every pair left is verified on
+   near copies costs its size, not its square. Pairs are made only at keys
+   within the prefix that their two sizes call for. Every pair left is verified on
    whole sets.
 
 Texts without words (null, empty, white space) have size 0 and link with
@@ -198,7 +199,10 @@ def whole_sets(docs: DataFrame, first: DataFrame, classes: DataFrame, key: str,
 
 
 def inverted_lists(sets: DataFrame, light: int) -> DataFrame:
-    """``key, sk, n, most``: prefix entries (rarest shingles first) and light sets' subsets; ``most`` bounds any overlap."""
+    """``key, sk, n, most, at``: prefix entries, rarest shingles first, and light sets' subsets.
+
+    ``most`` counts a set's shared shingles and so bounds any overlap; ``at`` is the entry's place among them.
+    """
     listed = sets.where(F.col("n") >= least_size(light + 1))
     shared = shared_keys(_spread(listed)).join(listed.select("sk", "n"), "sk")
     per_set = Window.partitionBy("sk")
@@ -207,13 +211,20 @@ def inverted_lists(sets: DataFrame, light: int) -> DataFrame:
                .where(F.col("most") >= F.ceil(F.col("n") * NUM / DEN))
                .where(F.col("at") <= F.col("most") - F.ceil(F.col("n") * NUM / DEN) + 1))
     small = shared_keys(_spread(subsets(sets.where(F.col("n") <= light)))).join(sets.select("sk", "n"), "sk")
-    lists = entries.select("key", "sk", "n", "most").unionByName(small.select("key", "sk", "n", F.col("n").alias("most")))
+    small = small.select("key", "sk", "n", F.col("n").alias("most"), F.lit(1).alias("at"))
+    lists = entries.select("key", "sk", "n", "most", "at").unionByName(small)
     return written(lists, "lists")
 
 
-def _possible(n1: str, most1: str, n2: str, most2: str):
-    need = F.ceil((F.col(n1) + F.col(n2)) * NUM / (NUM + DEN))
-    return need <= F.least(most1, most2)
+def _need(n1: str, n2: str):
+    return F.ceil((F.col(n1) + F.col(n2)) * NUM / (NUM + DEN))
+
+
+def _within(at1: str, most1: str, n1: str, at2: str, most2: str, n2: str):
+    """Whether a key at these places of the two prefixes can be the one by which a linked pair of these sizes must meet."""
+    after = F.least(F.col(most1) - F.col(at1), F.col(most2) - F.col(at2))
+    return (F.col(at1) <= F.col(most1) - _need(n1, n2) + 1) & (F.col(at2) <= F.col(most2) - _need(n1, n2) + 1) & (
+        F.least(at1, at2) + after >= _need(n1, n2))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -229,21 +240,21 @@ def class_links(sets: DataFrame, lists: DataFrame) -> DataFrame:
     """``(v, root)`` of all classes that hang together with another one."""
     centre = lists.groupBy("key").agg(F.max(F.struct("most", "n", "sk")).alias("c"), F.count("*").alias("len")).where("len > 1")
     centre = written(centre.select("key", F.col("c.sk").alias("c"), F.col("c.n").alias("cn"), F.col("c.most").alias("cm")), "centres")
-    star = (lists.join(centre, "key").where((F.col("sk") != F.col("c")) & _possible("n", "most", "cn", "cm"))
+    star = (lists.join(centre, "key").where((F.col("sk") != F.col("c")) & (_need("n", "cn") <= F.least("most", "cm")))
             .select(F.greatest("sk", "c").alias("a"), F.least("sk", "c").alias("b")).distinct())
     links = written(verified(star, sets), "star")
     roots = written(components(links), "roots")
     named = roots.withColumnRenamed("v", "sk")
     at = (lists.join(centre, "key").join(named, "sk", "left").withColumn("root", F.coalesce("root", "sk"))
           .join(roots.select(F.col("v").alias("c"), F.col("root").alias("c_root")), "c", "left")
-          .withColumn("c_root", F.coalesce("c_root", "c")).select("key", "sk", "n", "most", "root", "c_root", "c"))
+          .withColumn("c_root", F.coalesce("c_root", "c")).select("key", "sk", "n", "most", "at", "root", "c_root", "c"))
     at = written(at, "rooted")
     loose = at.where("root <> c_root").select("key", F.col("sk").alias("a"), F.col("n").alias("an"), F.col("most").alias("am"),
-                                              F.col("root").alias("a_root"))
+                                              F.col("at").alias("a_at"), F.col("root").alias("a_root"))
     others = written(at.where("sk <> c").drop("c"), "others")
     rest = (loose.join(others, "key")
             .where((F.col("a_root") != F.col("root")) & ((F.col("root") == F.col("c_root")) | (F.col("a") > F.col("sk"))))
-            .where(_possible("an", "am", "n", "most"))
+            .where(_within("a_at", "am", "an", "at", "most", "n"))
             .select(F.greatest("a", "sk").alias("a"), F.least("a", "sk").alias("b")).distinct())
     more = written(verified(rest, sets), "rest")
     return components(links.unionByName(more))

@@ -7,7 +7,7 @@ same order) and writes it. Positions run through the buckets in order; row p
 goes to shard ``p % shards`` at slot ``p // shards``, so shard counts are at
 most one apart (law ``rows``) and every shard is a uniform sample.
 
-The number of buckets follows the input's bytes, so a task holds a few buckets
+The number of buckets follows the input's bytes, and a task holds one bucket
 however large the table is. Only rows equal in key and text share a bucket by
 force. Null keys and texts hash like any value; a null text has no bytes. An
 empty table gives an empty result. Columns named ``shard`` or ``slot`` are
@@ -44,8 +44,8 @@ def shuffle_shards(docs: DataFrame, shards: int = 16, seed: int = 17, key: str =
     buckets = max(1, math.ceil(total / bucket_bytes))
     row = F.struct(*[F.col(c) for c in docs.columns])
     scattered = (docs.select(F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("_h"), row.alias("_row"))
-                 .select(F.pmod("_h", F.lit(buckets)).alias("_b"), "_h", "_row")
-                 .repartition(buckets, "_b").sortWithinPartitions("_b", "_h"))
+                 .select(F.pmod("_h", F.lit(buckets)).cast("int").alias("_b"), "_h", "_row")
+                 .repartitionById(buckets, F.col("_b")).sortWithinPartitions("_b", "_h"))
     order = F.shuffle(F.collect_list("_row"), seed)
     permuted = written(scattered.groupBy("_b").agg(order.alias("_rows")).select("_b", F.posexplode("_rows").alias("_i", "_row")),
                        "buckets")

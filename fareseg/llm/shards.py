@@ -49,7 +49,9 @@ def shuffle_shards(docs: DataFrame, shards: int = 16, seed: int = 17, key: str =
     order = F.shuffle(F.collect_list("_row"), seed)
     permuted = written(scattered.groupBy("_b").agg(order.alias("_rows")).select("_b", F.posexplode("_rows").alias("_i", "_row")),
                        "buckets")
-    at = permuted.join(_offsets(permuted.groupBy("_b").agg(F.count("*").alias("_n"))), "_b")
+    # written first: its size is then known when the join is planned, so the rows aren't dealt out again for it
+    before = written(_offsets(permuted.groupBy("_b").agg(F.count("*").alias("_n"))), "offsets")
+    at = permuted.join(before, "_b")
     p = F.col("_before") + F.col("_i")
     return at.select(*[F.col(f"_row.{c}").alias(c) for c in docs.columns if c not in ("shard", "slot")],
                      (p % shards).cast("int").alias("shard"), F.floor(p / shards).cast("long").alias("slot"))

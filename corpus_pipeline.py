@@ -21,7 +21,7 @@ from fareseg.llm.common import table, written
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     stats = written(quality.document_statistics(docs, keep=["doc_id"]), "stats")
     model = quality.fit(stats, table(spark, sf_dir, "labels"))
-    return quality.score(quality.document_statistics(docs, out="_stats"), model, docs.columns, "_stats", threshold=0.3)
+    return quality.accepted(docs, model)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

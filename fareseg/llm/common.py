@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fareseg.session import ensure_checkpoint_dir
 
 #: Text bytes a kernel turns into NumPy temporaries at once (one longer text is a slice of its own).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

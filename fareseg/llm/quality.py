@@ -155,19 +155,27 @@ def fit(stats: DataFrame, labels: DataFrame, shrink: float = 0.15, ridge: float
     return Quadratic(mean, np.stack(whiten), np.array(const), float(n[1] / n.sum()))
 
 
-def score(stats: DataFrame, q: Quadratic, keep: list[str], column: str = "stats", threshold: float | None = None) -> DataFrame:
-    """``keep`` columns and ``score``; with ``threshold``, only rows scored at least that, without the score."""
+def score(stats: DataFrame, q: Quadratic, keep: list[str], column: str = "stats") -> DataFrame:
+    """``keep`` columns and ``score``."""
     def kernel(b):
         p = q.probability(b.column(column).flatten().to_numpy().reshape(-1, DIM))
-        cols = [b.column(c) for c in keep]
-        if threshold is not None:
-            return pa.RecordBatch.from_arrays(cols, keep).filter(pa.array(p >= threshold))
-        return pa.RecordBatch.from_arrays([*cols, pa.array(p)], [*keep, "score"])
+        return pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(p)], [*keep, "score"])
 
-    shape = stats.select(*keep) if threshold is not None else stats.select(*keep, F.lit(0.0).alias("score"))
+    shape = stats.select(*keep, F.lit(0.0).alias("score"))
     return stats.select(*dict.fromkeys([*keep, column])).mapInArrow(by_batch(kernel), shape.schema)
 
 
+def accepted(docs: DataFrame, q: Quadratic, threshold: float = 0.3, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` scored at least ``threshold``, all columns; one Python step from text to decision."""
+    def kernel(b):
+        hasher, p = Hasher(), np.zeros(b.num_rows)
+        for lo, hi, data, offs in slices(b.column(text)):
+            p[lo:hi] = q.probability(statistics(hasher, data, offs))
+        return b.filter(pa.array(p >= threshold))
+
+    return docs.mapInArrow(by_batch(kernel), docs.schema)
+
+
 def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row; one pass over the texts."""
     stats = written(document_statistics(docs.select("doc_id", "text"), keep=["doc_id"]), "stats")

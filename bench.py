@@ -34,7 +34,7 @@ def main() -> None:
     from fareseg.operators import sweep as SW
     from fareseg.operators.clean import reject_counts, trips_from_raw
     from fareseg.plans.models import clustered
-    from fareseg.schema import FEATURES, TRAIN_ROWS
+    from fareseg.schema import FEATURES
     from fareseg.session import local_session
     from fareseg.sources.fixtures import raw_trips
 
@@ -55,7 +55,7 @@ def main() -> None:
     info["trips"] = timed("clean_features", lambda: trips.count())
     timed("reject_counts", lambda: reject_counts(raw).collect())
     timed("sample_half", lambda: S.sample_exact(trips, max(1, info["trips"] // 2), 7).count())
-    train = timed("training_sample", lambda: S.sample_exact(trips, TRAIN_ROWS, 42).checkpoint(eager=True))
+    train = timed("training_sample", lambda: trips.checkpoint(eager=True))
     th = timed("fare_quantiles_labels", lambda: G.fare_thresholds(train))
     stats = timed("feature_stats", lambda: ST.feature_stats_row(train, FEATURES))
     z = ST.scaled_features(train, FEATURES, stats=stats).persist()
@@ -75,7 +75,7 @@ def main() -> None:
     import numpy as np
     center = np.array([stats.mean[c] for c in FEATURES])
     init = timed("gmm_init", lambda: X.init_from_clusters(kl, FEATURES, "cluster", 5, center))
-    gm, _ = timed("gmm_fit", lambda: X.gmm_fit(train, FEATURES, init, center=center, max_iter=500))
+    gm, _ = timed("gmm_fit", lambda: X.gmm_fit(train, FEATURES, init, center=center))
     info["gmm_rounds"] = gm.rounds
     info["gmm_converged"] = gm.converged
     timed("component_summary", lambda: G.segment_summary(

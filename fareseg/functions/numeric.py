@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 # A plain decimal number with optional sign and exponent,
 # surrounding blanks allowed. Anything else (text, nan, inf, suffixes such as
-# "1d") is not a number. The datetime form is "YYYY-MM-DD HH:MM:SS".
+# "1d") is not a number. A datetime is "Y-M-D H:M" with one- or two-digit month,
+# day and hour, and optional seconds and fraction.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-DATETIME_PATTERN = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+DATETIME_PATTERN = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$"
 MAX_DOUBLE = 1.7976931348623157e308
 
 
@@ -33,7 +34,7 @@ def is_finite(c) -> Column:
 
 
 def to_datetime(c) -> Column:
-    """TIMESTAMP_NTZ for a well-formed ``YYYY-MM-DD HH:MM:SS`` value, else NULL."""
+    """TIMESTAMP_NTZ for a well-formed value (see ``DATETIME_PATTERN``), else NULL."""
     c = col_(c)
     return F.when(c.rlike(DATETIME_PATTERN), c.try_cast("timestamp_ntz"))
 
@@ -43,10 +44,5 @@ def iso_weekday(ts) -> Column:
     return (F.weekday(col_(ts)) + 1).cast("int")
 
 
-def safe_div(num, den) -> Column:
-    """num / den, NULL when den is 0 (ANSI raises on x / 0)."""
-    return col_(num) / F.nullif(col_(den), F.lit(0))
-
-
 def rounded(c, digits: int = 6) -> Column:
     return F.round(col_(c), digits)

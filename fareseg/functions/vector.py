@@ -44,10 +44,6 @@ def sq_norm(cols: Sequence[str]) -> str:
     return sum_sql([f"({q(c)} * {q(c)})" for c in cols])
 
 
-def dot(cols: Sequence[str], vec: Sequence[float]) -> str:
-    return sum_sql([f"({q(c)} * {lit(v)})" for c, v in zip(cols, vec)])
-
-
 def first_argmin(names: Sequence[str]) -> str:
     """0-based index of the smallest column, first index on ties."""
     m = "least(" + ", ".join(q(n) for n in names) + ")"
@@ -58,8 +54,3 @@ def first_argmax(names: Sequence[str]) -> str:
     """0-based index of the largest column, first index on ties."""
     m = "greatest(" + ", ".join(q(n) for n in names) + ")"
     return "cast(case " + " ".join(f"when {q(n)} = {m} then {i}" for i, n in enumerate(names)) + " end as int)"
-
-
-def pick(index_col: str, values: Sequence[str]) -> str:
-    """values[index] as a CASE over the (small) index range."""
-    return "case " + " ".join(f"when {q(index_col)} = {i} then {v}" for i, v in enumerate(values)) + " end"

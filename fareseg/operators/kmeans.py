@@ -291,7 +291,3 @@ def model_silhouette(df: DataFrame, model: KMeansModel) -> float:
 def cluster_means(df: DataFrame, key: str, cols) -> DataFrame:
     """Per-cluster mean of (unscaled) columns (A10)."""
     return df.groupBy(key).agg(*[F.avg(c).alias(c) for c in cols])
-
-
-def nan_to_none(v: float):
-    return None if v is None or (isinstance(v, float) and math.isnan(v)) else v

@@ -29,6 +29,9 @@ LOG_2PI = math.log(2.0 * math.pi)
 # Eigenvalues below 1e6 * machine epsilon * largest |eigenvalue|
 # are treated as zero; exp() of a log density below this underflows to 0.
 EIG_CUTOFF_FACTOR = 1e6
+# A singular Gaussian has density 0 off its subspace: further than this many times the
+# standard deviation at the eigenvalue cut-off along a dropped direction.
+SUPPORT_FACTOR = 10.0
 LOG_UNDERFLOW = math.log(np.nextafter(0.0, 1.0))
 
 
@@ -38,6 +41,8 @@ class Gaussian:
     proj: np.ndarray        # (d, rank)
     log_pdet: float
     rank: int
+    null: np.ndarray        # (d, d - rank): dropped directions
+    reach: float            # how far along them a point may lie and still be in the support
 
 
 @dataclass
@@ -60,7 +65,8 @@ def prepare(mu: np.ndarray, sigma: np.ndarray) -> Gaussian:
     eps = EIG_CUTOFF_FACTOR * np.finfo(float).eps * top
     keep = s > eps
     proj = u[:, keep] / np.sqrt(s[keep])
-    return Gaussian(np.asarray(mu, float), proj, float(np.sum(np.log(s[keep]))), int(keep.sum()))
+    return Gaussian(np.asarray(mu, float), proj, float(np.sum(np.log(s[keep]))), int(keep.sum()), u[:, ~keep],
+                    SUPPORT_FACTOR * math.sqrt(eps))
 
 
 def _projections(cols, gs: list[Gaussian]) -> list[str]:
@@ -69,12 +75,19 @@ def _projections(cols, gs: list[Gaussian]) -> list[str]:
         for i in range(g.rank):
             terms = [f"(({q(c)} - {lit(g.mu[a])}) * {lit(g.proj[a, i])})" for a, c in enumerate(cols)]
             out.append(f"{sum_sql(terms)} as _z{j}_{i}")
+        for i in range(g.null.shape[1]):
+            terms = [f"(({q(c)} - {lit(g.mu[a])}) * {lit(g.null[a, i])})" for a, c in enumerate(cols)]
+            out.append(f"{sum_sql(terms)} as _o{j}_{i}")
     return out
 
 
 def _logpdf(j: int, g: Gaussian) -> str:
     maha = sum_sql([f"(_z{j}_{i} * _z{j}_{i})" for i in range(g.rank)]) if g.rank else "0.0D"
-    return f"(-0.5D * ({lit(g.rank * LOG_2PI + g.log_pdet)} + ({maha})))"
+    dens = f"(-0.5D * ({lit(g.rank * LOG_2PI + g.log_pdet)} + ({maha})))"
+    if not g.null.shape[1]:
+        return dens
+    off = " or ".join(f"abs(_o{j}_{i}) > {lit(g.reach)}" for i in range(g.null.shape[1]))
+    return f"(case when {off} then double('-Infinity') else {dens} end)"
 
 
 def log_density(df: DataFrame, cols, model: Mixture, keep=("trip_id",)) -> DataFrame:
@@ -100,7 +113,8 @@ def responsibilities(df: DataFrame, cols, model: Mixture, keep=("trip_id",), und
     step = step.selectExpr(*base, *[f"_ld{j}" for j in range(k)], *[f"_l{j}" for j in range(k)], "_m",
                            *[f"exp(_l{j} - _m) as _e{j}" for j in range(k)])
     total = sum_sql([f"_e{j}" for j in range(k)])
-    r = [f"_e{j} / ({total})" for j in range(k)]
+    # a row off every support gets the weights themselves
+    r = [f"case when _m = double('-Infinity') then {lit(model.phi[j])} else _e{j} / ({total}) end" for j in range(k)]
     if underflow == "uniform":
         # every density underflows to 0 -> the reference falls back to 1/k, i.e. r = phi
         cond = "greatest(" + ", ".join(f"_ld{j}" for j in range(k)) + f") < {lit(LOG_UNDERFLOW)}"
@@ -184,7 +198,7 @@ def init_from_clusters(df: DataFrame, cols, cluster_col: str, k: int, center: np
     return Mixture(W[live] / W.sum(), mu[live], sigma[live])
 
 
-def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int | None = 500,
+def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int | None = None,
             em_schedule: str = "two_phase", center: np.ndarray | None = None, persist: bool = True,
             underflow: str = "exact", engine: str = "arrow") -> tuple[Mixture, Mixture]:
     """EM until sum |delta phi| <= tol (checked before the M-step of each
@@ -217,8 +231,9 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
                     [f"_r{j}" for j in range(k)], center)
             else:
                 moments = lambda m: batched_moments(data, cols, {"m": m}, center, underflow)["m"]
+                weights_only = lambda m: batched_weights(data, cols, m, underflow)
             if em_schedule == "two_phase":
-                W0, _, _ = moments(model)
+                W0 = weights_only(model) if engine != "sql" else moments(model)[0]
                 new_phi = W0 / W0.sum()
                 delta = float(np.sum(np.abs(new_phi - model.phi)))
                 model = Mixture(new_phi, model.mu, model.sigma)
@@ -258,11 +273,14 @@ def _np_resp(x: np.ndarray, gs: list[Gaussian], phi: np.ndarray, underflow: str)
     for j, g in enumerate(gs):
         z = (x - g.mu) @ g.proj
         ld[:, j] = -0.5 * ((g.rank * LOG_2PI + g.log_pdet) + (z * z).sum(axis=1))
+        if g.null.shape[1]:
+            ld[(np.abs((x - g.mu) @ g.null) > g.reach).any(axis=1), j] = -np.inf
     with np.errstate(divide="ignore"):
         lw = ld + np.log(phi)[None, :]
     m = lw.max(axis=1, keepdims=True)
-    e = np.exp(lw - m)
-    r = e / e.sum(axis=1, keepdims=True)
+    e = np.exp(lw - np.where(np.isfinite(m), m, 0.0))
+    total = e.sum(axis=1, keepdims=True)
+    r = np.where(total > 0, e / np.where(total > 0, total, 1.0), phi[None, :])
     if underflow == "uniform":
         under = ld.max(axis=1) < LOG_UNDERFLOW
         r[under] = phi
@@ -288,7 +306,7 @@ def _moment_partials(cols, models: dict[str, tuple[list[Gaussian], np.ndarray]],
                 rows = {"tag": [tag] * len(gs), "component": np.arange(len(gs)), "W": W}
                 for a in range(d):
                     rows[f"S{a}"] = S[:, a]
-                Qs = np.einsum("nk,na,nb->kab", r, xc, xc)
+                Qs = np.stack([(xc * r[:, [j]]).T @ xc for j in range(len(gs))])
                 for a, b in zip(*iu):
                     rows[f"Q{a}_{b}"] = Qs[:, a, b]
                 out.append(pd.DataFrame(rows))
@@ -297,6 +315,26 @@ def _moment_partials(cols, models: dict[str, tuple[list[Gaussian], np.ndarray]],
     return run
 
 
+def batched_weights(data: DataFrame, cols, model: Mixture, underflow: str = "exact") -> np.ndarray:
+    """One scan: each component's summed responsibilities, without the moments."""
+    cols = list(cols)
+    gs, phi = [prepare(model.mu[j], model.sigma[j]) for j in range(model.k)], np.asarray(model.phi, float)
+
+    def run(batches):
+        import pandas as pd
+        total = np.zeros(len(gs))
+        for pdf in batches:
+            if len(pdf):
+                total += _np_resp(pdf[cols].to_numpy(dtype=float), gs, phi, underflow).sum(axis=0)
+        yield pd.DataFrame({"component": np.arange(len(gs)), "W": total})
+
+    rows = data.select(*cols).mapInPandas(run, "component long, W double").groupBy("component").agg(F.sum("W").alias("W"))
+    out = np.zeros(model.k)
+    for r in rows.collect():
+        out[r["component"]] = r["W"]
+    return out
+
+
 def batched_moments(data: DataFrame, cols, models: dict[str, Mixture], center: np.ndarray,
                     underflow: str = "exact") -> dict[str, tuple]:
     """One scan: (W, S, Q) of the responsibilities under each model."""

@@ -18,36 +18,38 @@ from pyspark.sql import functions as F
 
 
 def _in(col: str, lo, hi):
+    """Inside the open bracket (lo, hi)."""
     c = F.col(col)
     cond = F.lit(True)
     if lo is not None:
         cond = cond & (c > F.lit(lo))
     if hi is not None:
-        cond = cond & (c <= F.lit(hi))
+        cond = cond & (c < F.lit(hi))
     return cond
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], accuracy: int = 10000,
                     final_rows: int = 100_000, n: int | None = None) -> dict[tuple[str, float], float]:
-    """``{(col, q): value}``; NULLs are ignored (as percentile_disc does)."""
+    """``{(col, q): value}``; NULLs are ignored (as percentile_disc does).
+
+    Every pass counts the rows below and up to both edges of each open target:
+    a rank inside an edge's run of equal values is answered there and then, so
+    ties cost nothing, and a bracket always loses its edges, so passes end.
+    """
     if n is None:
         r = df.agg(*[F.count(c).alias(c) for c in cols]).first()
         counts = {c: int(r[c]) for c in cols}
     else:
         counts = {c: n for c in cols}
-    # state per target: bracket (lo, hi], rows at or below lo, rows inside
-    state = {}
+    # state per target: open bracket (lo, hi), rows at or below lo, rows inside
+    state, out = {}, {}
     for c in cols:
         for q in qs:
-            if counts[c] == 0:
-                continue
-            state[(c, q)] = {"rank": max(1, math.ceil(q * counts[c])), "lo": None, "hi": None,
-                             "below": 0, "inside": counts[c]}
+            if counts[c]:
+                state[(c, q)] = {"rank": max(1, math.ceil(q * counts[c])), "lo": None, "hi": None,
+                                 "below": 0, "inside": counts[c]}
     delta = 2.0 / accuracy
-    for _ in range(64):
-        open_ = [t for t, s in state.items() if s["inside"] > final_rows]
-        if not open_:
-            break
+    while open_ := [t for t, s in state.items() if t not in out and s["inside"] > final_rows]:
         # 1) approximate values around the target rank inside each bracket
         aggs = []
         for i, (c, q) in enumerate(open_):
@@ -57,27 +59,28 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], accuracy: i
             x = F.when(_in(c, s["lo"], s["hi"]), F.col(c))
             aggs.append(F.percentile_approx(x, probs, accuracy).alias(f"a{i}"))
         approx = df.agg(*aggs).first()
-        # 2) exact counts at the candidate edges
+        # 2) exact counts below and up to the candidate edges
         cnt = []
         for i, (c, q) in enumerate(open_):
-            a, b = approx[f"a{i}"]
-            cnt += [F.count_if(F.col(c) <= F.lit(a)).alias(f"l{i}"), F.count_if(F.col(c) <= F.lit(b)).alias(f"h{i}")]
+            for j, v in enumerate(approx[f"a{i}"]):
+                cnt += [F.count_if(F.col(c) < F.lit(v)).alias(f"l{i}_{j}"), F.count_if(F.col(c) <= F.lit(v)).alias(f"u{i}_{j}")]
         edges = df.agg(*cnt).first()
         for i, t in enumerate(open_):
             s = state[t]
-            a, b = approx[f"a{i}"]
-            la, lb = edges[f"l{i}"], edges[f"h{i}"]
-            top = s["below"] + s["inside"]
-            if la < s["rank"] <= lb:
-                s.update(lo=a, hi=b, below=la, inside=lb - la)
-            elif s["rank"] <= la:
-                s.update(hi=a, inside=la - s["below"])
-            else:
-                s.update(lo=b, below=lb, inside=top - lb)
-    out = {}
+            for j, v in enumerate(approx[f"a{i}"]):
+                less, upto = edges[f"l{i}_{j}"], edges[f"u{i}_{j}"]
+                top = s["below"] + s["inside"]
+                if less < s["rank"] <= upto:
+                    out[t] = float(v)
+                    break
+                if s["rank"] > upto and upto >= s["below"]:
+                    s.update(lo=v, below=upto, inside=top - upto)
+                elif s["rank"] <= less and less <= top:
+                    s.update(hi=v, inside=less - s["below"])
     for (c, q), s in state.items():
-        pos = s["rank"] - s["below"]  # 1-based inside the bracket
-        row = (df.where(_in(c, s["lo"], s["hi"]) & F.col(c).isNotNull()).select(c)
-               .orderBy(c).offset(pos - 1).limit(1).first())
-        out[(c, q)] = float(row[0])
+        if (c, q) not in out:
+            pos = s["rank"] - s["below"]  # 1-based inside the bracket
+            row = (df.where(_in(c, s["lo"], s["hi"]) & F.col(c).isNotNull()).select(c)
+                   .orderBy(c).offset(pos - 1).limit(1).first())
+            out[(c, q)] = float(row[0])
     return out

@@ -77,9 +77,8 @@ def multi_round_scan(data: DataFrame, cols: list[str],
               + ", q double, ch double, dist double, d2 double")
     parts = data.select(*cols).mapInPandas(_partials(list(cols), models), schema)
     sums = ["n"] + [f"s{f}" for f in range(d)] + ["q", "ch", "dist", "d2"]
-    # map-side partial sums, then one task merges them (the final input is
-    # at most sum(k) rows per map task)
-    rows = parts.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in sums]).coalesce(1).collect()
+    # map-side partial sums: at most sum(k) rows per map task reach the merge
+    rows = parts.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in sums]).collect()
     out = {mid: ClusterStats(np.zeros(cur.shape[0]), np.zeros((cur.shape[0], d)), np.zeros(cur.shape[0]))
            for mid, (cur, _) in models.items()}
     for r in rows:

@@ -20,11 +20,10 @@ from fareseg.operators import sampling as S
 from fareseg.operators import segments as G
 from fareseg.operators import stats as ST
 from fareseg.operators.clean import trips_from_raw
-from fareseg.schema import DEFAULT_K, FARES, FEATURES, TRAIN_ROWS
+from fareseg.schema import DEFAULT_K, FARES, FEATURES
 from fareseg.sources.fixtures import raw_trips
 
 SEED = 42
-KMEANS_MAX_ITER = 200
 _memo: dict[tuple, Any] = {}
 
 
@@ -39,7 +38,7 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.sample_exact(trips(spark, sf_dir), TRAIN_ROWS, SEED)
+    return trips(spark, sf_dir)
 
 
 def feature_stats(spark, sf_dir, scaling: str = "zscore") -> ST.FeatureStats:
@@ -58,7 +57,7 @@ def seeds(spark, sf_dir, k: int = DEFAULT_K) -> np.ndarray:
     return memo(("seeds", sf_dir, k), lambda: S.seed_rows(scaled(spark, sf_dir), k, SEED, FEATURES))
 
 
-def kmeans(spark, sf_dir, k: int = DEFAULT_K, max_iter: int | None = KMEANS_MAX_ITER) -> K.KMeansModel:
+def kmeans(spark, sf_dir, k: int = DEFAULT_K, max_iter: int | None = None) -> K.KMeansModel:
     def fit():
         z = scaled(spark, sf_dir)
         return K.kmeans_fit(z, FEATURES, init=seeds(spark, sf_dir, k), max_iter=max_iter)
@@ -98,9 +97,6 @@ __all__ = ["FARES", "FEATURES", "clustered", "covariance_long", "feature_stats",
            "labelled", "memo", "scaled", "seeds", "thresholds", "train", "trips"]
 
 
-GMM_MAX_ITER = 500
-
-
 def gmm_init(spark, sf_dir, k: int = DEFAULT_K):
     from fareseg.operators import mixture as X
 
@@ -118,7 +114,7 @@ def gmm(spark, sf_dir, k: int = DEFAULT_K, em_schedule: str = "two_phase"):
     def run():
         st = feature_stats(spark, sf_dir)
         center = np.array([st.mean[c] for c in FEATURES])
-        return X.gmm_fit(train(spark, sf_dir), FEATURES, gmm_init(spark, sf_dir, k), max_iter=GMM_MAX_ITER,
+        return X.gmm_fit(train(spark, sf_dir), FEATURES, gmm_init(spark, sf_dir, k),
                          em_schedule=em_schedule, center=center)
     return memo(("gmm", sf_dir, k, em_schedule), run)
 

@@ -8,7 +8,7 @@ MATERIALIZED CTE per round). Floats are rounded to 6 digits on both sides.
 from __future__ import annotations
 
 from fareseg.functions.numeric import DATETIME_PATTERN, NUMBER_PATTERN
-from fareseg.schema import FARES, FEATURES, TRAIN_ROWS
+from fareseg.schema import FARES, FEATURES
 from fareseg.sources.fixtures import raw_trips_sql
 
 SEED = 42
@@ -71,7 +71,7 @@ BASE: dict[str, str] = {
     "trips": """select trip_id, cast(isodow(ts) as integer) as weekday, cast(hour(ts) as integer) as hour,
         pu_lon, pu_lat, do_lon, do_lat, secs / 60.0 as trip_min, fare, surcharge, tip, toll, distance
         from clean""",
-    "train": f"select * from trips order by {md5_key()}, trip_id limit {TRAIN_ROWS}",
+    "train": "select * from trips",
 }
 
 DEPS = {

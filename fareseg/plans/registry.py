@@ -87,13 +87,13 @@ from fareseg.functions.numeric import rounded  # noqa: E402
 from fareseg.operators import sampling as S  # noqa: E402
 from fareseg.operators import segments as G  # noqa: E402
 from fareseg.operators import stats as ST  # noqa: E402
-from fareseg.schema import FARES, FEATURES, TRAIN_ROWS  # noqa: E402
+from fareseg.schema import FARES, FEATURES  # noqa: E402
 from fareseg.sources import text as TX  # noqa: E402
 
 
 def load_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The training sample: the reference's 200,000-row exact sample."""
-    return S.sample_exact(load_trips(spark, sf_dir), TRAIN_ROWS, SEED)
+    """The training rows: every cleaned trip (``sample_trips`` shows the exact-size sample)."""
+    return load_trips(spark, sf_dir)
 
 
 def r6(cols):
@@ -379,7 +379,7 @@ def q_pick_k(spark, sf_dir):
 
 @query("segment_trips")
 def q_segment_trips(spark, sf_dir):
-    res = P.segment_trips(load_raw(spark, sf_dir), mixture=False, max_iter=M.KMEANS_MAX_ITER)
+    res = P.segment_trips(load_raw(spark, sf_dir), mixture=False)
     return res.cluster_summary.select("cluster", "n", *r6(SUMMARY_COLS))
 
 
@@ -397,7 +397,7 @@ def _emb_model(spark, sf_dir):
     def fit():
         emb = load_embeddings(spark, sf_dir)
         seeds = S.seed_rows(emb, EMB_K, SEED, EMB_COLS, key="vec_id")
-        return K.kmeans_fit(emb, EMB_COLS, init=seeds, max_iter=M.KMEANS_MAX_ITER)
+        return K.kmeans_fit(emb, EMB_COLS, init=seeds)
     return M.memo(("emb_kmeans", sf_dir), fit)
 
 
@@ -427,7 +427,7 @@ def _gmm2(spark, sf_dir):
         zc = [f"z_{c}" for c in GMM2_COLS]
         z = train.select("trip_id", *GMM2_COLS, *ST.scale_columns(st, GMM2_COLS, prefix="z_"))
         seeds = S.seed_rows(z, GMM2_K, SEED, zc)
-        km = K.kmeans_fit(z, zc, init=seeds, max_iter=M.KMEANS_MAX_ITER)
+        km = K.kmeans_fit(z, zc, init=seeds)
         kl = K.assign(z, zc, km.centroids, keep=("trip_id", *GMM2_COLS))
         center = np.array([st.mean[c] for c in GMM2_COLS])
         init = X.init_from_clusters(kl, GMM2_COLS, "cluster", GMM2_K, center)

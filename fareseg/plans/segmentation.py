@@ -23,7 +23,7 @@ from fareseg.operators import stats as ST
 from fareseg.operators import sweep as SW
 from fareseg.operators.clean import trips_from_raw
 from fareseg.plans.models import clustered
-from fareseg.schema import DEFAULT_K, FEATURES, SWEEP_KS, TRAIN_ROWS
+from fareseg.schema import DEFAULT_K, FEATURES, SWEEP_KS
 from fareseg.session import ensure_checkpoint_dir
 
 
@@ -40,10 +40,12 @@ class SegmentResult:
     component_summary: DataFrame | None = None
 
 
-def training_sample(raw: DataFrame, n: int = TRAIN_ROWS, seed: int = 42, require: str = "any",
+def training_sample(raw: DataFrame, n: int | None = None, seed: int = 42, require: str = "any",
                     checkpoint: bool = True) -> DataFrame:
-    """Clean, derive features and draw the exact-size sample (checkpointed)."""
-    sample = S.sample_exact(trips_from_raw(raw, require), n, seed)
+    """Clean and derive features of all rows, or of an exact-size sample of ``n`` (checkpointed)."""
+    sample = trips_from_raw(raw, require)
+    if n is not None:
+        sample = S.sample_exact(sample, n, seed)
     if checkpoint:
         ensure_checkpoint_dir(raw.sparkSession)
         sample = sample.checkpoint(eager=True)
@@ -72,9 +74,9 @@ def pick_k(scores: DataFrame, by: str = "silhouette") -> DataFrame:
     return scores.orderBy(F.desc(by), F.asc("k")).limit(1).select("k")
 
 
-def segment_trips(raw: DataFrame, k: int = DEFAULT_K, seed: int = 42, n: int = TRAIN_ROWS,
+def segment_trips(raw: DataFrame, k: int = DEFAULT_K, seed: int = 42, n: int | None = None,
                   scaling: str = "zscore", max_iter: int | None = None, mixture: bool = True,
-                  em_schedule: str = "two_phase", em_max_iter: int | None = 500, labels: str = "final",
+                  em_schedule: str = "two_phase", em_max_iter: int | None = None, labels: str = "final",
                   checkpoint: bool = True) -> SegmentResult:
     train = training_sample(raw, n, seed, checkpoint=checkpoint)
     thresholds = G.fare_thresholds(train)

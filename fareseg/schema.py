@@ -2,20 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Model features (fitted) and fare columns (used only for labels and summaries),
 # in the order of the training row.
 FEATURES = ["weekday", "hour", "pu_lon", "pu_lat", "do_lon", "do_lat", "trip_min"]
 FARES = ["fare", "surcharge", "tip", "toll", "distance"]
 TRIP_COLUMNS = ["trip_id"] + FEATURES + FARES
 
-TRIP_SCHEMA = T.StructType(
-    [T.StructField("trip_id", T.LongType())]
-    + [T.StructField(c, T.IntegerType()) for c in ("weekday", "hour")]
-    + [T.StructField(c, T.DoubleType()) for c in FEATURES[2:] + FARES]
-)
-
 # Layout of one raw trip line and the accepted ranges.
 RAW_ARITY = 17
 RAW_POSITIONS = {
@@ -40,8 +32,6 @@ DEFAULT_BOUNDS = {
 }
 # Segment quantiles: top level at q75, bottom level below q25 (q50 reported only).
 LABEL_QUANTILES = (0.75, 0.5, 0.25)
-# Reference training sample size and the k it settled on.
-TRAIN_ROWS = 200_000
+# The k the sweep settled on.
 DEFAULT_K = 5
 SWEEP_KS = tuple(range(2, 21))
-EM_TOL = 1e-4

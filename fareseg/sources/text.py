@@ -14,8 +14,8 @@ def read_raw_trips(spark: SparkSession, path: str) -> DataFrame:
 
     Compression follows the file suffix (``.bz2`` and ``.gz`` handled by the
     Hadoop codecs; bz2 stays splittable). ``trip_id`` comes from
-    ``monotonically_increasing_id``: unique and stable for a fixed file set,
-    because file splits are deterministic.
+    ``monotonically_increasing_id``: unique, and the same on every read with
+    the same file splits (split sizes follow the session's settings).
     """
     lines = spark.read.text(path)
     return lines.select(
@@ -48,7 +48,9 @@ def read_training_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def format_training_text(trips: DataFrame, digits: int = 6) -> DataFrame:
-    """Write-side twin of :func:`parse_training_text` (numbers at fixed scale)."""
+    """Write-side twin of :func:`parse_training_text` (numbers at fixed scale;
+    one too large for it is written as the double's own text)."""
     vals = [F.col(c).cast("string") if c in ("weekday", "hour")
-            else F.col(c).cast(f"decimal(18,{digits})").cast("string") for c in FEATURES + FARES]
+            else F.coalesce(F.col(c).try_cast(f"decimal(18,{digits})").cast("string"), F.col(c).cast("string"))
+            for c in FEATURES + FARES]
     return trips.select("trip_id", F.concat(F.lit("("), F.concat_ws(", ", *vals), F.lit(")")).alias("line"))

@@ -64,3 +64,13 @@ def test_counts_sum_to_input(spark):
     lines = [GOOD] + [ln for v in CASES.values() for ln in v]
     got = first_rule(spark, lines)
     assert sum(got.values()) == len(lines) and got["kept"] == 1
+
+
+def test_short_and_fractional_datetimes_are_kept(spark):
+    from pyspark.sql import functions as F
+
+    from fareseg.functions.numeric import to_datetime
+
+    df = spark.createDataFrame([("2013-1-7 08:15:00",), ("2013-01-07 08:15:00.0",), ("2013-01-07 08:15",), ("x",), ("2013-13-01 00:00:00",)], "s string")
+    got = [r[0] for r in df.select(F.hour(to_datetime("s"))).collect()]
+    assert got == [8, 8, 8, None, None]

@@ -61,3 +61,16 @@ def test_exact_quantiles_ceil_rank(spark):
 
 def test_round_half_up():
     assert round_half_up(2.675) == 2.68 and round_half_up(1.005) == 1.01 and round_half_up(-1.005) == -1.01
+
+
+def test_quantiles_on_ties_take_few_passes(spark, monkeypatch):
+    from fareseg.operators.quantiles import exact_quantiles
+
+    rows = [(float(i % 977),) if i % 20 == 0 else (7.5,) for i in range(20000)]
+    df = spark.createDataFrame(rows, "x double")
+    passes, agg = [], type(df).agg
+    monkeypatch.setattr(type(df), "agg", lambda self, *a: (passes.append(1), agg(self, *a))[1])
+    got = exact_quantiles(df, ["x"], [0.25, 0.5, 0.99], final_rows=100)
+    values = sorted(r[0] for r in rows)
+    assert got == {("x", q): values[-(-int(q * 100) * len(rows) // 100) - 1] for q in (0.25, 0.5, 0.99)}
+    assert len(passes) <= 9

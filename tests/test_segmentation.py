@@ -17,7 +17,7 @@ from fareseg.streaming import score as STREAM
 
 @pytest.fixture(scope="module")
 def result(spark):
-    return P.segment_trips(raw_trips(spark, SF_SMALL), em_max_iter=60)
+    return P.segment_trips(raw_trips(spark, SF_SMALL), em_max_iter=40)
 
 
 def test_summary_invariants(result):

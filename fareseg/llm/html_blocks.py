@@ -327,8 +327,10 @@ def redressed(page, others: list, rng: np.random.Generator):
 
 def fit(pages: DataFrame, max_rows: int = MAX_TRAIN, layouts: int = 4, seed: int = 7) -> Labeller:
     """A labeller trained on at most ``max_rows`` pages, each as it is and in ``layouts`` other layouts."""
-    rows = (pages.where(F.col("html").isNotNull()).select("page_id", "html")
-            .orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(max_rows).collect())
+    some = pages.where("html is not null and page_id is not null")
+    pick = some.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(max_rows)  # ids first, then their html
+    rows = some.join(F.broadcast(pick), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).collect()
+    rows.sort(key=lambda r: r["page_id"])
     rng, read = np.random.default_rng(seed), [blocks(r["html"]) for r in rows]
     others = [b for p in read for b in p] or [((), "none", 0)]
     data, labels = [], []

@@ -186,19 +186,19 @@ WIDE_MODEL = 256
 
 def kmeans_fit(df: DataFrame, cols, k: int | None = None, seed: int = 42, max_iter: int | None = None,
                init: np.ndarray | None = None, key: str = "trip_id", persist: bool = True,
-               engine: str = "auto") -> KMeansModel:
+               engine: str = "arrow") -> KMeansModel:
     """Lloyd iterations from k seed rows until no row changes cluster.
 
     ``max_iter=None`` means no cap (as the reference); the result says whether
     it converged. ``init`` replaces the seeds (k is then its row count).
-    ``engine``: "sql" (column expressions), "arrow" (NumPy per Arrow batch) or
-    "auto" (sql unless k x d is wide).
+    ``engine``: "arrow" (NumPy per Arrow batch, one plan for all rounds) or "sql"
+    (column expressions, a new plan each round).
     """
     cols = list(cols)
     if init is None:
         init = seed_rows(df, k, seed, cols, key)
     init = np.array(init, dtype=float)
-    if engine == "arrow" or (engine == "auto" and init.size > WIDE_MODEL):
+    if engine == "arrow":
         from fareseg.operators.sweep import kmeans_many
         return kmeans_many(df, cols, {0: init}, max_iter=max_iter, persist=persist)[0]
     data = loop_input(df, cols) if persist else df.select(*cols)

@@ -28,7 +28,7 @@ from fareseg.llm.common import by_batch, written
 from fareseg.llm.components import components
 
 THRESHOLD = 0.93
-RECALL = 0.997
+RECALL = 0.99999
 BLOCK = 1024
 
 

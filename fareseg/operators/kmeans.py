@@ -61,6 +61,11 @@ class KMeansModel:
         return self.stats.wssse
 
 
+# Above this many centroid coordinates (k x d) unrolled per-row expressions outgrow
+# the JVM method-size limit; ``assign`` then labels rows with NumPy.
+WIDE_MODEL = 256
+
+
 def distance_exprs(cols, centroids, prefix="_d") -> list[str]:
     return [f"{sq_distance(cols, c)} as {prefix}{j}" for j, c in enumerate(centroids)]
 
@@ -179,11 +184,6 @@ def update_centroids(stats: ClusterStats, previous: np.ndarray) -> np.ndarray:
     return new
 
 
-# Above this many centroid coordinates (k x d) the unrolled expressions stop
-# fitting the JVM method-size limit; the Arrow-batched round takes over.
-WIDE_MODEL = 256
-
-
 def kmeans_fit(df: DataFrame, cols, k: int | None = None, seed: int = 42, max_iter: int | None = None,
                init: np.ndarray | None = None, key: str = "trip_id", persist: bool = True,
                engine: str = "arrow") -> KMeansModel:
@@ -225,7 +225,9 @@ def kmeans_fit(df: DataFrame, cols, k: int | None = None, seed: int = 42, max_it
 
 def kmeans_update(df: DataFrame, cols, centroids: np.ndarray) -> tuple[np.ndarray, ClusterStats]:
     """One centroid update from ``centroids`` (A6)."""
-    st = round_scan(df.select(*cols), list(cols), np.asarray(centroids, float), None)
+    from fareseg.operators.sweep import multi_round_scan
+
+    st = multi_round_scan(df, list(cols), {0: (np.asarray(centroids, float), None)})[0]
     return update_centroids(st, np.asarray(centroids, float)), st
 
 
@@ -281,11 +283,11 @@ def silhouette(df: DataFrame, cols, pred: str = "prediction") -> float:
 
 
 def model_silhouette(df: DataFrame, model: KMeansModel) -> float:
-    if model.centroids.size > WIDE_MODEL:
-        from fareseg.operators.sweep import multi_silhouette
-        return multi_silhouette(df, model.cols, {0: model})[0]
-    labelled = assign(df, model.cols, model.centroids, keep=tuple(model.cols), name="_kc")
-    return silhouette_from_stats(labelled, model.cols, "_kc", model.stats.n, model.stats.sums, model.stats.sqnorm)
+    from fareseg.operators.sweep import multi_silhouette
+
+    if (model.stats.n > 0).sum() < 2:
+        raise ValueError("silhouette needs at least two non-empty clusters")
+    return multi_silhouette(df, model.cols, {0: model})[0]
 
 
 def cluster_means(df: DataFrame, key: str, cols) -> DataFrame:

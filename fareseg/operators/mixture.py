@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareseg.functions.vector import first_argmax, lit, q, sum_sql
+from fareseg.operators.scan import summed
 
 LOG_2PI = math.log(2.0 * math.pi)
 # Eigenvalues below 1e6 * machine epsilon * largest |eigenvalue|
@@ -200,17 +201,25 @@ def init_from_clusters(df: DataFrame, cols, cluster_col: str, k: int, center: np
 
 def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int | None = None,
             em_schedule: str = "two_phase", center: np.ndarray | None = None, persist: bool = True,
-            underflow: str = "exact", engine: str = "arrow") -> tuple[Mixture, Mixture]:
+            underflow: str = "exact", engine: str = "arrow", covariance: str = "weighted",
+            ridge: float = 0.0) -> tuple[Mixture, Mixture]:
     """EM until sum |delta phi| <= tol (checked before the M-step of each
     round, which still runs, as in the reference). Returns (final model,
     lagged model) where the lagged one is what the reference labels with:
     last phi, Gaussians from before the last M-step.
 
-    ``engine="arrow"`` computes each scan's responsibilities and moment
-    partial sums per Arrow batch (k rows per batch, then a groupBy);
-    ``engine="sql"`` uses the column-expression E-step and a global aggregate.
-    Both give the same model up to summation order.
+    ``engine="arrow"`` computes each scan's responsibilities and moments with
+    NumPy, one model-sized sum a task; ``engine="sql"`` uses the
+    column-expression E-step and a global aggregate. Both give the same model
+    up to summation order.
+
+    ``covariance="as_written"`` fits with the reference's component covariance
+    (see :func:`sigma_as_written`; k <= number of features). ``ridge`` is added
+    to the diagonal of every covariance, the seeds' too, in the features' own
+    squared units, so the features should be on one scale.
     """
+    if covariance not in ("weighted", "as_written"):
+        raise ValueError("covariance must be 'weighted' or 'as_written'")
     from fareseg.operators.kmeans import loop_input
 
     cols = list(cols)
@@ -219,7 +228,8 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
         if center is None:
             r = data.agg(*[F.avg(c).alias(c) for c in cols]).first()
             center = np.array([r[c] for c in cols], float)
-        model = Mixture(np.array(init.phi, float), np.array(init.mu, float), np.array(init.sigma, float))
+        lift = ridge * np.eye(len(cols))
+        model = Mixture(np.array(init.phi, float), np.array(init.mu, float), np.array(init.sigma, float) + lift)
         k = model.k
         deltas: list[float] = []
         lagged = model
@@ -230,7 +240,7 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
                     responsibilities(data, cols, m, keep=(), underflow=underflow), cols,
                     [f"_r{j}" for j in range(k)], center)
             else:
-                moments = lambda m: batched_moments(data, cols, {"m": m}, center, underflow)["m"]
+                moments = lambda m: batched_moments(data, cols, m, center, underflow)
                 weights_only = lambda m: batched_weights(data, cols, m, underflow)
             if em_schedule == "two_phase":
                 W0 = weights_only(model) if engine != "sql" else moments(model)[0]
@@ -246,6 +256,9 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
                 raise ValueError("em_schedule must be 'two_phase' or 'single'")
             lagged = Mixture(new_phi, model.mu, model.sigma)
             mu, sigma = moments_to_params(W, S, Q, center)
+            if covariance == "as_written":
+                sigma = sigma_as_written(W, S, Q, center)
+            sigma = sigma + lift
             rounds += 1
             deltas.append(delta)
             model = Mixture(new_phi, mu, sigma, rounds, False, deltas)
@@ -287,77 +300,21 @@ def _np_resp(x: np.ndarray, gs: list[Gaussian], phi: np.ndarray, underflow: str)
     return r
 
 
-def _moment_partials(cols, models: dict[str, tuple[list[Gaussian], np.ndarray]], center, underflow):
-    d = len(cols)
-    iu = np.triu_indices(d)
-
-    def run(batches):
-        import pandas as pd
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            if len(x) == 0:
-                continue
-            xc = x - center
-            out = []
-            for tag, (gs, phi) in models.items():
-                r = _np_resp(x, gs, phi, underflow)
-                W = r.sum(axis=0)
-                S = r.T @ xc
-                rows = {"tag": [tag] * len(gs), "component": np.arange(len(gs)), "W": W}
-                for a in range(d):
-                    rows[f"S{a}"] = S[:, a]
-                Qs = np.stack([(xc * r[:, [j]]).T @ xc for j in range(len(gs))])
-                for a, b in zip(*iu):
-                    rows[f"Q{a}_{b}"] = Qs[:, a, b]
-                out.append(pd.DataFrame(rows))
-            yield pd.concat(out, ignore_index=True)
-
-    return run
-
-
 def batched_weights(data: DataFrame, cols, model: Mixture, underflow: str = "exact") -> np.ndarray:
     """One scan: each component's summed responsibilities, without the moments."""
-    cols = list(cols)
     gs, phi = [prepare(model.mu[j], model.sigma[j]) for j in range(model.k)], np.asarray(model.phi, float)
+    return summed(data, cols, lambda x: _np_resp(x, gs, phi, underflow).sum(axis=0), model.k)
 
-    def run(batches):
-        import pandas as pd
-        total = np.zeros(len(gs))
-        for pdf in batches:
-            if len(pdf):
-                total += _np_resp(pdf[cols].to_numpy(dtype=float), gs, phi, underflow).sum(axis=0)
-        yield pd.DataFrame({"component": np.arange(len(gs)), "W": total})
-
-    rows = data.select(*cols).mapInPandas(run, "component long, W double").groupBy("component").agg(F.sum("W").alias("W"))
-    out = np.zeros(model.k)
-    for r in rows.collect():
-        out[r["component"]] = r["W"]
-    return out
 
+def batched_moments(data: DataFrame, cols, model: Mixture, center: np.ndarray, underflow: str = "exact") -> tuple:
+    """One scan: (W, S, Q) of the responsibilities under ``model``, about ``center``."""
+    d, k = len(cols), model.k
+    gs, phi = [prepare(model.mu[j], model.sigma[j]) for j in range(k)], np.asarray(model.phi, float)
 
-def batched_moments(data: DataFrame, cols, models: dict[str, Mixture], center: np.ndarray,
-                    underflow: str = "exact") -> dict[str, tuple]:
-    """One scan: (W, S, Q) of the responsibilities under each model."""
-    cols = list(cols)
-    d = len(cols)
-    iu = list(zip(*np.triu_indices(d)))
-    prepared = {t: ([prepare(m.mu[j], m.sigma[j]) for j in range(m.k)], np.asarray(m.phi, float))
-                for t, m in models.items()}
-    schema = ("tag string, component long, W double, " + ", ".join(f"S{a} double" for a in range(d)) + ", "
-              + ", ".join(f"Q{a}_{b} double" for a, b in iu))
-    parts = data.select(*cols).mapInPandas(_moment_partials(cols, prepared, np.asarray(center, float), underflow),
-                                           schema)
-    names = ["W"] + [f"S{a}" for a in range(d)] + [f"Q{a}_{b}" for a, b in iu]
-    # map-side partial sums: k rows per batch before the shuffle
-    rows = parts.groupBy("tag", "component").agg(*[F.sum(c).alias(c) for c in names]).collect()
-    out = {}
-    for t, m in models.items():
-        out[t] = (np.zeros(m.k), np.zeros((m.k, d)), np.zeros((m.k, d, d)))
-    for r in rows:
-        W, S, Q = out[r["tag"]]
-        j = r["component"]
-        W[j] = r["W"]
-        S[j] = [r[f"S{a}"] for a in range(d)]
-        for a, b in iu:
-            Q[j, a, b] = Q[j, b, a] = r[f"Q{a}_{b}"]
-    return out
+    def kernel(x):
+        r, xc = _np_resp(x, gs, phi, underflow), x - center
+        return np.concatenate([r.sum(axis=0), (r.T @ xc).ravel(), *[((xc * r[:, [j]]).T @ xc).ravel() for j in range(k)]])
+
+    v = summed(data, cols, kernel, k * (1 + d + d * d))
+    Q = v[k * (1 + d):].reshape(k, d, d)
+    return v[:k], v[k:k * (1 + d)].reshape(k, d), (Q + Q.transpose(0, 2, 1)) / 2.0

@@ -1,10 +1,9 @@
 """Lloyd rounds for many models in one scan (the k sweep).
 
 Each Arrow batch of feature rows is assigned to the nearest centroid of every
-active model with NumPy, and reduced to partial sums per (model, cluster):
-a batch emits at most sum(k) rows. A normal ``groupBy(model, cluster)``
-finishes the sums, so the shuffle carries partial sums only and the driver
-receives sum(k) rows per round. Models that have converged drop out; the
+active model with NumPy and reduced to sums per model and cluster; a task
+emits one model-sized vector of them (see ``scan.py``), so the shuffle carries
+partial sums only. Models that have converged drop out; the
 scan count is the largest round count, not the sum over k.
 
 Distances are accumulated feature by feature, left to right, exactly as the
@@ -13,83 +12,56 @@ column expressions and the SQL oracles do, so ties resolve the same way.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fareseg.operators.kmeans import ClusterStats, KMeansModel, loop_input, update_centroids
 from fareseg.operators.sampling import seed_rows
+from fareseg.operators.scan import summed
 
 
 def _sq_dist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """(m, k) squared distances, summed over features in column order."""
-    diff = x[:, None, :] - c[None, :, :]
-    acc = diff[:, :, 0] * diff[:, :, 0]
-    for f in range(1, x.shape[1]):
-        acc = acc + diff[:, :, f] * diff[:, :, f]
+    acc = np.zeros((len(x), len(c)))
+    for f in range(x.shape[1]):
+        diff = x[:, f, None] - c[None, :, f]
+        acc += diff * diff
     return acc
 
 
-def _partials(cols: list[str], models: dict[int, tuple[np.ndarray, np.ndarray | None]]):
-    d = len(cols)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            if len(x) == 0:
-                continue
-            sq = (x[:, 0] * x[:, 0]).copy()
-            for f in range(1, d):
-                sq = sq + x[:, f] * x[:, f]
-            out = []
-            for mid, (cur, prev) in models.items():
-                k = cur.shape[0]
-                dist = _sq_dist(x, cur)
-                lab = dist.argmin(axis=1)
-                dmin = dist[np.arange(len(x)), lab]
-                if prev is None:
-                    changed = np.ones(len(x))
-                else:
-                    changed = (lab != _sq_dist(x, prev).argmin(axis=1)).astype(float)
-                cols_out = {"model": np.full(k, mid, dtype=np.int64), "cluster": np.arange(k, dtype=np.int64),
-                            "n": np.bincount(lab, minlength=k).astype(np.int64)}
-                for f in range(d):
-                    cols_out[f"s{f}"] = np.bincount(lab, weights=x[:, f], minlength=k)
-                cols_out["q"] = np.bincount(lab, weights=sq, minlength=k)
-                cols_out["ch"] = np.bincount(lab, weights=changed, minlength=k)
-                cols_out["dist"] = np.bincount(lab, weights=np.sqrt(dmin), minlength=k)
-                cols_out["d2"] = np.bincount(lab, weights=dmin, minlength=k)
-                part = pd.DataFrame(cols_out)
-                out.append(part[part["n"] > 0])
-            yield pd.concat(out, ignore_index=True)
-
-    return run
+def _sq_norm(x: np.ndarray) -> np.ndarray:
+    sq = x[:, 0] * x[:, 0]
+    for f in range(1, x.shape[1]):
+        sq = sq + x[:, f] * x[:, f]
+    return sq
 
 
 def multi_round_scan(data: DataFrame, cols: list[str],
                      models: dict[int, tuple[np.ndarray, np.ndarray | None]]) -> dict[int, ClusterStats]:
     """One scan: ClusterStats for every model under assign(cur), changes vs assign(prev)."""
     d = len(cols)
-    schema = ("model long, cluster long, n long, " + ", ".join(f"s{f} double" for f in range(d))
-              + ", q double, ch double, dist double, d2 double")
-    parts = data.select(*cols).mapInPandas(_partials(list(cols), models), schema)
-    sums = ["n"] + [f"s{f}" for f in range(d)] + ["q", "ch", "dist", "d2"]
-    # map-side partial sums: at most sum(k) rows per map task reach the merge
-    rows = parts.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in sums]).collect()
-    out = {mid: ClusterStats(np.zeros(cur.shape[0]), np.zeros((cur.shape[0], d)), np.zeros(cur.shape[0]))
-           for mid, (cur, _) in models.items()}
-    for r in rows:
-        st = out[r["model"]]
-        j = r["cluster"]
-        st.n[j] = r["n"]
-        st.sums[j] = [r[f"s{f}"] for f in range(d)]
-        st.sqnorm[j] = r["q"]
-        st.changed += int(round(r["ch"]))
-        st.sum_distance += r["dist"]
-        st.wssse += r["d2"]
+
+    def kernel(x):
+        sq, out = _sq_norm(x), []
+        for cur, prev in models.values():
+            k = cur.shape[0]
+            dist = _sq_dist(x, cur)
+            lab = dist.argmin(axis=1)
+            dmin = dist[np.arange(len(x)), lab]
+            changed = len(x) if prev is None else (lab != _sq_dist(x, prev).argmin(axis=1)).sum()
+            sums = [np.bincount(lab, weights=w, minlength=k) for w in (*x.T, sq)]
+            out += [np.bincount(lab, minlength=k), *sums, [changed, np.sqrt(dmin).sum(), dmin.sum()]]
+        return np.concatenate(out).astype(float)
+
+    v = summed(data, cols, kernel, sum(len(cur) * (d + 2) + 3 for cur, _ in models.values()))
+    out, at = {}, 0
+    for mid, (cur, _) in models.items():
+        k = len(cur)
+        m, rest = v[at:at + k * (d + 2)].reshape(d + 2, k), v[at + k * (d + 2):at + k * (d + 2) + 3]
+        at += k * (d + 2) + 3
+        st = ClusterStats(m[0].copy(), m[1:1 + d].T.copy(), m[1 + d].copy())
+        st.changed, st.sum_distance, st.wssse = int(rest[0]), float(rest[1]), float(rest[2])
+        out[mid] = st
     return out
 
 
@@ -134,44 +106,27 @@ def k_sweep(df: DataFrame, cols, ks=range(2, 21), seed: int = 42, max_iter: int
     return kmeans_many(df, cols, {k: seeds[:k] for k in ks}, max_iter=max_iter)
 
 
-def _silhouette_partials(cols: list[str], models: dict[int, tuple[np.ndarray, ClusterStats]]):
-    d = len(cols)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            if len(x) == 0:
-                continue
-            sq = (x[:, 0] * x[:, 0]).copy()
-            for f in range(1, d):
-                sq = sq + x[:, f] * x[:, f]
-            rows = []
-            for mid, (cent, st) in models.items():
-                lab = _sq_dist(x, cent).argmin(axis=1)
-                live = np.flatnonzero(st.n > 0)
-                n = st.n[live]
-                avg = (sq[:, None] + (st.sqnorm[live] / n)[None, :]) - 2.0 * (x @ st.sums[live].T) / n[None, :]
-                pos = np.searchsorted(live, lab)
-                own = avg[np.arange(len(x)), pos]
-                n_own = n[pos]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    a = own * n_own / (n_own - 1.0)
-                other = avg.copy()
-                other[np.arange(len(x)), pos] = np.inf
-                b = other.min(axis=1)
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    s = np.where(n_own == 1.0, 0.0,
-                                 np.where(a < b, 1.0 - a / b, np.where(a > b, b / a - 1.0, 0.0)))
-                rows.append((mid, float(s.sum()), len(x)))
-            yield pd.DataFrame(rows, columns=["model", "s", "n"])
-
-    return run
-
-
 def multi_silhouette(df: DataFrame, cols, fits: dict[int, KMeansModel]) -> dict[int, float]:
     """Silhouette of every fitted model in one scan (closed form, see kmeans)."""
     cols = list(cols)
     models = {m: (f.centroids, f.stats) for m, f in fits.items() if (f.stats.n > 0).sum() >= 2}
-    parts = df.select(*cols).mapInPandas(_silhouette_partials(cols, models), "model long, s double, n long")
-    rows = parts.groupBy("model").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect()
-    return {r["model"]: r["s"] / r["n"] for r in rows}
+
+    def kernel(x):
+        sq, at, out = _sq_norm(x), np.arange(len(x)), [len(x)]
+        for cent, st in models.values():
+            lab = _sq_dist(x, cent).argmin(axis=1)
+            live = np.flatnonzero(st.n > 0)
+            n = st.n[live]
+            avg = (sq[:, None] + (st.sqnorm[live] / n)[None, :]) - 2.0 * (x @ st.sums[live].T) / n[None, :]
+            pos = np.searchsorted(live, lab)
+            n_own = n[pos]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                a = avg[at, pos] * n_own / (n_own - 1.0)
+                avg[at, pos] = np.inf
+                b = avg.min(axis=1)
+                s = np.where(n_own == 1.0, 0.0, np.where(a < b, 1.0 - a / b, np.where(a > b, b / a - 1.0, 0.0)))
+            out.append(s.sum())
+        return np.array(out, float)
+
+    v = summed(df, cols, kernel, 1 + len(models))
+    return {m: float(s / v[0]) for m, s in zip(models, v[1:])} if v[0] else {}

@@ -1,14 +1,14 @@
 """DuckDB SQL oracles, one per registered query.
 
 Written independently of the Spark code: the same fixture text, then plain
-SQL for every rule, aggregate and iteration (iterations are unrolled as one
-MATERIALIZED CTE per round). Floats are rounded to 6 digits on both sides.
+SQL for every rule, aggregate and iteration (recursive CTEs that stop where
+the fits stop). Floats are rounded to 6 digits on both sides.
 """
 
 from __future__ import annotations
 
 from fareseg.functions.numeric import DATETIME_PATTERN, NUMBER_PATTERN
-from fareseg.schema import FARES, FEATURES
+from fareseg.schema import FARES, FEATURES, SWEEP_KS
 from fareseg.sources.fixtures import raw_trips_sql
 
 SEED = 42
@@ -95,7 +95,7 @@ def with_ctes(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
     parts = [f"{n} as ({BASE[n]})" for n in order]
     for n, body in extra or []:
         parts.append(f"{n} as {body}" if body.lstrip().lower().startswith("materialized") else f"{n} as ({body})")
-    return "with " + ",\n".join(parts) + "\n"
+    return "with recursive " + ",\n".join(parts) + "\n"
 
 
 def register(name: str, body: str, deps: list[str]) -> None:
@@ -180,75 +180,116 @@ ORACLE["attach_labels"] = with_ctes("labels") + (
     + " from train t left join labels l using (trip_id)")
 
 
-# -- k-means (unrolled rounds) -----------------------------------------------
+# -- k-means (recursive: one row a round and model, until no row changes cluster) ------
 KMEANS_K = 5
-KMEANS_ROUNDS = 200
 
 
 def _d2(a: str, b: str, cols=FEATURES) -> str:
     return " + ".join(f"(({a}.{c} - {b}.{c}) * ({a}.{c} - {b}.{c}))" for c in cols)
 
 
-def kmeans_ctes(k: int = KMEANS_K, rounds: int = KMEANS_ROUNDS, src: str = "z", cols=FEATURES,
-                prefix: str = "km", key: str = "trip_id") -> list[tuple[str, str]]:
-    """c0 = seeds; a{t} = assign(c{t-1}); c{t} = means over a{t} (empty -> keep)."""
-    fl = ", ".join(cols)
+def _d2_list(x: str, c: str, cols) -> str:
+    return " + ".join(f"(({x}.{n} - {c}[{i}]) * ({x}.{n} - {c}[{i}]))" for i, n in enumerate(cols, 1))
+
+
+def _near(x: str, cents: str, cols) -> str:
+    """List of squared distances to every centroid of a list."""
+    return f"list_transform({cents}, lambda c: {_d2_list(x, 'c', cols)})"
+
+
+def kmeans_ctes(ks=(KMEANS_K,), src: str = "z", cols=FEATURES, prefix: str = "km",
+                key: str = "trip_id") -> list[tuple[str, str]]:
+    """Lloyd's rounds for every k of ``ks`` to their own end.
+
+    ``_r``: a row per round and model with the centroids after it (``cur``), those before it (``prev``) and how many rows
+    ``prev`` puts elsewhere than the centroids before. A model goes on while rows move; its last row's ``prev`` are the
+    final centroids (``_f``). ``_c``, ``_c0``, ``_c1``: centroids as rows, final, seeds and after one round; ``_a``,
+    ``_a1``: cluster (from 0) and squared distance under the final centroids and the seeds.
+    """
     h = md5_key(key=key)
-    out = [(f"{prefix}_c0", f"materialized (select cast(row_number() over (order by {h}, {key}) - 1 as integer) "
-                            f"as cluster, {fl} from (select * from {src} order by {h}, {key} limit {k}))")]
-    for t in range(1, rounds + 2):
-        out.append((f"{prefix}_a{t}",
-                    f"materialized (select {key}, cluster, d2 from (select p.{key}, c.cluster, {_d2('p', 'c', cols)} as d2, "
-                    f"row_number() over (partition by p.{key} order by {_d2('p', 'c', cols)}, c.cluster) as rn "
-                    f"from {src} p cross join {prefix}_c{t - 1} c) where rn = 1)"))
-        if t <= rounds:
-            means = ", ".join(f"sum(p.{c}) / count(*) as {c}" for c in cols)
-            keep = ", ".join(f"coalesce(u.{c}, c.{c}) as {c}" for c in cols)
-            out.append((f"{prefix}_c{t}",
-                        f"materialized (select c.cluster, {keep} from {prefix}_c{t - 1} c left join "
-                        f"(select a.cluster, {means} from {src} p join {prefix}_a{t} a using ({key}) group by a.cluster) u "
-                        f"using (cluster))"))
-    return out
-
-
-def _km(k=KMEANS_K, rounds=KMEANS_ROUNDS):
-    return with_ctes("z", extra=kmeans_ctes(k, rounds))
-
-
-_R = KMEANS_ROUNDS
+    xs = ", ".join(cols)
+    models = ", ".join(f"({k})" for k in ks)
+    seeds = (f"select m.k, list([{', '.join(f's.{c}' for c in cols)}] order by s.i) as cents from "
+             f"(select *, row_number() over (order by {h}, {key}) as i from {src} qualify i <= {max(ks)}) s "
+             f"join (values {models}) m(k) on s.i <= m.k group by m.k")
+    means = ", ".join(f"sum({c}) / count(*)" for c in cols)
+    step = (f"select k, t + 1, list_transform(range(1, k + 1), lambda i: coalesce(map(list(a), list(mean))[i], any_value(cur)[i])), "
+            f"any_value(cur), cast(sum(moved) as bigint) from ("
+            f"select k, t, a, any_value(cur) as cur, [{means}] as mean, count_if(b is distinct from a) as moved from ("
+            f"select k, t, cur, list_position(dc, list_min(dc)) as a, list_position(dp, list_min(dp)) as b, {xs} from ("
+            f"select r.k, r.t, r.cur, {_near('p', 'r.cur', cols)} as dc, {_near('p', 'r.prev', cols)} as dp, "
+            f"{', '.join(f'p.{c}' for c in cols)} from {prefix}_z p, {prefix}_r r where r.t <= 2 or r.moved > 0)) "
+            f"group by k, t, a) group by k, t")
+
+    def rows(cents: str) -> str:
+        return ("select k, cast(i - 1 as integer) as cluster, " + ", ".join(f"c[{n}] as {x}" for n, x in enumerate(cols, 1))
+                + f" from (select k, i, cents[i] as c from (select k, cents, unnest(range(1, k + 1)) as i from ({cents})))")
+
+    def near(cents: str) -> str:
+        return (f"select {key}, k, cast(list_position(d, list_min(d)) - 1 as integer) as cluster, list_min(d) as d2 from "
+                f"(select p.{key}, f.k, {_near('p', 'f.cents', cols)} as d from {prefix}_z p, ({cents}) f)")
+
+    final, first, once = (f"from {prefix}_f", f"select k, cur as cents from {prefix}_r where t = 0",
+                          f"select k, cur as cents from {prefix}_r where t = 1")
+    return [
+        (f"{prefix}_z", f"materialized (select {key}, {xs} from {src})"),
+        (f"{prefix}_r(k, t, cur, prev, moved)",
+         f"(select cast(k as bigint), 0, cents, cast(null as double[][]), cast(null as bigint) from ({seeds}) union all {step})"),
+        (f"{prefix}_f", f"materialized (select k, arg_max(prev, t) as cents from {prefix}_r group by k)"),
+        (f"{prefix}_c", rows(final)), (f"{prefix}_c0", rows(first)), (f"{prefix}_c1", rows(once)),
+        (f"{prefix}_a", f"materialized ({near(final)})"), (f"{prefix}_a1", near(first)),
+    ]
+
+
+def silhouette_sql(src: str, cols=FEATURES, prefix: str = "km", key: str = "trip_id") -> str:
+    """``(k, silhouette)`` per model: closed form on squared distances, rows alone in their cluster score 0."""
+    sq = " + ".join(f"(p.{c} * p.{c})" for c in cols)
+    dot = " + ".join(f"(p.{c} * s_{c})" for c in cols)
+    return (f"with st as (select a.k, a.cluster, count(*) as n, {', '.join(f'sum(p.{c}) as s_{c}' for c in cols)}, sum({sq}) as q "
+            f"from {src} p join {prefix}_a a using ({key}) group by a.k, a.cluster), "
+            f"av as (select a.{key}, a.k, a.cluster = st.cluster as own, st.n, "
+            f"((({sq}) + st.q / st.n) - (2.0 * ({dot})) / st.n) as avg_d "
+            f"from {src} p join {prefix}_a a using ({key}) join st on st.k = a.k), "
+            f"ab as (select {key}, k, max(case when own then avg_d * n / nullif(n - 1.0, 0) end) as a, "
+            f"max(case when own then n end) as n_own, min(case when not own then avg_d end) as b from av group by {key}, k) "
+            "select k, avg(case when n_own = 1 then 0.0 when a < b then 1.0 - a / b when a > b then b / a - 1.0 else 0.0 end) "
+            "as silhouette from ab group by k")
+
+
+def _km(*names: str, extra: list[tuple[str, str]] | None = None) -> str:
+    return with_ctes("z", *names, extra=kmeans_ctes() + (extra or []))
+
+
 _r6cols = ", ".join(f"{r6(c)} as {c}" for c in FEATURES)
-ORACLE["kmeans_seeds"] = with_ctes("z", extra=kmeans_ctes(KMEANS_K, 0)) + f"select cluster, {_r6cols} from km_c0"
-ORACLE["point_centroid_distances"] = with_ctes("z", extra=kmeans_ctes(KMEANS_K, 0)) + (
+ORACLE["kmeans_seeds"] = _km() + f"select cluster, {_r6cols} from km_c0"
+ORACLE["point_centroid_distances"] = _km() + (
     f"select p.trip_id, c.cluster, {r6(f'sqrt({_d2(chr(112), chr(99))})')} as distance from z p cross join km_c0 c")
-ORACLE["kmeans_update"] = with_ctes("z", extra=kmeans_ctes(KMEANS_K, 1)) + (
-    f"select c.cluster, cast(coalesce(m.n, 0) as bigint) as n, " + ", ".join(f"{r6('c.' + c)} as {c}" for c in FEATURES)
-    + " from km_c1 c left join (select cluster, count(*) as n from km_a1 group by cluster) m using (cluster)")
-ORACLE["kmeans_fit"] = _km() + (
-    f"select c.cluster, cast(coalesce(m.n, 0) as bigint) as n, " + ", ".join(f"{r6('c.' + c)} as {c}" for c in FEATURES)
-    + f" from km_c{_R} c left join (select cluster, count(*) as n from km_a{_R + 1} group by cluster) m using (cluster)")
-ORACLE["kmeans_assign"] = _km() + f"select trip_id, cluster from km_a{_R + 1}"
-_re = " union all ".join(
-    [f"select 1 as round, count(*) as n from km_a1"]
-    + [f"select {t} as round, count_if(x.cluster <> y.cluster) as n from km_a{t + 1} x join km_a{t} y using (trip_id)"
-       for t in range(2, _R + 1)])
+
+
+def _sized(cents: str, assigned: str) -> str:
+    return (f"select c.cluster, cast(coalesce(m.n, 0) as bigint) as n, " + ", ".join(f"{r6('c.' + c)} as {c}" for c in FEATURES)
+            + f" from {cents} c left join (select cluster, count(*) as n from {assigned} group by cluster) m using (cluster)")
+
+
+ORACLE["kmeans_update"] = _km() + _sized("km_c1", "km_a1")
+ORACLE["kmeans_fit"] = _km() + _sized("km_c", "km_a")
+ORACLE["kmeans_assign"] = _km() + "select trip_id, cluster from km_a"
 ORACLE["kmeans_reassigned"] = _km() + (
-    f", re as ({_re}) select cast(round as integer) as round, cast(n as bigint) as n from re "
-    "where round <= coalesce((select min(round) from re where n = 0), 1000000)")
-ORACLE["kmeans_cost"] = _km() + (
-    f"select {r6('sum(sqrt(d2))')} as sum_distance, {r6('sum(d2)')} as wssse from km_a{_R + 1}")
-ORACLE["silhouette"] = _km() + f""", st as (select a.cluster, count(*) as n, {", ".join(f"sum(p.{c}) as s_{c}" for c in FEATURES)},
-  sum({" + ".join(f"(p.{c} * p.{c})" for c in FEATURES)}) as q from z p join km_a{_R + 1} a using (trip_id) group by a.cluster),
-pt as (select p.trip_id, a.cluster as own, {" + ".join(f"(p.{c} * p.{c})" for c in FEATURES)} as xx, {", ".join(f"p.{c}" for c in FEATURES)}
-  from z p join km_a{_R + 1} a using (trip_id)),
-av as (select pt.trip_id, pt.own, st.cluster, st.n, ((pt.xx + st.q / st.n) - (2.0 * ({" + ".join(f"(pt.{c} * st.s_{c})" for c in FEATURES)})) / st.n) as avg_d
-  from pt cross join st),
-ab as (select trip_id, max(case when cluster = own then avg_d * n / (n - 1.0) end) as a, max(case when cluster = own then n end) as n_own,
-  min(case when cluster <> own then avg_d end) as b from av group by trip_id)
-select {r6("avg(case when n_own = 1 then 0.0 when a < b then 1.0 - a / b when a > b then b / a - 1.0 else 0.0 end)")} as silhouette from ab"""
-
-
-_kmj = with_ctes("z", "labels", extra=kmeans_ctes(KMEANS_K, KMEANS_ROUNDS) + [
-    ("ka", f"select t.*, l.d_label, l.p_label, a.cluster from train t join km_a{_R + 1} a using (trip_id) "
+    "select cast(t - 1 as integer) as round, case when t = 2 then (select count(*) from z) else moved end as n "
+    "from km_r where t >= 2")
+ORACLE["kmeans_cost"] = _km() + f"select {r6('sum(sqrt(d2))')} as sum_distance, {r6('sum(d2)')} as wssse from km_a"
+ORACLE["silhouette"] = _km() + f"select {r6('silhouette')} as silhouette from ({silhouette_sql('z')})"
+
+SWEEP = tuple(SWEEP_KS)
+_sweep = with_ctes("z", extra=kmeans_ctes(SWEEP) + [
+    ("sc", "select k, sum(sqrt(d2)) as sum_distance, sum(d2) as wssse from km_a group by k"),
+    ("si", silhouette_sql("z"))])
+ORACLE["k_sweep"] = _sweep + (f"select cast(k as integer) as k, {r6('sum_distance')} as sum_distance, {r6('wssse')} as wssse, "
+                              f"{r6('silhouette')} as silhouette from sc join si using (k)")
+ORACLE["pick_k"] = _sweep + "select cast(k as integer) as k from si order by silhouette desc, k limit 1"
+
+_kmj = _km("labels", extra=[
+    ("ka", "select t.*, l.d_label, l.p_label, a.cluster from train t join km_a a using (trip_id) "
            "join labels l using (trip_id)")])
 ORACLE["cluster_centroids"] = _kmj + "select cluster, " + ", ".join(f"{r6(f'avg({c})')} as {c}" for c in FEATURES) + (
     " from ka group by cluster")
@@ -268,10 +309,7 @@ ORACLE["cluster_covariance"] = _kmj + " union all ".join(
     for a, b in _pairs)
 
 
-# -- Gaussian mixture ------------------------------------------------------------
-import math as _math  # noqa: E402
-
-from fareseg.operators.mixture import LOG_2PI, prepare  # noqa: E402
+# -- Gaussian mixture (densities by Cholesky factors computed in SQL) ---------------------
 from fareseg.plans.fixed_model import fixed_mixture  # noqa: E402
 
 
@@ -279,32 +317,106 @@ def dlit(v: float) -> str:
     return f"'{float(v)!r}'::double"
 
 
-def _fixed_density_ctes() -> list[tuple[str, str]]:
-    fm = fixed_mixture()
-    gs = [prepare(fm.mu[j], fm.sigma[j]) for j in range(fm.k)]
-    proj = []
-    for j, g in enumerate(gs):
-        for i in range(g.rank):
-            proj.append(" + ".join(f"(({c} - {dlit(g.mu[a])}) * {dlit(g.proj[a, i])})" for a, c in enumerate(FEATURES))
-                        + f" as z{j}_{i}")
-    ld = [f"(-0.5 * ({dlit(g.rank * LOG_2PI + g.log_pdet)} + ("
-          + " + ".join(f"(z{j}_{i} * z{j}_{i})" for i in range(g.rank)) + f"))) as ld{j}" for j, g in enumerate(gs)]
-    k = fm.k
-    lw = ", ".join(f"ld{j} + {dlit(_math.log(fm.phi[j]))} as l{j}" for j in range(k))
+def _tri(d: int) -> list[tuple[int, int]]:
+    """Lower-triangle positions, also the order in which a component's list ``g`` holds its covariance after its mean."""
+    return [(i, j) for i in range(d) for j in range(i + 1)]
+
+
+def whitened_sql(src: str, d: int) -> str:
+    """``src`` (with ``g``: mean, covariance) plus ``h``: the constant of -2 log density, the mean, the inverse Cholesky factor."""
+    at = {ij: d + 1 + n for n, ij in enumerate(_tri(d))}
+    sql = f"select * from {src}"
+    for j in range(d):
+        def part(i, j=j):
+            return " - ".join([f"g[{at[i, j]}]", *[f"l{i}_{p} * l{j}_{p}" for p in range(j)]])
+        sql = f"select *, sqrt({part(j)}) as l{j}_{j} from ({sql})"
+        if j + 1 < d:
+            sql = f"select *, {', '.join(f'({part(i)}) / l{j}_{j} as l{i}_{j}' for i in range(j + 1, d))} from ({sql})"
+    for i in range(d):
+        w = [f"-({' + '.join(f'l{i}_{p} * w{p}_{j}' for p in range(j, i))}) / l{i}_{i} as w{i}_{j}" for j in range(i)]
+        sql = f"select *, {', '.join([*w, f'1.0 / l{i}_{i} as w{i}_{i}'])} from ({sql})"
+    const = " + ".join([f"{d} * ln(2 * pi())", *[f"2 * ln(l{i}_{i})" for i in range(d)]])
+    mean = [f"g[{i + 1}]" for i in range(d)]
+    return f"select *, [{', '.join([const, *mean, *[f'w{i}_{j}' for i, j in _tri(d)]])}] as h from ({sql})"
+
+
+def log_densities(cols, hs: str = "hs") -> str:
+    """List of log densities of a row with these columns under the components ``hs``."""
+    d = len(cols)
+    at = {ij: d + 2 + n for n, ij in enumerate(_tri(d))}
+    z = ["(" + " + ".join(f"h[{at[i, j]}] * ({cols[j]} - h[{j + 2}])" for j in range(i + 1)) + ")" for i in range(d)]
+    return f"list_transform({hs}, lambda h: -0.5 * (h[1] + {' + '.join(f'{x} * {x}' for x in z)}))"
+
+
+def responsibilities_sql(src: str, keep: str, k: int) -> str:
+    """``keep`` and list ``r`` from rows of ``src`` with lists ``ld`` and ``phi``; also ``l``, the log numerators."""
+    ks = range(1, k + 1)
+    lw = f"select {keep}, ld, [{', '.join(f'ld[{j}] + ln(phi[{j}])' for j in ks)}] as l from {src}"
+    e = f"select {keep}, ld, l, list_transform(l, lambda v: exp(v - list_max(l))) as e from ({lw})"
+    return f"select {keep}, ld, l, list_transform(e, lambda v: v / list_sum(e)) as r from ({e})"
+
+
+def em_ctes(src: str, seeds: str, cols, k: int, tol: float = 1e-4, prefix: str = "em") -> list[tuple[str, str]]:
+    """EM from the groups of ``seeds`` (``cluster`` and columns) until the weights change by ``tol`` or less.
+
+    ``_r`` holds two rows a round: one after the weights, one after means and covariances; all about the overall means
+    (``_o``). ``_g``: final components ``component, phi, g`` in the features' own units.
+    """
+    d, cat = len(cols), ", ".join
+    centred = cat(f"s.{c} - o.{c} as {c}" for c in cols)
+    pairs = _tri(d)
+    g0 = cat([f"avg({c})" for c in cols] + [f"covar_pop({cols[i]}, {cols[j]})" for i, j in pairs])
+    seed = (f"select list(phi order by cluster) as phi, list(g order by cluster) as g from (select cluster, "
+            f"count(*) / (select count(*) from {seeds}) as phi, [{g0}] as g from "
+            f"(select s.cluster, {centred} from {seeds} s, {prefix}_o o) group by cluster)")
+    whiten = whitened_sql(f"(select t, phase, delta, phi, gs, unnest(range(1, {k + 1})) as j, unnest(gs) as g from {prefix}_r "
+                          f"where phase = 1 or t = 0 or delta > {tol!r})", d)
+    model = f"select t, phase, delta, phi, any_value(gs) as gs, list(h order by j) as hs from ({whiten}) group by t, phase, delta, phi"
+    state = "t, phase, delta, phi, gs"
+    dens = f"(select {state}, {cat(f'p.{c}' for c in cols)}, {log_densities([f'p.{c}' for c in cols])} as ld from {prefix}_z p, ({model}) m)"
+    resp = responsibilities_sql(dens, f"{state}, {cat(cols)}", k)
+    sums = [f"count(*) as n"]
+    for m in range(1, k + 1):
+        sums += [f"sum(r[{m}]) as w{m}", *[f"sum(r[{m}] * {c}) as s{m}_{i}" for i, c in enumerate(cols)],
+                 *[f"sum(r[{m}] * {cols[i]} * {cols[j]}) as q{m}_{i}_{j}" for i, j in pairs]]
+    total = f"select {state}, {cat(sums)} from ({resp}) group by {state}"
+    new_phi = "[" + cat(f"w{m} / n" for m in range(1, k + 1)) + "]"
+    new_g = "[" + cat("[" + cat([f"s{m}_{i} / w{m}" for i in range(d)] + [f"q{m}_{i}_{j} / w{m} - s{m}_{i} / w{m} * s{m}_{j} / w{m}"
+                                                                        for i, j in pairs]) + "]" for m in range(1, k + 1)) + "]"
+    change = " + ".join(f"abs(w{m} / n - phi[{m}])" for m in range(1, k + 1))
+    step = (f"select t + phase, 1 - phase, case when phase = 0 then {change} else delta end, "
+            f"case when phase = 0 then {new_phi} else phi end, case when phase = 1 then {new_g} else gs end from ({total})")
+    back = cat([f"g[{i + 1}] + o.{c}" for i, c in enumerate(cols)] + [f"g[{d + 1 + n}]" for n in range(len(pairs))])
     return [
-        ("gz", f"select trip_id, {', '.join(FEATURES)}, {', '.join(proj)} from train"),
-        ("gd", f"select trip_id, {', '.join(FEATURES)}, {', '.join(ld)} from gz"),
-        ("gl", f"select *, {lw} from gd"),
-        ("gm", f"select *, greatest({', '.join(f'l{j}' for j in range(k))}) as m from gl"),
-        ("ge", f"select *, {', '.join(f'exp(l{j} - m) as e{j}' for j in range(k))} from gm"),
-        ("gr", f"select *, {', '.join(f'e{j} / (' + ' + '.join(f'e{i}' for i in range(k)) + f') as r{j}' for j in range(k))} from ge"),
+        (f"{prefix}_o", f"materialized (select {cat(f'avg({c}) as {c}' for c in cols)} from {src})"),
+        (f"{prefix}_z", f"materialized (select s.trip_id, {centred} from {src} s, {prefix}_o o)"),
+        (f"{prefix}_r(t, phase, delta, phi, gs)",
+         f"(select 0, 0, cast(null as double), phi, g from ({seed}) union all {step})"),
+        (f"{prefix}_g", f"materialized (select component, phi, [{back}] as g from (select unnest(range({k})) as component, "
+                        f"unnest(phi) as phi, unnest(gs) as g from {prefix}_r where phase = 0 order by t desc limit {k}), {prefix}_o o)"),
     ]
 
 
+def mixture_ctes(comps: str, k: int) -> list[tuple[str, str]]:
+    """``gm`` and ``gr``: per trip the log numerators ``l{j}``, log densities ``ld{j}``, their maximum and weights ``r{j}``."""
+    model = f"select list(phi order by component) as phi, list(h order by component) as hs from ({whitened_sql(comps, len(FEATURES))})"
+    dens = f"(select t.trip_id, {', '.join(f't.{c}' for c in FEATURES)}, phi, {log_densities([f't.{c}' for c in FEATURES])} as ld from train t, ({model}) m)"
+    keep = f"trip_id, {', '.join(FEATURES)}"
+    each = ", ".join(f"ld[{j + 1}] as ld{j}, l[{j + 1}] as l{j}, r[{j + 1}] as r{j}" for j in range(k))
+    return [("gr", f"materialized (select {keep}, list_max(l) as m, {each} from ({responsibilities_sql(dens, keep, k)}))")]
+
+
+def _fixed_ctes() -> list[tuple[str, str]]:
+    fm = fixed_mixture()
+    rows = [f"({j}, {dlit(fm.phi[j])}, [{', '.join(dlit(v) for v in [*fm.mu[j], *[fm.sigma[j][a, b] for a, b in _tri(len(FEATURES))]])}])"
+            for j in range(fm.k)]
+    return [("fixed", f"select * from (values {', '.join(rows)}) v(component, phi, g)"), *mixture_ctes("fixed", fm.k)]
+
+
 _GK = fixed_mixture().k
-_gmm = with_ctes("train", extra=_fixed_density_ctes())
+_gmm = with_ctes("train", extra=_fixed_ctes())
 ORACLE["gmm_density"] = _gmm + " union all ".join(
-    f"select trip_id, {j} as component, {r6(f'ld{j}')} as log_density from gd" for j in range(_GK))
+    f"select trip_id, {j} as component, {r6(f'ld{j}')} as log_density from gr" for j in range(_GK))
 ORACLE["gmm_e_step"] = _gmm + " union all ".join(
     f"select trip_id, {j} as component, {r6(f'r{j}')} as r from gr" for j in range(_GK))
 ORACLE["join_features_resp"] = _gmm + ", rl as (" + " union all ".join(
@@ -314,7 +426,7 @@ ORACLE["join_features_resp"] = _gmm + ", rl as (" + " union all ".join(
 ORACLE["gmm_phi_update"] = _gmm + " union all ".join(
     f"select {j} as component, {r6(f'avg(r{j})')} as phi from gr" for j in range(_GK))
 ORACLE["gmm_predict"] = _gmm + "select trip_id, cast(case " + " ".join(
-    f"when l{j} = m then {j}" for j in range(_GK)) + " end as integer) as component from gm"
+    f"when l{j} = m then {j}" for j in range(_GK)) + " end as integer) as component from gr"
 _wm = ", wm as (" + " union all ".join(
     f"select {j} as component, sum(r{j}) as weight, " + ", ".join(f"sum(r{j} * {c}) / sum(r{j}) as {c}" for c in FEATURES)
     + " from gr" for j in range(_GK)) + ")"
@@ -332,7 +444,19 @@ ORACLE["gmm_sigma_as_written"] = _gmm + _wm + " " + " union all ".join(
     for j in range(_GK) for i, a in enumerate(FEATURES) for b in FEATURES[i:])
 ORACLE["gmm_init"] = _kmj + (
     "select cast(cluster as integer) as component, " + r6("count(*) / (select count(*) from ka)") + " as phi, "
-    + ", ".join(f"{r6(f'avg({c})')} as {c}" for c in FEATURES) + " from ka group by cluster")
+    + ", ".join(f"{r6(f'avg({c})')} as {c}" for c in FEATURES) + ", "
+    + ", ".join(f"{r6(f'covar_pop({a}, {b})')} as cov_{a}_{b}" for a, b in _pairs) + " from ka group by cluster")
+_em = _km("labels", extra=[
+    ("ka", "select t.*, a.cluster from train t join km_a a using (trip_id)"), *em_ctes("train", "ka", FEATURES, KMEANS_K)])
+ORACLE["gmm_fit"] = _em + "select cast(component as integer) as component, " + r6("phi") + " as phi, " + ", ".join(
+    f"{r6(f'g[{i}]')} as {c}" for i, c in enumerate(FEATURES, 1)) + " from em_g"
+ORACLE["gmm_component_summary"] = _km("labels", extra=[
+    ("ka", "select t.*, a.cluster from train t join km_a a using (trip_id)"), *em_ctes("train", "ka", FEATURES, KMEANS_K),
+    *mixture_ctes("em_g", KMEANS_K),
+    ("best", "select trip_id, cast(case " + " ".join(f"when l{j} = m then {j}" for j in range(KMEANS_K))
+     + " end as integer) as component from gr"),
+    ("kc", "select t.*, l.d_label, l.p_label, b.component from train t join best b using (trip_id) join labels l using (trip_id)"),
+]) + summary_sql("kc", "component")
 ORACLE["segment_trips"] = ORACLE["cluster_summary"]
 
 
@@ -342,24 +466,16 @@ EMB_K = 10
 EMB_COLS = [f"e{i}" for i in range(EMB_DIM)]
 register("emb", "select vec_id, label, " + ", ".join(f"cast(embedding[{i + 1}] as double) as e{i}" for i in range(EMB_DIM))
          + " from embeddings", [])
-_emb = with_ctes("emb", extra=kmeans_ctes(EMB_K, KMEANS_ROUNDS, "emb", EMB_COLS, "ek", "vec_id"))
+_emb = with_ctes("emb", extra=kmeans_ctes((EMB_K,), "emb", EMB_COLS, "ek", "vec_id"))
 ORACLE["embedding_kmeans"] = _emb + (
-    f"select cast(a.cluster as integer) as cluster, e.label, count(*) as n from emb e join ek_a{_R + 1} a using (vec_id) "
+    f"select cast(a.cluster as integer) as cluster, e.label, count(*) as n from emb e join ek_a a using (vec_id) "
     "group by a.cluster, e.label")
-_sq = " + ".join(f"(p.{c} * p.{c})" for c in EMB_COLS)
-ORACLE["embedding_silhouette"] = _emb + f""", st as (select a.cluster, count(*) as n, {", ".join(f"sum(p.{c}) as s_{c}" for c in EMB_COLS)},
-  sum({_sq}) as q from emb p join ek_a{_R + 1} a using (vec_id) group by a.cluster),
-pt as (select p.vec_id, a.cluster as own, {_sq} as xx, {", ".join(f"p.{c}" for c in EMB_COLS)}
-  from emb p join ek_a{_R + 1} a using (vec_id)),
-av as (select pt.vec_id, pt.own, st.cluster, st.n, ((pt.xx + st.q / st.n) - (2.0 * ({" + ".join(f"(pt.{c} * st.s_{c})" for c in EMB_COLS)})) / st.n) as avg_d
-  from pt cross join st),
-ab as (select vec_id, max(case when cluster = own then avg_d * n / (n - 1.0) end) as a, max(case when cluster = own then n end) as n_own,
-  min(case when cluster <> own then avg_d end) as b from av group by vec_id)
-select {r6("avg(case when n_own = 1 then 0.0 when a < b then 1.0 - a / b when a > b then b / a - 1.0 else 0.0 end)")} as silhouette from ab"""
-
-
-# -- EM on two features: k-means seed, then fixed rounds with a closed-form 2x2 density -------
-GMM2_K, GMM2_ROUNDS = 3, 5
+ORACLE["embedding_silhouette"] = _emb + (
+    f"select {r6('silhouette')} as silhouette from ({silhouette_sql('emb', EMB_COLS, 'ek', 'vec_id')})")
+
+
+# -- EM on two features, to its end ---------------------------------------------------
+GMM2_K = 3
 register("t2", "select trip_id, cast(hour as double) as hour, trip_min from train", ["train"])
 register("z2", "select trip_id, case when sh > 0 then (hour - mh) / sh else 0 end as hour, "
                "case when st > 0 then (trip_min - mt) / st else 0 end as trip_min from t2, "
@@ -367,39 +483,9 @@ register("z2", "select trip_id, case when sh > 0 then (hour - mh) / sh else 0 en
          ["t2"])
 
 
-def _em_ctes() -> list[tuple[str, str]]:
-    out = [("ka2", f"select t.trip_id, t.hour, t.trip_min, a.cluster from t2 t join g2_a{_R + 1} a using (trip_id)"),
-           ("g0", "materialized (select cast(row_number() over (order by cluster) - 1 as integer) as component, "
-                  "count(*) / (select count(*) from ka2) as phi, avg(hour) as mh, avg(trip_min) as mt, "
-                  "var_pop(hour) as s11, covar_pop(hour, trip_min) as s12, var_pop(trip_min) as s22 "
-                  "from ka2 group by cluster)")]
-
-    def resp(model: str, phi_src: str) -> str:
-        lw = (f"ln(f.phi) + (-0.5 * (2 * ln(2 * pi()) + ln(g.s11 * g.s22 - g.s12 * g.s12) + "
-              "((t.hour - g.mh) * (t.hour - g.mh) * g.s22 - 2 * (t.hour - g.mh) * (t.trip_min - g.mt) * g.s12 "
-              "+ (t.trip_min - g.mt) * (t.trip_min - g.mt) * g.s11) / (g.s11 * g.s22 - g.s12 * g.s12)))")
-        inner = (f"select t.trip_id, t.hour, t.trip_min, g.component, {lw} as lw from t2 t cross join {model} g "
-                 f"join {phi_src} f on f.component = g.component")
-        shifted = f"select *, exp(lw - max(lw) over (partition by trip_id)) as e from ({inner})"
-        return (f"select trip_id, hour, trip_min, component, e / sum(e) over (partition by trip_id) as r "
-                f"from ({shifted})")
-
-    for t in range(1, GMM2_ROUNDS + 1):
-        g = f"g{t - 1}"
-        out.append((f"ra{t}", f"materialized ({resp(g, g)})"))
-        out.append((f"ph{t}", f"materialized (select component, avg(r) as phi from ra{t} group by component)"))
-        out.append((f"rb{t}", f"materialized ({resp(g, f'ph{t}')})"))
-        out.append((f"mu{t}", f"materialized (select component, sum(r) as w, sum(r * hour) / sum(r) as mh, "
-                              f"sum(r * trip_min) / sum(r) as mt from rb{t} group by component)"))
-        out.append((f"g{t}", f"materialized (select m.component, p.phi, m.mh, m.mt, "
-                             f"sum(b.r * (b.hour - m.mh) * (b.hour - m.mh)) / m.w as s11, "
-                             f"sum(b.r * (b.hour - m.mh) * (b.trip_min - m.mt)) / m.w as s12, "
-                             f"sum(b.r * (b.trip_min - m.mt) * (b.trip_min - m.mt)) / m.w as s22 "
-                             f"from rb{t} b join mu{t} m using (component) join ph{t} p using (component) "
-                             f"group by m.component, p.phi, m.mh, m.mt, m.w)"))
-    return out
-
-
-ORACLE["gmm_fit_2d"] = with_ctes("z2", "t2", extra=kmeans_ctes(GMM2_K, KMEANS_ROUNDS, "z2", ["hour", "trip_min"], "g2")
-                                 + _em_ctes()) + (
-    f"select component, {r6('phi')} as phi, {r6('mh')} as mu_hour, {r6('mt')} as mu_trip_min from g{GMM2_ROUNDS}")
+ORACLE["gmm_fit_2d"] = with_ctes("z2", "t2", extra=[
+    *kmeans_ctes((GMM2_K,), "z2", ["hour", "trip_min"], "g2"),
+    ("ka2", "select t.trip_id, t.hour, t.trip_min, a.cluster from t2 t join g2_a a using (trip_id)"),
+    *em_ctes("t2", "ka2", ["hour", "trip_min"], GMM2_K, prefix="e2")]) + (
+    f"select cast(component as integer) as component, {r6('phi')} as phi, {r6('g[1]')} as mu_hour, {r6('g[2]')} as mu_trip_min "
+    "from e2_g")

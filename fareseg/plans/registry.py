@@ -267,9 +267,11 @@ def _fixed_resp(spark, sf_dir):
 @query("gmm_init")
 def q_gmm_init(spark, sf_dir):
     m = M.gmm_init(spark, sf_dir)
-    rows = [(j, float(m.phi[j]), *[float(v) for v in m.mu[j]]) for j in range(m.k)]
-    df = spark.createDataFrame(rows, "component int, phi double, " + ", ".join(f"{c} double" for c in FEATURES))
-    return df.select("component", *r6(["phi"] + FEATURES))
+    pairs = [(a, b) for a in range(len(FEATURES)) for b in range(a, len(FEATURES))]
+    names = ["phi", *FEATURES, *[f"cov_{FEATURES[a]}_{FEATURES[b]}" for a, b in pairs]]
+    rows = [(j, *map(float, [m.phi[j], *m.mu[j], *[m.sigma[j][p] for p in pairs]])) for j in range(m.k)]
+    df = spark.createDataFrame(rows, "component int, " + ", ".join(f"{c} double" for c in names))
+    return df.select("component", *r6(names))
 
 
 @query("gmm_density")
@@ -417,7 +419,7 @@ def q_embedding_silhouette(spark, sf_dir):
 
 
 # -- the EM loop end to end on two features (SQL-checkable: closed-form 2x2) --------------
-GMM2_COLS, GMM2_K, GMM2_ROUNDS = ["hour", "trip_min"], 3, 5
+GMM2_COLS, GMM2_K = ["hour", "trip_min"], 3
 
 
 def _gmm2(spark, sf_dir):
@@ -431,7 +433,7 @@ def _gmm2(spark, sf_dir):
         kl = K.assign(z, zc, km.centroids, keep=("trip_id", *GMM2_COLS))
         center = np.array([st.mean[c] for c in GMM2_COLS])
         init = X.init_from_clusters(kl, GMM2_COLS, "cluster", GMM2_K, center)
-        model, _ = X.gmm_fit(train, GMM2_COLS, init, tol=0.0, max_iter=GMM2_ROUNDS, center=center)
+        model, _ = X.gmm_fit(train, GMM2_COLS, init, center=center)
         return model
     return M.memo(("gmm2", sf_dir), run)
 

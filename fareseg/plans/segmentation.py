@@ -77,7 +77,7 @@ def pick_k(scores: DataFrame, by: str = "silhouette") -> DataFrame:
 def segment_trips(raw: DataFrame, k: int = DEFAULT_K, seed: int = 42, n: int | None = None,
                   scaling: str = "zscore", max_iter: int | None = None, mixture: bool = True,
                   em_schedule: str = "two_phase", em_max_iter: int | None = None, labels: str = "final",
-                  checkpoint: bool = True) -> SegmentResult:
+                  checkpoint: bool = True, underflow: str = "exact", covariance: str = "weighted") -> SegmentResult:
     train = training_sample(raw, n, seed, checkpoint=checkpoint)
     thresholds = G.fare_thresholds(train)
     stats = ST.feature_stats_row(train, FEATURES, scaling)
@@ -94,7 +94,7 @@ def segment_trips(raw: DataFrame, k: int = DEFAULT_K, seed: int = 42, n: int | N
         center = np.array([stats.mean[c] for c in FEATURES])
         init = X.init_from_clusters(kl, FEATURES, "cluster", k, center)
         final, lagged = X.gmm_fit(train, FEATURES, init, max_iter=em_max_iter, em_schedule=em_schedule,
-                                  center=center)
+                                  center=center, underflow=underflow, covariance=covariance)
         res.mixture = final
         use = lagged if labels == "lagged" else final
         comp = X.predict(labelled, FEATURES, use, keep=labelled.columns)

@@ -450,14 +450,17 @@ _em = _km("labels", extra=[
     ("ka", "select t.*, a.cluster from train t join km_a a using (trip_id)"), *em_ctes("train", "ka", FEATURES, KMEANS_K)])
 ORACLE["gmm_fit"] = _em + "select cast(component as integer) as component, " + r6("phi") + " as phi, " + ", ".join(
     f"{r6(f'g[{i}]')} as {c}" for i, c in enumerate(FEATURES, 1)) + " from em_g"
-ORACLE["gmm_component_summary"] = _km("labels", extra=[
-    ("ka", "select t.*, a.cluster from train t join km_a a using (trip_id)"), *em_ctes("train", "ka", FEATURES, KMEANS_K),
-    *mixture_ctes("em_g", KMEANS_K),
+_both = _km("labels", extra=[
+    ("ka", "select t.*, l.d_label, l.p_label, a.cluster from train t join km_a a using (trip_id) join labels l using (trip_id)"),
+    *em_ctes("train", "ka", FEATURES, KMEANS_K), *mixture_ctes("em_g", KMEANS_K),
     ("best", "select trip_id, cast(case " + " ".join(f"when l{j} = m then {j}" for j in range(KMEANS_K))
      + " end as integer) as component from gr"),
-    ("kc", "select t.*, l.d_label, l.p_label, b.component from train t join best b using (trip_id) join labels l using (trip_id)"),
-]) + summary_sql("kc", "component")
-ORACLE["segment_trips"] = ORACLE["cluster_summary"]
+    ("kc", "select ka.*, b.component from ka join best b using (trip_id)"),
+])
+ORACLE["gmm_component_summary"] = _both + summary_sql("kc", "component")
+ORACLE["segment_trips"] = _both + " union all ".join(
+    f"select '{kind}' as kind, cast({kind} as integer) as segment, * exclude ({kind}) from ({summary_sql('kc', kind)})"
+    for kind in ("cluster", "component"))
 
 
 # -- k-means on the 64-dimensional embeddings ----------------------------------------
@@ -475,7 +478,7 @@ ORACLE["embedding_silhouette"] = _emb + (
 
 
 # -- EM on two features, to its end ---------------------------------------------------
-GMM2_K = 3
+GMM2_K, GMM2_TOL = 3, 1e-3
 register("t2", "select trip_id, cast(hour as double) as hour, trip_min from train", ["train"])
 register("z2", "select trip_id, case when sh > 0 then (hour - mh) / sh else 0 end as hour, "
                "case when st > 0 then (trip_min - mt) / st else 0 end as trip_min from t2, "
@@ -486,6 +489,6 @@ register("z2", "select trip_id, case when sh > 0 then (hour - mh) / sh else 0 en
 ORACLE["gmm_fit_2d"] = with_ctes("z2", "t2", extra=[
     *kmeans_ctes((GMM2_K,), "z2", ["hour", "trip_min"], "g2"),
     ("ka2", "select t.trip_id, t.hour, t.trip_min, a.cluster from t2 t join g2_a a using (trip_id)"),
-    *em_ctes("t2", "ka2", ["hour", "trip_min"], GMM2_K, prefix="e2")]) + (
+    *em_ctes("t2", "ka2", ["hour", "trip_min"], GMM2_K, GMM2_TOL, prefix="e2")]) + (
     f"select cast(component as integer) as component, {r6('phi')} as phi, {r6('g[1]')} as mu_hour, {r6('g[2]')} as mu_trip_min "
     "from e2_g")

@@ -381,8 +381,11 @@ def q_pick_k(spark, sf_dir):
 
 @query("segment_trips")
 def q_segment_trips(spark, sf_dir):
-    res = P.segment_trips(load_raw(spark, sf_dir), mixture=False)
-    return res.cluster_summary.select("cluster", "n", *r6(SUMMARY_COLS))
+    """Both summaries, of the clusters and of the mixture's components."""
+    res = P.segment_trips(load_raw(spark, sf_dir))
+    parts = [df.select(F.lit(kind).alias("kind"), F.col(kind).cast("int").alias("segment"), "n", *r6(SUMMARY_COLS))
+             for kind, df in (("cluster", res.cluster_summary), ("component", res.component_summary))]
+    return parts[0].unionByName(parts[1])
 
 
 # -- the same fit on 64-dimensional embeddings ------------------------------------------
@@ -419,7 +422,7 @@ def q_embedding_silhouette(spark, sf_dir):
 
 
 # -- the EM loop end to end on two features (SQL-checkable: closed-form 2x2) --------------
-GMM2_COLS, GMM2_K = ["hour", "trip_min"], 3
+GMM2_COLS, GMM2_K, GMM2_TOL = ["hour", "trip_min"], 3, 1e-3
 
 
 def _gmm2(spark, sf_dir):
@@ -433,7 +436,7 @@ def _gmm2(spark, sf_dir):
         kl = K.assign(z, zc, km.centroids, keep=("trip_id", *GMM2_COLS))
         center = np.array([st.mean[c] for c in GMM2_COLS])
         init = X.init_from_clusters(kl, GMM2_COLS, "cluster", GMM2_K, center)
-        model, _ = X.gmm_fit(train, GMM2_COLS, init, center=center)
+        model, _ = X.gmm_fit(train, GMM2_COLS, init, tol=GMM2_TOL, center=center)
         return model
     return M.memo(("gmm2", sf_dir), run)
 

@@ -134,3 +134,22 @@ def test_lagged_model_is_last_phi_with_previous_gaussians(spark):
     two, lagged = X.gmm_fit(df, COLS, start(x), tol=0.0, max_iter=2)
     assert np.allclose(lagged.phi, two.phi)
     assert np.allclose(lagged.mu, one.mu) and np.allclose(lagged.sigma, one.sigma)
+
+
+def test_em_with_as_written_covariance_and_ridge(spark):
+    x = data(seed=5)
+    m0 = start(x)
+    for covariance, ridge in (("as_written", 0.1), ("weighted", 0.1)):
+        got, _ = X.gmm_fit(frame(spark, x), COLS, m0, tol=0.0, max_iter=2, covariance=covariance, ridge=ridge)
+        m = X.Mixture(m0.phi, m0.mu, m0.sigma + ridge * np.eye(3))
+        for _ in range(2):
+            phi = resp(x, m).mean(0)
+            r = resp(x, X.Mixture(phi, m.mu, m.sigma))
+            w = r.sum(0)
+            mu = (r.T @ x) / w[:, None]
+            dev = [x[:, [j]] - mu[j] if covariance == "as_written" else x - mu[j] for j in range(3)]
+            sig = np.array([(dev[j].T * r[:, j]) @ dev[j] / w[j] for j in range(3)])
+            m = X.Mixture(phi, mu, sig + ridge * np.eye(3))
+        assert np.allclose(got.phi, m.phi, atol=1e-9) and np.allclose(got.sigma, m.sigma, atol=1e-8)
+    with pytest.raises(ValueError):
+        X.gmm_fit(frame(spark, x), COLS, m0, covariance="other")

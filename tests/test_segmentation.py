@@ -44,6 +44,13 @@ def test_sinks_round_trip(spark, result):
     out = tempfile.mkdtemp(prefix="fareseg-sink-")
     P.write_centroids(result.centroids, os.path.join(out, "centroids"))
     P.write_summary(result.cluster_summary, os.path.join(out, "summary"), fmt="csv")
+    P.write_summary(result.component_summary, os.path.join(out, "components"))
+    back = spark.read.parquet(os.path.join(out, "components"))
+    assert "component" in back.columns and back.count() == result.component_summary.count()
+    scores = P.k_sweep_scores(result.train, ks=(2, 3))
+    P.write_scores(scores, os.path.join(out, "scores"))
+    back = spark.read.parquet(os.path.join(out, "scores")).orderBy("k").collect()
+    assert [r.k for r in back] == [2, 3] and all(r.converged for r in back)
     P.write_mixture(spark, result.mixture, os.path.join(out, "mixture"))
     P.write_trips(result.train, os.path.join(out, "train"))
     back = spark.read.parquet(os.path.join(out, "mixture")).orderBy("component").collect()

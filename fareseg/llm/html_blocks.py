@@ -14,7 +14,11 @@ often hidden, so that order, neighbours and wording must do.
 
 Null, empty and tag-free pages: no page text but the labelled blocks, if any, of
 what is there; a null html gives an empty text. Unclosed, stray and broken tags
-are read leniently; a page of any length is read whole. Repeated rows repeat.
+are read leniently; a page of any length is read whole. Scripts, styles, titles,
+controls, drawings and embedded objects are cut from their start to their own
+end tag; one that is self-closed or never ends cuts nothing (a script, style,
+textarea or comment takes the rest, as in browsers). A head needs no end tag.
+Repeated rows repeat.
 """
 
 from __future__ import annotations
@@ -36,7 +40,11 @@ INPUT = PATH_DIM + WORD_DIM + EXTRA
 HIDDEN = 16
 
 # HTML's element kinds.
-RAW = "script style noscript template textarea title svg iframe object select option button head".split()
+TEXT = "script style textarea title iframe".split()  # hold text, never tags
+TO_END = {"script", "style", "textarea"}  # left open, they take the rest of the page, as in browsers
+DROPPED = set("noscript template svg object select option button".split())
+NESTS = {"template", "svg", "object"}
+CUTS = {"title", "head", "button", "option", "select"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small "
              "span strike strong sub sup time tt u var wbr br".split())
@@ -49,9 +57,11 @@ BOILER = set("nav header footer aside form menu dialog ad ads advert sponsored s
              "social comment comments reply breadcrumb newsletter subscribe login popup".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>|(?P<text>[^<]+|<)",
-    re.S | re.I)
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    r"|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.S)
+_END = {t: re.compile(rf"</{t}(?![a-z0-9:-])[^>]*>", re.I | re.A) for t in TEXT}
+_AGAIN = {t: re.compile(rf"<(?:{t}{'|/head|body' * (t == 'title')})(?![a-z0-9:-])", re.I | re.A) for t in TEXT}
+_BARE_VALUE = re.compile(r"=\s*[^\s\"'>]+/\Z")
 _WORDY = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _SPLIT = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
@@ -63,6 +73,65 @@ def _names(tag: str, attrs: str) -> tuple[str, ...]:
     return (tag, *(w.lower() for v in _WORDY.findall(attrs) for w in _SPLIT.findall(v)))
 
 
+def _closed(attrs: str) -> bool:
+    """Self-closed; a slash that ends a bare value belongs to the value."""
+    return attrs.endswith("/") and not _BARE_VALUE.search(attrs)
+
+
+def _tokens(html: str) -> list[tuple[str | None, str, str, str]]:
+    """``(text, tag, end slash, attributes)`` in page order, without comments, declarations and what text elements hold."""
+    out, at, ahead = [], 0, {}
+
+    def upcoming(p: re.Pattern):
+        # kept until it is passed, so that a page's searches together read it once
+        if p not in ahead or ahead[p] and ahead[p].start() < at:
+            ahead[p] = p.search(html, at)
+        return ahead[p]
+
+    while m := _TOKEN.match(html, at):
+        at = m.end()
+        text, tag, end, attrs = m.group("text", "tag", "end", "attrs")
+        if text is not None:
+            out.append((text, "", "", ""))
+        elif tag is not None:
+            tag = tag.lower()
+            out.append((None, tag, end, attrs))
+            if tag not in _END or end or _closed(attrs):
+                continue
+            last, again = upcoming(_END[tag]), upcoming(_AGAIN[tag])
+            near = last and not (again and again.start() < last.start())
+            if near or last and tag in TO_END and not attrs.endswith("/"):
+                at = last.end()
+            elif tag in TO_END and not attrs.endswith("/"):
+                at = len(html)
+            elif tag == "title":
+                at = max(at, html.find("<", at))
+    return out
+
+
+def _dropped(tokens: list) -> dict[int, int]:
+    """Start to end index of the dropped elements that do end; a start without an end is no range."""
+    ends, opened, option = {}, {}, None
+    for i, (_, tag, end, attrs) in enumerate(tokens):
+        if not tag or tag in INLINE:
+            continue
+        if option is not None and (tag in ("option", "optgroup") and not end or tag in ("select", "datalist", "optgroup") and end):
+            ends[option] = i - 1  # an option may leave its end tag out here
+        option = None
+        if tag not in DROPPED:
+            continue
+        if end:
+            if opened.get(tag):
+                ends[opened[tag].pop()] = i
+        elif not _closed(attrs):
+            if tag in NESTS:
+                opened.setdefault(tag, []).append(i)
+            else:
+                opened[tag] = [i]
+            option = i if tag == "option" else None
+    return ends
+
+
 def blocks(html: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
     """``(path, text, linked characters)`` of the non-empty leaf blocks in page order; the text is decoded, single-spaced and trimmed."""
     out, stack, text, linked, in_link = [], [], [], 0, False
@@ -76,35 +145,37 @@ def blocks(html: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
             text.clear()
             linked = 0
 
-    for m in _TOKEN.finditer(html):
-        piece = m["text"]
+    tokens = _tokens(html)
+    ends, skip = _dropped(tokens), -1
+    for i, (piece, tag, end, attrs) in enumerate(tokens):
+        if i <= skip:
+            continue
         if piece is not None:
             text.append(piece)
             if in_link:
                 linked += len(piece)
             continue
-        tag = m["tag"]
-        if tag is None:
-            if m["raw"] and m["raw"].lower() in ("title", "head", "button", "option", "select"):
+        if tag in DROPPED or tag in _END or tag == "head":
+            skip = ends.get(i, skip)
+            if tag in CUTS:
                 flush()
             continue
-        tag = tag.lower()
         if tag in INLINE:
             if tag == "a":
-                in_link = not m["end"]
+                in_link = not end
             elif tag == "br":
                 text.append(" ")
             continue
         flush()
-        if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
+        if end:
+            for j in range(len(stack) - 1, -1, -1):
+                if stack[j][0] == tag:
+                    del stack[j:]
                     break
-        elif tag not in VOID and not m["attrs"].endswith("/"):
+        elif tag not in VOID and not attrs.endswith("/"):
             if tag in CLOSES_P and stack and stack[-1][0] == "p" or tag in ("li", "td", "th", "tr", "dt", "dd") and stack and stack[-1][0] == tag:
                 stack.pop()
-            stack.append(_names(tag, m["attrs"]))
+            stack.append(_names(tag, attrs))
     flush()
     return out
 

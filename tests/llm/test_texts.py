@@ -140,6 +140,33 @@ def test_main_text_of_pages(spark):
     assert html_blocks.main_text(odd.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("before", [
+    "<head><title>T</title><style>s{}</style>", "<head><meta charset=utf-8><script>if (a<b) x()</script>", "<title>T", "<head><title>T<body>",
+    "<svg class='i'/>", "<svg viewBox='0 0 1 1' />", "<iframe src='/x'/>", "<iframe src=/x/>", "<object data='o'/>", "<button/>", "<script src=a.js/>",
+    "<script src='a.js'/>", "<option value=a>", "<object data=o>", "<button>", "<svg>", "<iframe src=x>", "<noscript>", "<template>", "<select>",
+    "<datalist><option>a<option>b</datalist>", "<select><option>a<optgroup><option>b</select>", "<svg><svg></svg><text>t</text></svg>",
+    "<button-group></button-group>", "<template><template>t</template>u</template>", "<title><b><!-- t</title>", "<noscript><p>n</p></noscript>",
+    "<textarea><p>t</p></textarea>", "<button><script>'</button>'</script>t</button>", "<style>s</style>", "<!-- <p>t</p> -->", "<object><p>t</p></object>"])
+def test_blocks_after_cut_elements(before):
+    tail = "<svg><title>i</title></svg><iframe>f</iframe><object>o</object><select><option>s</option></select><button>k</button><script>'</p>'</script>"
+    tail += "<noscript>n</noscript><template>m</template>"
+    for after in ("", tail):
+        got = html_blocks.blocks(f"<html>{before}<p>One <svg/>two.<div class=x><p>Three.</div>{after}<p>Four.")
+        assert [t for _, t, _ in got] == ["One two.", "Three.", "Four."], before
+        assert got[0][0][-1] == ("p",) and not any(n in html_blocks.DROPPED for path, _, _ in got for part in path for n in part)
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "textarea"])
+def test_blocks_of_text_elements_without_end(tag):
+    assert [t for _, t, _ in html_blocks.blocks(f"<p>One.</p><{tag}> x <p>y</p>")] == ["One."]
+    assert [t for _, t, _ in html_blocks.blocks("<p>One.</p><!-- x <p>y</p>")] == ["One."]
+
+
+def test_blocks_of_many_starts_without_end_take_linear_time():
+    got = html_blocks.blocks("<iframe src=x><title><option><object>w <p>" * 40_000)
+    assert [t for _, t, _ in got] == ["w"] * 40_000
+
+
 def test_lstm_gradient_matches_differences():
     rng = np.random.default_rng(1)
     net = html_blocks.Labeller(3)

@@ -3,8 +3,9 @@
 Base spans (``assign``, ``access``, ``hex``) are regular-expression matches over
 the whole text. The lexer then reads ``name = value`` pairs in source and
 configuration syntax (``=``, ``:``, ``:=``, ``=>``; quoted or bare names and
-values; values joined by ``+`` or ``.``), in text order. A value that names an
-earlier pair takes that pair's literals (constants are propagated, with an
+values; values joined by ``+`` or ``.``), in text order. A type may stand between
+name and ``=`` (``name: type =``, ``name As Type =``, ``name string =``, ``name[] =``),
+and ``a = b = value`` is a pair for every name. A value that names an earlier pair takes that pair's literals (constants are propagated, with an
 alias counted once), so a literal is judged by every name it reaches. Its score
 is the weight of the most sensitive of those names times the literal's
 strength; from ``THRESHOLD`` on it is a ``named`` span, unless a base span
@@ -44,10 +45,28 @@ SENSITIVE = {
 }
 THRESHOLD = 0.45
 
+# A name is a whole run of its characters, so that each run is read once however long it is.
+_NAME = r"(?<![A-Za-z0-9_.\-])[0-9.\-]*+(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)"
+_VALUE = (r"""(?P<value>(?:"[^"\n]*"|'[^'\n]*'|[A-Za-z0-9_+/$][^\s"'`,;(){}\[\]<>]*)"""
+          r"""(?:[ \t]*[+.][ \t]*(?:"[^"\n]*"|'[^'\n]*'|[A-Za-z_]\w*))*)""")
+
+
+def _nested(a: str, b: str, depth: int = 3) -> str:
+    inner = rf"[^\{a}\{b}\n=]*+"
+    return rf"\{a}{inner}" + (rf"(?:{_nested(a, b, depth - 1)}{inner})*+" if depth > 1 else "") + rf"\{b}"
+
+
+_TYPE = (r"""(?:"[^"\n]*"|'[^'\n]*'|(?:&(?:'\w+[ \t]+)?|\*|\?|(?:mut|dyn|impl|inout|readonly|constant|unique|keyof|typeof)[ \t]+)*"""
+         rf"(?:[A-Za-z_][A-Za-z0-9_.]*+(?:::[A-Za-z_]\w*+)*+|{_nested('[', ']')}|{_nested('(', ')')})"
+         rf"(?:{_nested('<', '>')}|{_nested('[', ']')})*+[?!]*+)")
 _PAIR = re.compile(
-    r"""(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{0,80})(?P=q)[ \t]*(?::=|=>|=(?!=)|:(?![:/]))[ \t]*"""
-    r"""(?P<value>(?:"[^"\n]*"|'[^'\n]*'|[A-Za-z0-9_+/$][^\s"'`,;(){}\[\]<>]*)"""
-    r"""(?:[ \t]*[+.][ \t]*(?:"[^"\n]*"|'[^'\n]*'|[A-Za-z_]\w*))*)""", re.A)
+    rf"""(?P<q>["']?){_NAME}(?P=q)(?:(?:[?!]?[ \t]*:[ \t]*(?P<type>{_TYPE}(?:[ \t]*[|&][ \t]*{_TYPE})*+)"""
+    r"""|[ \t]+(?:As[ \t]+[A-Za-z_][\w.]*+|\*?(?:\[\])?(?:string|byte|rune|any)\b)|(?:\[\d*\])++)[ \t]*:?=(?![=>])"""
+    rf"""|[ \t]*(?P<op>:=|=>|=(?!=)|:(?![:/])))[ \t]*{_VALUE}""", re.A)
+_VALUE_AT = re.compile(_VALUE, re.A)
+_LINK = re.compile(r"\$?(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)(?P<gap>[ \t]*+)=(?![=>])[ \t]*+", re.A)
+_TIGHT = re.compile(r"\$?([A-Za-z_][A-Za-z0-9_.\-]*+)=(?![=>])", re.A)
+_NAMELIKE = re.compile(r"[^0-9]*[0-9]{0,3}[^0-9A-Za-z]*")
 _ATOM = re.compile(r""""([^"\n]*)"|'([^'\n]*)'|([^\s"'+]+(?:\+[^\s"'+]+)*)""")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
@@ -79,32 +98,76 @@ def strength(literal: str) -> float:
     return min(1.0, entropy / 3.2) * min(1.0, n / 12) * (0.4 if kinds < 2 else 1.0)
 
 
+def _chain(text: str, at: int) -> tuple[list[str], list[tuple[int, int]], int]:
+    """The names of ``b = c = value`` from ``at`` on, the spans among them that may as well be literals, and where the value starts."""
+    names, words = [], []
+    while m := _LINK.match(text, at):
+        if not m["gap"]:  # b=c="literal"; without the quote it is one bare value
+            run, end = [], at
+            while t := _TIGHT.match(text, end):
+                run.append(t[1])
+                end = t.end()
+            start = end
+            while text[start:start + 1] in (" ", "\t"):
+                start += 1
+            if text[start:start + 1] in ('"', "'") and _VALUE_AT.match(text, start):
+                return names + run, [*words, (at, end)], start
+            break
+        if not _VALUE_AT.match(text, m.end()):
+            break
+        names.append(m["name"])
+        if not _NAMELIKE.fullmatch(m["name"]):
+            words.append((at, m.end("name")))
+        at = m.end()
+    return names, words, at
+
+
 def named_spans(text: str) -> list[tuple[int, int, float]]:
     """``(start, end, score)`` of literals whose score reaches the threshold."""
     if "=" not in text and ":" not in text:
         return []
     known: dict[str, list[tuple[int, int]]] = {}
     best: dict[tuple[int, int], float] = {}
-    for m in _PAIR.finditer(text):
+
+    def judge(weight: float, literals: list[tuple[int, int]]) -> None:
+        if weight:
+            score = weight * strength("".join(text[s:e] for s, e in literals))  # joined pieces count as one literal
+            for s in literals:
+                best[s] = max(best.get(s, 0.0), score)
+
+    at = 0
+    while m := _PAIR.search(text, at):
+        names, words, start = [m["name"]], [], m.start("value")
+        weight = name_weight(m["name"])
+        if m["type"] is not None:
+            if m["type"][0].islower():  # { password: pwd = "..." }
+                weight = max(weight, name_weight(m["type"]))
+            if not _NAMELIKE.fullmatch(m["type"]):
+                words.append(m.span("type"))
+        if m["op"] != ":":
+            more, also, start = _chain(text, start)
+            names += more
+            words += also
+            weight = max([weight, *map(name_weight, more)])
+        for s, e in words:
+            judge(weight, [(s, e)])
+        value = _VALUE_AT.match(text, start)
+        at = value.end()
         literals: list[tuple[int, int]] = []
-        at = m.start("value")
-        for a in _ATOM.finditer(m["value"]):
+        for a in _ATOM.finditer(value["value"]):
             if a[3] is not None:
                 if a[3] in known:
                     literals += known[a[3]]
                     continue
                 word = a[3].rstrip(".:!?")
-                literals.append((at + a.start(3), at + a.start(3) + len(word)))
+                literals.append((start + a.start(3), start + a.start(3) + len(word)))
             else:
                 k = 1 if a[1] is not None else 2
-                literals.append((at + a.start(k), at + a.end(k)))
+                literals.append((start + a.start(k), start + a.end(k)))
         literals = list(dict.fromkeys(literals))
-        known[m["name"]] = literals
-        weight = name_weight(m["name"])
-        if weight:
-            score = weight * strength("".join(text[s:e] for s, e in literals))  # joined pieces count as one literal
-            for s in literals:
-                best[s] = max(best.get(s, 0.0), score)
+        for name in names:
+            known[name] = literals
+        judge(weight, literals)
     return [(s, e, w) for (s, e), w in best.items() if w >= THRESHOLD and e > s]
 
 

@@ -108,6 +108,28 @@ def test_lexer_propagates_constants_and_masks():
     assert secret_scan.mask("ab token=0123456789abcdef0 cd", secret_scan.find_spans("ab token=0123456789abcdef0 cd")) == "ab [SECRET] cd"
 
 
+LITERAL = "h8Kq2ZpL0vXs"
+
+
+@pytest.mark.parametrize("line", [
+    'const apiKey: string = "L";', 'password: str = "L"', 'val pwd: String = "L"', 'token: &str = "L";', "const TOKEN: &'static str = \"L\";",
+    'let pwd: String? = "L"', 'private pwd?: string | null = "L"', 'secret: Optional[Dict[str, str]] = "L"', 'pwd: Map<String, List<String>> = "L"',
+    "Password : constant String := 'L'", 'pwd: "str" = "L"', 'var pwd string = "L"', 'Dim pwd As String = "L"', 'char pwd[32] = "L";',
+    'f(host: String, pwd: String = "L")', 'const { x: pwd = "L" } = y', 'pwd:std::string="L"', 'pwd: (str | None) = "L"',
+    'password = pwd = "L"', 'x = pwd = "L"', 'pwd = x = "L"', 'a = pwd = b = "L"', 'x=pwd="L"', "x := pwd = 'L'", 'pwd = x = L', 'x: str = pwd = "L"',
+    "'pwd' => $x = 'L'", 'y: str = "L"\npwd = y', 'y = z = "L"\npwd = y', 'y = z = "L"\npwd = z', 'var y string = "L"\npwd = y'])
+def test_lexer_reads_types_and_chains(line):
+    text = line.replace("L", LITERAL) if '"L"' not in line and "'L'" not in line else line.replace('"L"', f'"{LITERAL}"').replace("'L'", f"'{LITERAL}'")
+    assert [(text[s:e], k) for s, e, k in secret_scan.find_spans(text)] == [(LITERAL, "named")]
+    assert LITERAL not in secret_scan.mask(text, secret_scan.find_spans(text))
+
+
+def test_lexer_keeps_what_only_looks_like_a_type_or_chain():
+    for line in ("pwd: h8Kq2ZpL0vXs = foo", "pwd = h8Kq2ZpL0vXs = foo", 'f("pwd=h8Kq2ZpL0vXs=", "x")', 'pwd=h8Kq2ZpL0vXs= "x"'):
+        assert any(LITERAL in line[s:e] for s, e, _ in secret_scan.find_spans(line)), line
+    assert secret_scan.find_spans('name: str = "h8Kq2ZpL0vXs"\nother = name\nif pwd == "h8Kq2ZpL0vXt": pass') == []
+
+
 def test_redact_keeps_columns_and_lengths(spark):
     docs, rows = odd_docs(spark)
     got = secret_scan.redact(docs)

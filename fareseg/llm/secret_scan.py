@@ -5,7 +5,7 @@ the whole text. The lexer then reads ``name = value`` pairs in source and
 configuration syntax (``=``, ``:``, ``:=``, ``=>``; quoted or bare names and
 values; values joined by ``+`` or ``.``), in text order. A type may stand between
 name and ``=`` (``name: type =``, ``name As Type =``, ``name string =``, ``name[] =``),
-and ``a = b = value`` is a pair for every name. A value that names an earlier pair takes that pair's literals (constants are propagated, with an
+and ``a = b = value`` is a pair for every name. A value that names an earlier pair, or else a later one, takes that pair's literals (constants are propagated, with an
 alias counted once), so a literal is judged by every name it reaches. Its score
 is the weight of the most sensitive of those names times the literal's
 strength; from ``THRESHOLD`` on it is a ``named`` span, unless a base span
@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -122,11 +124,58 @@ def _chain(text: str, at: int) -> tuple[list[str], list[tuple[int, int]], int]:
     return names, words, at
 
 
+class _Pair(NamedTuple):
+    """The names of one value, the greatest weight of them, and its parts: start, end and, for a bare word, the word."""
+
+    names: list[str]
+    weight: float
+    parts: list[tuple[int, int, str | None]]
+
+
+def _resolved(pairs: list[_Pair]) -> list[list[tuple[int, int]]]:
+    """The literals of every pair. A bare word that is a name stands for that name's last pair before, or else its first one after."""
+    where: dict[str, list[int]] = {}
+    for i, p in enumerate(pairs):
+        for name in dict.fromkeys(p.names):
+            where.setdefault(name, []).append(i)
+
+    def target(word: str | None, i: int) -> int | None:
+        at = where.get(word) if word is not None else None
+        if at is None:
+            return None
+        k = bisect_left(at, i)
+        if k:
+            return at[k - 1]
+        k += at[k:k + 1] == [i]
+        return at[k] if k < len(at) else None
+
+    done: list[list[tuple[int, int]] | None] = [None] * len(pairs)
+    begun = [False] * len(pairs)
+    for first in range(len(pairs)):
+        todo = [first]
+        while todo:
+            i = todo[-1]
+            if done[i] is None:
+                aims = [target(word, i) for _, _, word in pairs[i].parts]
+                wait = [] if begun[i] else [j for j in aims if j is not None and done[j] is None and not begun[j]]
+                begun[i] = True
+                if wait:
+                    todo += wait
+                    continue
+                got: dict[tuple[int, int], None] = {}
+                for (s, e, _), j in zip(pairs[i].parts, aims):
+                    # names that only lead to each other are words
+                    got.update(dict.fromkeys([(s, e)] if j is None or done[j] is None else done[j]))
+                done[i] = list(got)
+            todo.pop()
+    return done
+
+
 def named_spans(text: str) -> list[tuple[int, int, float]]:
     """``(start, end, score)`` of literals whose score reaches the threshold."""
     if "=" not in text and ":" not in text:
         return []
-    known: dict[str, list[tuple[int, int]]] = {}
+    pairs: list[_Pair] = []
     best: dict[tuple[int, int], float] = {}
 
     def judge(weight: float, literals: list[tuple[int, int]]) -> None:
@@ -153,21 +202,14 @@ def named_spans(text: str) -> list[tuple[int, int, float]]:
             judge(weight, [(s, e)])
         value = _VALUE_AT.match(text, start)
         at = value.end()
-        literals: list[tuple[int, int]] = []
+        parts: list[tuple[int, int, str | None]] = []
         for a in _ATOM.finditer(value["value"]):
-            if a[3] is not None:
-                if a[3] in known:
-                    literals += known[a[3]]
-                    continue
-                word = a[3].rstrip(".:!?")
-                literals.append((start + a.start(3), start + a.start(3) + len(word)))
-            else:
-                k = 1 if a[1] is not None else 2
-                literals.append((start + a.start(k), start + a.end(k)))
-        literals = list(dict.fromkeys(literals))
-        for name in names:
-            known[name] = literals
-        judge(weight, literals)
+            k = a.lastindex
+            word = a[k].rstrip(".:!?") if k == 3 else a[k]
+            parts.append((start + a.start(k), start + a.start(k) + len(word), a[k] if k == 3 else None))
+        pairs.append(_Pair(names, weight, parts))
+    for pair, literals in zip(pairs, _resolved(pairs)):
+        judge(pair.weight, literals)
     return [(s, e, w) for (s, e), w in best.items() if w >= THRESHOLD and e > s]
 
 

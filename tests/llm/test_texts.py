@@ -130,6 +130,18 @@ def test_lexer_keeps_what_only_looks_like_a_type_or_chain():
     assert secret_scan.find_spans('name: str = "h8Kq2ZpL0vXs"\nother = name\nif pwd == "h8Kq2ZpL0vXt": pass') == []
 
 
+def test_lexer_reads_long_names_and_later_constants():
+    long = "password." + "a" * 300
+    for text in (f'{long} = "{LITERAL}"', f'"{long}": "{LITERAL}"', f'{long}_x = "{LITERAL}"', f'y{"a" * 300} = "{LITERAL}"\npwd = y{"a" * 300}',
+                 f'password = DB\nDB = "{LITERAL}"', f'password = A\nA = B\nB = "{LITERAL}"', f'A = B\nB = "{LITERAL}"\npassword = A',
+                 f'password = A\nA = B\nB = A\nA = "{LITERAL}"\npwd = A', f'pwd = pwd\npwd = "{LITERAL}"'):
+        assert LITERAL in [text[s:e] for s, e, _ in secret_scan.find_spans(text)], text
+    text = f'DB = "{LITERAL}"\npassword = DB\nDB = "h8Kq2ZpL0vXt"'
+    assert [text[s:e] for s, e, _ in secret_scan.find_spans(text)] == [LITERAL]
+    many = "\n".join(f"a{i} = a{i + 1}" for i in range(20_000)) + f'\na20000 = "{LITERAL}"\npassword = a0'
+    assert [many[s:e] for s, e, _ in secret_scan.find_spans(many)] == [LITERAL]
+
+
 def test_redact_keeps_columns_and_lengths(spark):
     docs, rows = odd_docs(spark)
     got = secret_scan.redact(docs)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fareseg.llm import bpe, html_blocks, jaccard, near_embed, packing, quality, secret_scan, shards, topk, toxicity
+from fareseg.llm import bpe, html_blocks, jaccard, near_embed, negatives, packing, quality, secret_scan, shards, topk, toxicity
 from fareseg.llm.common import table
 
 
@@ -48,9 +49,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    emb = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(emb.withColumn("label", moved))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_embeddings, op2_top_inner_products, op3_toxicity, op4_ngram_jaccard, op5_secret_scan, op6_quality,
-    op7_main_text, op8_byte_bpe, op9_shards, op10_packing)}
+    op7_main_text, op8_byte_bpe, op9_shards, op10_packing, op11_hard_negatives)}
 
 ORACLE = {
     "op1_near_embeddings": """
@@ -99,5 +106,27 @@ l AS MATERIALIZED (
 c(v, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, c.r FROM c JOIN l ON l.a = c.v)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.r AS component_id
 FROM documents d JOIN (SELECT v, min(r) AS r FROM c GROUP BY v) m ON m.v = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+""",
+    "op11_hard_negatives": """
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.e, c.e)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+),
+p AS MATERIALIZED (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+n AS (
+  SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareseg.llm import align, bpe, html_blocks, jaccard, near_embed, negatives, packing, quality, secret_scan, shards, topk, toxicity
+from fareseg.llm import align, bpe, html_blocks, jaccard, licenses, near_embed, negatives, packing, quality, secret_scan, shards, topk, toxicity
 from fareseg.llm.common import table
 
 
@@ -59,10 +59,14 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.alignment_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_embeddings, op2_top_inner_products, op3_toxicity, op4_ngram_jaccard, op5_secret_scan, op6_quality,
     op7_main_text, op8_byte_bpe, op9_shards, op10_packing, op11_hard_negatives,
-    op12_token_alignment)}
+    op12_token_alignment, op13_license_scan)}
 
 ORACLE = {
     "op1_near_embeddings": """

@@ -209,7 +209,11 @@ class Words:
             rows[n, :len(w)] = list(w)
         self.codes, self.sizes = rows.view("<u8"), np.array([len(w) for w in known], np.int64)
         self.heads = np.unique(self.codes[:, 0])
-        self.exact = {(*c, n): i + 1 for i, (c, n) in enumerate(zip(self.codes.tolist(), self.sizes.tolist()))}
+        #: the words with each head, one column a word, -1 where there are no more
+        by_head = [np.flatnonzero(self.codes[:, 0] == h) for h in self.heads]
+        self.with_head = np.full((len(by_head), max(map(len, by_head), default=0)), -1)
+        for n, at in enumerate(by_head):
+            self.with_head[n, :len(at)] = at
 
     def numbers(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Each word's number, 0 for one that isn't known."""
@@ -226,11 +230,13 @@ class Words:
         size = ends - starts
         head = eight(starts, size)
         near = np.minimum(np.searchsorted(self.heads, head), len(self.heads) - 1)
-        maybe = np.flatnonzero((self.heads[near] == head) & (size <= 8 * self.width))
-        columns = [head[maybe]] + [eight(starts[maybe] + 8 * k, size[maybe] - 8 * k) for k in range(1, self.width)]
-        keys = np.stack([*columns, size[maybe].astype(np.uint64)], axis=1)
-        distinct, which = np.unique(keys, axis=0, return_inverse=True)
-        out[maybe] = np.array([self.exact.get(tuple(k), 0) for k in distinct.tolist()], np.int16)[which.ravel()] if len(maybe) else 0
+        maybe = np.flatnonzero(self.heads[near] == head)
+        for column in self.with_head[near[maybe]].T:
+            sure = (column >= 0) & (self.sizes[column] == size[maybe])
+            for k in range(1, self.width):
+                longer = np.flatnonzero(sure & (size[maybe] > 8 * k))
+                sure[longer] = self.codes[column[longer], k] == eight(starts[maybe[longer]] + 8 * k, size[maybe[longer]] - 8 * k)
+            out[maybe[sure]] = column[sure] + 1
         return out
 
 

@@ -1,16 +1,14 @@
-"""Lloyd k-means as a driver loop of one-scan rounds.
+"""Lloyd k-means: the model, its assignment columns, its seeds and its loop input.
 
-Round s scans the (persisted) feature rows once. With the centroids of the
-previous two rounds as literals it computes, per row, the assignment under
-both, and per cluster (``groupBy`` with map-side partial aggregation, k rows
-shuffled per partition): count, feature sums, squared-norm sum, the number
-of rows whose assignment changed, and the distance sums. k rows return to the
-driver; no per-row state is kept anywhere.
+The rounds themselves are in ``sweep.py``, which advances any number of models
+in the same scan; a single fit is a sweep of one. Only model-sized vectors
+come back to the driver, the same bits however the rows are partitioned (see
+``scan.py``).
 
 Stopping follows the reference: a round compares the assignment under the
 centroids it just produced with the one before; round 1 counts every row.
 That comparison is known one scan later, so a fit of t rounds costs t + 1
-scans, and the last scan also yields the cost and the silhouette statistics.
+scans and one more for the cost and the silhouette statistics.
 Empty clusters keep their previous centroid (and report n = 0).
 """
 
@@ -26,6 +24,7 @@ from pyspark.sql import functions as F
 
 from fareseg.functions.vector import first_argmin, lit, q, sq_distance, sq_norm, sum_sql
 from fareseg.operators.sampling import seed_rows
+from fareseg.operators.scan import Extent, extent
 
 
 @dataclass
@@ -47,6 +46,8 @@ class KMeansModel:
     rounds: int
     converged: bool
     reassigned: list[int] = field(default_factory=list)  # per round; round 1 = N
+    distances: int = 0                  # row-centroid distances the rounds computed ...
+    unpruned: int = 0                   # ... and how many they would have without bounds
 
     @property
     def k(self) -> int:
@@ -122,58 +123,26 @@ def point_centroid_distances(df: DataFrame, cols, centroids, key="trip_id") -> D
     return df.selectExpr(q(key), f"inline(array({rows}))")
 
 
-def round_scan(df: DataFrame, cols, cur: np.ndarray, prev: np.ndarray | None) -> ClusterStats:
-    """One pass: statistics per cluster under assign(cur), changes vs assign(prev).
-
-    A keyless aggregate of per-cluster conditional sums: each task folds its
-    rows into one partial row and a single task merges them, whatever the
-    session's shuffle partition count.
-    """
-    k, d = cur.shape
-    qc = [q(c) for c in cols]
-    proj = [*qc, f"{sq_norm(cols)} as _xx", *distance_exprs(cols, cur, "_d")]
-    if prev is not None:
-        proj += distance_exprs(cols, prev, "_e")
-    names = [f"_d{j}" for j in range(k)]
-    sel = [*qc, "_xx", f"{first_argmin(names)} as _c", "least(" + ", ".join(names) + ") as _dmin"]
-    if prev is not None:
-        sel.append(f"{first_argmin([f'_e{j}' for j in range(prev.shape[0])])} as _p")
-    step = df.selectExpr(*proj).selectExpr(*sel)
-    aggs = []
-    for j in range(k):
-        on = f"_c = {j}"
-        aggs.append(f"count_if({on}) as n{j}")
-        aggs += [f"sum(if({on}, {c}, 0D)) as s{j}_{i}" for i, c in enumerate(qc)]
-        aggs.append(f"sum(if({on}, _xx, 0D)) as q{j}")
-        aggs.append(f"count_if({on} and _c <> _p) as ch{j}" if prev is not None else f"count_if({on}) as ch{j}")
-        aggs += [f"sum(if({on}, sqrt(_dmin), 0D)) as dist{j}", f"sum(if({on}, _dmin, 0D)) as d2{j}"]
-    r = step.agg(*[F.expr(a) for a in aggs]).first()
-    st = ClusterStats(np.zeros(k), np.zeros((k, d)), np.zeros(k))
-    for j in range(k):
-        st.n[j] = r[f"n{j}"]
-        st.sums[j] = [r[f"s{j}_{i}"] or 0.0 for i in range(d)]
-        st.sqnorm[j] = r[f"q{j}"] or 0.0
-        st.changed += r[f"ch{j}"]
-        st.sum_distance += r[f"dist{j}"] or 0.0
-        st.wssse += r[f"d2{j}"] or 0.0
-    return st
-
-
-def loop_input(df: DataFrame, cols, rows_per_task: int = 25_000) -> DataFrame:
-    """The persisted input of an iterative fit.
+def loop_input(df: DataFrame, cols, rows_per_task: int = 25_000) -> tuple[DataFrame, Extent]:
+    """The persisted input of an iterative fit, and its extent.
 
     A small sample read from few files would run every round in one task; it
     is spread to about ``rows_per_task`` rows per task, up to the default
     parallelism. Inputs that already have enough partitions are left as they are.
+    Null and non-finite features are an error here, not a silent NaN model.
     """
-    data = df.select(*cols)
-    have = data.rdd.getNumPartitions()
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if have < want:
-        want = max(1, min(want, math.ceil(data.count() / rows_per_task)))
-        if want > have:
-            data = data.repartition(want)
-    return data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        size = extent(data, cols)
+        want = min(df.sparkSession.sparkContext.defaultParallelism, max(1, math.ceil(size.rows / rows_per_task)))
+        if data.rdd.getNumPartitions() < want:
+            first, data = data, data.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
+            data.count()
+            first.unpersist()
+    except BaseException:
+        data.unpersist()
+        raise
+    return data, size
 
 
 def update_centroids(stats: ClusterStats, previous: np.ndarray) -> np.ndarray:
@@ -185,49 +154,25 @@ def update_centroids(stats: ClusterStats, previous: np.ndarray) -> np.ndarray:
 
 
 def kmeans_fit(df: DataFrame, cols, k: int | None = None, seed: int = 42, max_iter: int | None = None,
-               init: np.ndarray | None = None, key: str = "trip_id", persist: bool = True,
-               engine: str = "arrow") -> KMeansModel:
+               init: np.ndarray | None = None, key: str = "trip_id", persist: bool = True) -> KMeansModel:
     """Lloyd iterations from k seed rows until no row changes cluster.
 
     ``max_iter=None`` means no cap (as the reference); the result says whether
     it converged. ``init`` replaces the seeds (k is then its row count).
-    ``engine``: "arrow" (NumPy per Arrow batch, one plan for all rounds) or "sql"
-    (column expressions, a new plan each round).
     """
+    from fareseg.operators.sweep import kmeans_many
+
     cols = list(cols)
     if init is None:
         init = seed_rows(df, k, seed, cols, key)
-    init = np.array(init, dtype=float)
-    if engine == "arrow":
-        from fareseg.operators.sweep import kmeans_many
-        return kmeans_many(df, cols, {0: init}, max_iter=max_iter, persist=persist)[0]
-    data = loop_input(df, cols) if persist else df.select(*cols)
-    try:
-        cur = init
-        prev = None
-        reassigned: list[int] = []
-        rounds = 0
-        while True:
-            st = round_scan(data, cols, cur, prev if rounds >= 2 else None)
-            if rounds == 1:
-                reassigned.append(int(st.n.sum()))
-            elif rounds >= 2:
-                reassigned.append(int(st.changed))
-            done = rounds >= 2 and st.changed == 0
-            if done or (max_iter is not None and rounds >= max_iter):
-                return KMeansModel(cols, cur, st, rounds, bool(done), reassigned)
-            prev, cur = cur, update_centroids(st, cur)
-            rounds += 1
-    finally:
-        if persist:
-            data.unpersist()
+    return kmeans_many(df, cols, {0: np.array(init, dtype=float)}, max_iter=max_iter, persist=persist)[0]
 
 
 def kmeans_update(df: DataFrame, cols, centroids: np.ndarray) -> tuple[np.ndarray, ClusterStats]:
     """One centroid update from ``centroids`` (A6)."""
     from fareseg.operators.sweep import multi_round_scan
 
-    st = multi_round_scan(df, list(cols), {0: (np.asarray(centroids, float), None)})[0]
+    st = multi_round_scan(df, list(cols), {0: np.asarray(centroids, float)})[0]
     return update_centroids(st, np.asarray(centroids, float)), st
 
 

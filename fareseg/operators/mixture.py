@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareseg.functions.vector import first_argmax, lit, q, sum_sql
-from fareseg.operators.scan import summed
+from fareseg.operators.scan import Extent, Folds, column_sums, extent, summed
 
 LOG_2PI = math.log(2.0 * math.pi)
 # Eigenvalues below 1e6 * machine epsilon * largest |eigenvalue|
@@ -137,25 +137,42 @@ def _pairs(d):
     return [(a, b) for a in range(d) for b in range(a, d)]
 
 
+def _moment_size(k: int, d: int) -> int:
+    return k * (1 + d + d * (d + 1) // 2)
+
+
+def _moment_pieces(folds: Folds, r: np.ndarray, xc: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Exact pieces of W_j, S_j and the upper triangle of Q_j for weights ``r`` (0 to 1) and centred rows ``xc``."""
+    d, out = xc.shape[1], []
+    for j in range(r.shape[1]):
+        w = r[:, j]
+        out.append(folds.sums(w, 1.0))
+        wx = [w * xc[:, a] for a in range(d)]
+        out += [folds.sums(wx[a], reach[a]) for a in range(d)]
+        out += [folds.sums(wx[a] * xc[:, b], reach[a] * reach[b] * 1.01) for a, b in _pairs(d)]
+    return np.stack(out, axis=1)
+
+
+def _moments(v: np.ndarray, k: int, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    m = v.reshape(k, -1)
+    Q = np.zeros((k, d, d))
+    for n, (a, b) in enumerate(_pairs(d)):
+        Q[:, a, b] = Q[:, b, a] = m[:, 1 + d + n]
+    return m[:, 0].copy(), m[:, 1:1 + d].copy(), Q
+
+
 def weighted_moments(df: DataFrame, cols, weights: list[str], center: np.ndarray) -> tuple:
-    """One global aggregate: W_j, S_j (d), Q_j (d x d) of weight columns
-    ``weights`` over features centred at ``center``. Returns numpy arrays."""
+    """One scan: W_j, S_j (d), Q_j (d x d) of the weights (SQL expressions, 0 to 1)
+    over features centred at ``center``. Returns numpy arrays."""
     d, k = len(cols), len(weights)
-    cen = df.selectExpr(*[f"{w} as _w{j}" for j, w in enumerate(weights)],
-                        *[f"({q(c)} - {lit(center[a])}) as _x{a}" for a, c in enumerate(cols)])
-    aggs = []
-    for j in range(k):
-        aggs.append(f"sum(_w{j}) as W{j}")
-        aggs += [f"sum(_w{j} * _x{a}) as S{j}_{a}" for a in range(d)]
-        aggs += [f"sum((_w{j} * _x{a}) * _x{b}) as Q{j}_{a}_{b}" for a, b in _pairs(d)]
-    r = cen.agg(*[F.expr(a) for a in aggs]).first()
-    W = np.array([r[f"W{j}"] or 0.0 for j in range(k)])
-    S = np.array([[r[f"S{j}_{a}"] or 0.0 for a in range(d)] for j in range(k)])
-    Q = np.zeros((k, d, d))
-    for j in range(k):
-        for a, b in _pairs(d):
-            Q[j, a, b] = Q[j, b, a] = r[f"Q{j}_{a}_{b}"] or 0.0
-    return W, S, Q
+    data = df.selectExpr(*[q(c) for c in cols], *[f"{w} as _w{j}" for j, w in enumerate(weights)])
+    size = extent(data, cols)
+    folds, reach = Folds(size.rows), (size.reach + np.abs(center)) * 1.01
+
+    def kernel(x):
+        return _moment_pieces(folds, x[:, d:], x[:, :d] - center, reach)
+
+    return _moments(Folds.joined(summed(data, data.columns, kernel, _moment_size(k, d), folds)), k, d)
 
 
 def moments_to_params(W, S, Q, center) -> tuple[np.ndarray, np.ndarray]:
@@ -201,17 +218,14 @@ def init_from_clusters(df: DataFrame, cols, cluster_col: str, k: int, center: np
 
 def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int | None = None,
             em_schedule: str = "two_phase", center: np.ndarray | None = None, persist: bool = True,
-            underflow: str = "exact", engine: str = "arrow", covariance: str = "weighted",
-            ridge: float = 0.0) -> tuple[Mixture, Mixture]:
+            underflow: str = "exact", covariance: str = "weighted", ridge: float = 0.0) -> tuple[Mixture, Mixture]:
     """EM until sum |delta phi| <= tol (checked before the M-step of each
     round, which still runs, as in the reference). Returns (final model,
     lagged model) where the lagged one is what the reference labels with:
     last phi, Gaussians from before the last M-step.
 
-    ``engine="arrow"`` computes each scan's responsibilities and moments with
-    NumPy, one model-sized sum a task; ``engine="sql"`` uses the
-    column-expression E-step and a global aggregate. Both give the same model
-    up to summation order.
+    Each scan's sums are exact (see ``scan.py``), so the model has the same bits
+    however the rows are partitioned.
 
     ``covariance="as_written"`` fits with the reference's component covariance
     (see :func:`sigma_as_written`; k <= number of features). ``ridge`` is added
@@ -223,33 +237,25 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
     from fareseg.operators.kmeans import loop_input
 
     cols = list(cols)
-    data = loop_input(df, cols) if persist else df.select(*cols)
+    data, size = loop_input(df, cols) if persist else (df.select(*cols), extent(df, cols))
     try:
         if center is None:
-            r = data.agg(*[F.avg(c).alias(c) for c in cols]).first()
-            center = np.array([r[c] for c in cols], float)
+            total = column_sums(data, {c: q(c) for c in cols}, dict(zip(cols, size.reach)), size.rows)
+            center = np.array([total[c] / size.rows for c in cols], float)
         lift = ridge * np.eye(len(cols))
         model = Mixture(np.array(init.phi, float), np.array(init.mu, float), np.array(init.sigma, float) + lift)
-        k = model.k
         deltas: list[float] = []
         lagged = model
         rounds = 0
         while True:
-            if engine == "sql":
-                moments = lambda m: weighted_moments(
-                    responsibilities(data, cols, m, keep=(), underflow=underflow), cols,
-                    [f"_r{j}" for j in range(k)], center)
-            else:
-                moments = lambda m: batched_moments(data, cols, m, center, underflow)
-                weights_only = lambda m: batched_weights(data, cols, m, underflow)
             if em_schedule == "two_phase":
-                W0 = weights_only(model) if engine != "sql" else moments(model)[0]
+                W0 = batched_weights(data, cols, model, size, underflow)
                 new_phi = W0 / W0.sum()
                 delta = float(np.sum(np.abs(new_phi - model.phi)))
                 model = Mixture(new_phi, model.mu, model.sigma)
-                W, S, Q = moments(model)
+                W, S, Q = batched_moments(data, cols, model, center, size, underflow)
             elif em_schedule == "single":
-                W, S, Q = moments(model)
+                W, S, Q = batched_moments(data, cols, model, center, size, underflow)
                 new_phi = W / W.sum()
                 delta = float(np.sum(np.abs(new_phi - model.phi)))
             else:
@@ -280,41 +286,63 @@ def mixture_frame(spark, model: Mixture, cols) -> DataFrame:
 
 
 # -- Arrow-batched E-step + moments for the EM loop ----------------------------
+def _projected(xc: list[np.ndarray], axes: np.ndarray) -> list[np.ndarray]:
+    """Centred columns on each axis, term by term: a matrix product's bits would depend on the batch."""
+    out = []
+    for i in range(axes.shape[1]):
+        z = xc[0] * axes[0, i]
+        for a in range(1, len(xc)):
+            z = z + xc[a] * axes[a, i]
+        out.append(z)
+    return out
+
+
 def _np_resp(x: np.ndarray, gs: list[Gaussian], phi: np.ndarray, underflow: str) -> np.ndarray:
-    k = len(gs)
-    ld = np.empty((len(x), k))
-    for j, g in enumerate(gs):
-        z = (x - g.mu) @ g.proj
-        ld[:, j] = -0.5 * ((g.rank * LOG_2PI + g.log_pdet) + (z * z).sum(axis=1))
-        if g.null.shape[1]:
-            ld[(np.abs((x - g.mu) @ g.null) > g.reach).any(axis=1), j] = -np.inf
+    """``(rows, k)`` responsibilities; a row's depend on nothing but the row and the model."""
+    ld = []
+    for g in gs:
+        xc = [np.ascontiguousarray(x[:, a]) - g.mu[a] for a in range(x.shape[1])]
+        maha = np.zeros(len(x))
+        for z in _projected(xc, g.proj):
+            maha = maha + z * z
+        dens = -0.5 * ((g.rank * LOG_2PI + g.log_pdet) + maha)
+        for z in _projected(xc, g.null):
+            dens[np.abs(z) > g.reach] = -np.inf
+        ld.append(dens)
     with np.errstate(divide="ignore"):
-        lw = ld + np.log(phi)[None, :]
-    m = lw.max(axis=1, keepdims=True)
-    e = np.exp(lw - np.where(np.isfinite(m), m, 0.0))
-    total = e.sum(axis=1, keepdims=True)
-    r = np.where(total > 0, e / np.where(total > 0, total, 1.0), phi[None, :])
+        lw = [v + p for v, p in zip(ld, np.log(phi))]
+    m = np.maximum.reduce(lw)
+    m = np.where(np.isfinite(m), m, 0.0)
+    e = [np.exp(v - m) for v in lw]
+    total = e[0]
+    for v in e[1:]:
+        total = total + v
+    some = total > 0
+    safe = np.where(some, total, 1.0)
+    r = np.stack([np.where(some, v / safe, p) for v, p in zip(e, phi)], axis=1)
     if underflow == "uniform":
-        under = ld.max(axis=1) < LOG_UNDERFLOW
-        r[under] = phi
+        r[np.maximum.reduce(ld) < LOG_UNDERFLOW] = phi
     return r
 
 
-def batched_weights(data: DataFrame, cols, model: Mixture, underflow: str = "exact") -> np.ndarray:
+def batched_weights(data: DataFrame, cols, model: Mixture, size: Extent, underflow: str = "exact") -> np.ndarray:
     """One scan: each component's summed responsibilities, without the moments."""
     gs, phi = [prepare(model.mu[j], model.sigma[j]) for j in range(model.k)], np.asarray(model.phi, float)
-    return summed(data, cols, lambda x: _np_resp(x, gs, phi, underflow).sum(axis=0), model.k)
+    folds = Folds(size.rows)
+
+    def kernel(x):
+        return folds.sums(_np_resp(x, gs, phi, underflow), 1.0)
+
+    return Folds.joined(summed(data, cols, kernel, model.k, folds))
 
 
-def batched_moments(data: DataFrame, cols, model: Mixture, center: np.ndarray, underflow: str = "exact") -> tuple:
+def batched_moments(data: DataFrame, cols, model: Mixture, center: np.ndarray, size: Extent, underflow: str = "exact") -> tuple:
     """One scan: (W, S, Q) of the responsibilities under ``model``, about ``center``."""
     d, k = len(cols), model.k
     gs, phi = [prepare(model.mu[j], model.sigma[j]) for j in range(k)], np.asarray(model.phi, float)
+    folds, reach = Folds(size.rows), (size.reach + np.abs(center)) * 1.01
 
     def kernel(x):
-        r, xc = _np_resp(x, gs, phi, underflow), x - center
-        return np.concatenate([r.sum(axis=0), (r.T @ xc).ravel(), *[((xc * r[:, [j]]).T @ xc).ravel() for j in range(k)]])
+        return _moment_pieces(folds, _np_resp(x, gs, phi, underflow), x - center, reach)
 
-    v = summed(data, cols, kernel, k * (1 + d + d * d))
-    Q = v[k * (1 + d):].reshape(k, d, d)
-    return v[:k], v[k:k * (1 + d)].reshape(k, d), (Q + Q.transpose(0, 2, 1)) / 2.0
+    return _moments(Folds.joined(summed(data, cols, kernel, _moment_size(k, d), folds)), k, d)

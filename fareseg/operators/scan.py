@@ -1,24 +1,96 @@
-"""One scan that sums a model-sized vector over all rows.
+"""One scan that sums a model-sized vector over all rows, to the same bits however the rows are dealt.
 
 The iterative fits reduce their rows to sums whose length follows the model,
-never the data. Each task adds up its Arrow batches and emits one such vector
-in long form; a plain ``groupBy`` adds the tasks' vectors. The plan is the same
-in every round and stays two columns wide however large the model is, which is
-most of a round's cost on rows that are already persisted.
+never the data. Each task adds up its Arrow batches and emits one such vector;
+the tasks' vectors are then added. Adding doubles in another order gives other
+last bits, and a stop test may turn on them. So every number is first cut into
+pieces on fixed grids (:class:`Folds`): a sum of pieces of one grid needs no
+rounding, whatever its order, and the few sums are put together at the end.
+The grids follow from a bound on the numbers and from the row count, which
+:func:`extent` reads in one aggregate (least and largest values don't depend on
+the order either).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareseg.functions.vector import q
 
-def summed(data: DataFrame, cols, kernel: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
-    """The sum over all rows of ``kernel(rows x cols) -> vector of length size``; zeros for an empty table."""
+#: Up to this many tasks their vectors come to the driver as they are; more are added by a shuffle first.
+DIRECT_TASKS = 32
+#: Bits kept of a number, below its bound.
+KEPT_BITS = 58
+
+
+@dataclass(frozen=True)
+class Extent:
+    """Row count and each column's largest magnitude."""
+    rows: int
+    reach: np.ndarray
+
+
+def extent(data: DataFrame, cols) -> Extent:
+    """One aggregate; a null, NaN or infinite value in any column is an error that says how many rows hold one."""
+    bad = " or ".join(f"{q(c)} is null or isnan({q(c)}) or abs({q(c)}) = double('Infinity')" for c in cols)
+    r = data.selectExpr(*[f"cast({q(c)} as double) as {q(c)}" for c in cols]).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if(F.expr(bad)).alias("_bad"),
+        *[F.max(F.abs(F.col(q(c)))).alias(f"_m{i}") for i, c in enumerate(cols)]).first()
+    if r["_bad"]:
+        raise ValueError(f"{r['_bad']} of {r['_n']} rows have a null or non-finite value in {list(cols)}")
+    return Extent(r["_n"], np.array([r[f"_m{i}"] or 0.0 for i in range(len(cols))]))
+
+
+class Folds:
+    """Cuts numbers into pieces whose sums over ``rows`` rows (each counted at most four times) are exact.
+
+    The first piece is the number rounded to a multiple of the first grid, the
+    next what is left rounded to a finer one, and so on. A piece has ``bits``
+    bits, so that many of them added stay below the 53 bits of a double.
+    """
+
+    def __init__(self, rows: int) -> None:
+        self.bits = 50 - max(rows, 1).bit_length()
+        if self.bits < 4:
+            raise ValueError(f"too many rows to sum: {rows}")
+        self.count = math.ceil(KEPT_BITS / self.bits)
+
+    def grids(self, bound: float) -> list[float]:
+        """The grids for numbers of magnitude ``bound`` at most; ``bound`` must be finite."""
+        e = min(max(math.frexp(bound)[1], -900), 1000)
+        return [2.0 ** max(e - self.bits * (i + 1), -1000) for i in range(self.count)]
+
+    def split(self, values: np.ndarray, bound: float) -> np.ndarray:
+        """``(count, *values.shape)`` pieces; what is beyond the last grid is dropped, the same for equal numbers."""
+        out, rest = np.empty((self.count, *np.shape(values))), values
+        for piece, g in zip(out, self.grids(bound)):
+            np.rint(rest / g, out=piece)
+            piece *= g
+            rest = rest - piece
+        return out
+
+    def sums(self, values: np.ndarray, bound: float) -> np.ndarray:
+        """Each piece summed over the first axis of ``values``."""
+        return self.split(values, bound).sum(axis=1)
+
+    @staticmethod
+    def joined(pieces: np.ndarray) -> np.ndarray:
+        """The numbers that summed pieces stand for: finest first, always in this order."""
+        total = pieces[-1].copy()
+        for p in pieces[-2::-1]:
+            total = total + p
+        return total
+
+
+def summed(data: DataFrame, cols, kernel: Callable[[np.ndarray], np.ndarray], size: int, folds: Folds) -> np.ndarray:
+    """The sum over all rows of ``kernel(rows x cols) -> (folds.count, size)`` exact pieces; zeros for an empty table."""
     def run(batches):
         total = None
         for b in batches:
@@ -27,9 +99,32 @@ def summed(data: DataFrame, cols, kernel: Callable[[np.ndarray], np.ndarray], si
                 part = kernel(x)
                 total = part if total is None else total + part
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(total, pa.float64())], ["i", "v"])
+            at = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total.ravel()[at], pa.float64())], ["i", "v"])
+
+    parts = data.select(*cols).mapInArrow(run, "i int, v double")
+    if data.rdd.getNumPartitions() > DIRECT_TASKS:
+        parts = parts.groupBy("i").agg(F.sum("v").alias("v"))
+    t = parts.toArrow()
+    out = np.zeros(folds.count * size)
+    np.add.at(out, t["i"].to_numpy(), t["v"].to_numpy())
+    return out.reshape(folds.count, size)
+
 
-    out = np.zeros(size)
-    for r in data.select(*cols).mapInArrow(run, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).collect():
-        out[r["i"]] = r["v"]
-    return out
+def column_sums(data: DataFrame, exprs: dict[str, str], bounds: dict[str, float], rows: int) -> dict[str, float]:
+    """Exact sums of SQL number expressions in one aggregate, without leaving the JVM. ``bounds``: each one's magnitude."""
+    folds = Folds(rows)
+    step = data.selectExpr(*[f"cast({e} as double) as `_r{i}_0`" for i, e in enumerate(exprs.values())])
+    aggs = []
+    for f in range(folds.count):
+        keep, names = [], []
+        for i, name in enumerate(exprs):
+            g = folds.grids(bounds[name])[f]
+            keep += [f"_p{i}_{h}" for h in range(f)] + [f"_r{i}_{f}", f"rint(_r{i}_{f} / {g!r}D) * {g!r}D as _p{i}_{f}"]
+            names += [f"_p{i}_{h}" for h in range(f + 1)] + [f"_r{i}_{f} - _p{i}_{f} as _r{i}_{f + 1}"]
+        step = step.selectExpr(*keep).selectExpr(*names)
+    for i in range(len(exprs)):
+        aggs += [F.sum(f"_p{i}_{f}").alias(f"s{i}_{f}") for f in range(folds.count)]
+    r = step.agg(*aggs).first()
+    return {name: float(Folds.joined(np.array([[r[f"s{i}_{f}"] or 0.0] for f in range(folds.count)]))[0])
+            for i, name in enumerate(exprs)}

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareseg.functions.vector import lit, q
+from fareseg.operators.scan import column_sums, extent
 from fareseg.schema import FEATURES
 
 
@@ -21,25 +23,32 @@ class FeatureStats:
 
 
 def feature_stats_row(df: DataFrame, cols: list[str] = FEATURES, scaling: str = "zscore") -> FeatureStats:
-    """Count, mean and population variance per column: one pass, one row.
+    """Count, mean and population variance per column, the same bits however the rows are partitioned.
+
+    Three aggregates of one row each: extent, exact sums, exact sums of squared deviations.
 
     ``scaling="as_written"`` reproduces the reference variance, which
     subtracts each column's mean from the *first* feature of the row:
     ``var_pop(first) + (mean(first) - mean(c))^2``.
     """
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for c in cols:
-        aggs += [F.avg(c).alias(f"m_{c}"), F.var_pop(c).alias(f"v_{c}")]
-    r = df.agg(*aggs).first()
-    mean = {c: float(r[f"m_{c}"]) for c in cols}
+    cols = list(cols)
+    size = extent(df, cols)
+    if not size.rows:
+        raise ValueError("no rows to take statistics of")
+    reach = dict(zip(cols, size.reach))
+    sums = column_sums(df, {c: q(c) for c in cols}, reach, size.rows)
+    mean = {c: sums[c] / size.rows for c in cols}
+    squares = column_sums(df, {c: f"({q(c)} - {lit(mean[c])}) * ({q(c)} - {lit(mean[c])})" for c in cols},
+                          {c: (reach[c] + abs(mean[c])) ** 2 for c in cols}, size.rows)
+    pop = {c: squares[c] / size.rows for c in cols}
     if scaling == "zscore":
-        var = {c: float(r[f"v_{c}"]) for c in cols}
+        var = pop
     elif scaling == "as_written":
         first = cols[0]
-        var = {c: float(r[f"v_{first}"]) + (mean[first] - mean[c]) ** 2 for c in cols}
+        var = {c: pop[first] + (mean[first] - mean[c]) ** 2 for c in cols}
     else:
         raise ValueError(f"scaling must be 'zscore' or 'as_written', not {scaling!r}")
-    return FeatureStats(int(r["_n"]), mean, var)
+    return FeatureStats(size.rows, mean, var)
 
 
 def feature_stats(df: DataFrame, cols: list[str] = FEATURES) -> DataFrame:

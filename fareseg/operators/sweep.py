@@ -1,10 +1,22 @@
-"""Lloyd rounds for many models in one scan (the k sweep).
+"""Lloyd rounds for many models in one scan (the k sweep), pruned by triangle-inequality bounds.
 
 Each Arrow batch of feature rows is assigned to the nearest centroid of every
 active model with NumPy and reduced to sums per model and cluster; a task
-emits one model-sized vector of them (see ``scan.py``), so the shuffle carries
-partial sums only. Models that have converged drop out; the
-scan count is the largest round count, not the sum over k.
+emits one model-sized vector of them (see ``scan.py``). Models that have
+converged drop out; the scan count is the largest round count, not the sum
+over k.
+
+Bounds. After the first rounds every row is given, per model, its cluster under
+the centroids of that round (the anchors) and how much nearer that centroid is
+than the second nearest. This snapshot is a persisted projection of the input,
+built by the next scan. From then on a row whose lead is larger than what its
+centroid and the farthest-moved other one have travelled since can't have
+changed cluster: no distance is computed for it, and its share of the sums is
+part of the anchors' own sums. Only the other rows are assigned anew, and only
+those that really moved change the sums; as sums are exact, the result has the
+bits of a full scan. The same rule spares most rows the second assignment, under
+the previous centroids, that the count of changed rows needs. When too many
+distances are computed again, a new snapshot is taken.
 
 Distances are accumulated feature by feature, left to right, exactly as the
 column expressions and the SQL oracles do, so ties resolve the same way.
@@ -13,11 +25,22 @@ column expressions and the SQL oracles do, so ties resolve the same way.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from fareseg.functions.vector import q
 from fareseg.operators.kmeans import ClusterStats, KMeansModel, loop_input, update_centroids
 from fareseg.operators.sampling import seed_rows
-from fareseg.operators.scan import summed
+from fareseg.operators.scan import Extent, Folds, extent, summed
+
+#: Rounds before the first snapshot, and the least number between two.
+FIRST_ROUNDS = 2
+LEAST_ROUNDS = 4
+#: A new snapshot is taken when a scan computes more than this share of all distances.
+RENEW = 0.2
+#: Part of the distances by which a bound must be met, far above their rounding errors.
+SLACK = 1e-9
 
 
 def _sq_dist(x: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -36,32 +59,140 @@ def _sq_norm(x: np.ndarray) -> np.ndarray:
     return sq
 
 
-def multi_round_scan(data: DataFrame, cols: list[str],
-                     models: dict[int, tuple[np.ndarray, np.ndarray | None]]) -> dict[int, ClusterStats]:
-    """One scan: ClusterStats for every model under assign(cur), changes vs assign(prev)."""
-    d = len(cols)
+def _leads(dist: np.ndarray, lab: np.ndarray) -> np.ndarray:
+    """How much nearer the nearest centroid is than the next, less the rounding slack; infinite for a single centroid."""
+    if dist.shape[1] == 1:
+        return np.full(len(dist), np.inf)
+    two = np.sqrt(np.partition(dist, 1, axis=1)[:, :2])
+    return two[:, 1] - two[:, 0] - SLACK * (two[:, 0] + two[:, 1])
+
+
+def _travel(now: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """Per centroid: its own way plus the longest way of any other."""
+    way = np.sqrt(((now - then) ** 2).sum(axis=1)) * (1 + SLACK)
+    if len(way) == 1:
+        return way
+    order = np.argsort(way)
+    return way + np.where(np.arange(len(way)) == order[-1], way[order[-2]], way[order[-1]])
+
+
+class _Tally:
+    """The pieces of one batch's columns, and their sums by cluster."""
+
+    def __init__(self, folds: Folds, x: np.ndarray, reach: np.ndarray) -> None:
+        self.folds, self.rows = folds, len(x)
+        columns = [folds.split(x[:, c], r) for c, r in enumerate(reach)]
+        self.pieces = np.stack([*columns, folds.split(_sq_norm(x), float((reach * reach).sum()) * 1.01)], axis=1)  # fold, column, row
+
+    def by(self, lab: np.ndarray, k: int, at=slice(None)) -> np.ndarray:
+        """``(fold, (1 + columns) * k)``: count (in the first fold), column sums and squared-norm sums."""
+        out = np.zeros((self.folds.count, 1 + self.pieces.shape[1], k))
+        out[0, 0] = np.bincount(lab, minlength=k)
+        for f, fold in enumerate(self.pieces):
+            for c, column in enumerate(fold):
+                out[f, 1 + c] = np.bincount(lab, weights=column[at], minlength=k)
+        return out.reshape(self.folds.count, -1)
+
+
+def _stats(pieces: np.ndarray, k: int, d: int) -> ClusterStats:
+    m = Folds.joined(pieces).reshape(d + 2, k)
+    return ClusterStats(m[0].copy(), m[1:1 + d].T.copy(), m[1 + d].copy())
+
+
+def multi_round_scan(data: DataFrame, cols: list[str], models: dict[int, np.ndarray], size: Extent | None = None) -> dict[int, ClusterStats]:
+    """One full scan: every model's ClusterStats, costs included, under its centroids."""
+    size = size or extent(data, cols)
+    folds, d = Folds(size.rows), len(cols)
+    far = {m: float(((size.reach + np.abs(c).max(axis=0)) ** 2).sum()) * 1.01 for m, c in models.items()}
 
     def kernel(x):
-        sq, out = _sq_norm(x), []
-        for cur, prev in models.values():
-            k = cur.shape[0]
-            dist = _sq_dist(x, cur)
+        tally, out = _Tally(folds, x, size.reach), []
+        for m, cents in models.items():
+            dist = _sq_dist(x, cents)
+            lab = dist.argmin(axis=1)
+            near = dist[np.arange(len(x)), lab]
+            out += [tally.by(lab, len(cents)), folds.sums(np.sqrt(near), far[m] ** 0.5)[:, None], folds.sums(near, far[m])[:, None]]
+        return np.concatenate(out, axis=1)
+
+    v = summed(data, cols, kernel, sum(len(c) * (d + 2) + 2 for c in models.values()), folds)
+    out, at = {}, 0
+    for m, cents in models.items():
+        k = len(cents)
+        st = out[m] = _stats(v[:, at:at + k * (d + 2)], k, d)
+        st.sum_distance, st.wssse = (float(z) for z in Folds.joined(v[:, at + k * (d + 2):at + k * (d + 2) + 2]))
+        at += k * (d + 2) + 2
+    return out
+
+
+def snapshot(data: DataFrame, cols: list[str], anchors: dict[int, np.ndarray]) -> DataFrame:
+    """``data`` with each model's cluster (``_l``) and lead (``_s``, rounded down) under the anchors."""
+    names = [f"{kind}{m}" for m in anchors for kind in ("_l", "_s")]
+
+    def run(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns])
+            extra = []
+            for cents in anchors.values():
+                dist = _sq_dist(x, cents)
+                lab = dist.argmin(axis=1)
+                lead = np.nextafter(_leads(dist, lab).astype(np.float32), np.float32(-np.inf))
+                extra += [pa.array(lab, pa.int32()), pa.array(lead, pa.float32())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *extra], [*cols, *names])
+
+    schema = ", ".join([*[f"{q(c)} double" for c in cols], *[f"{q(n)} {'int' if n[1] == 'l' else 'float'}" for n in names]])
+    return data.select(*cols).mapInArrow(run, schema)
+
+
+def round_scan(data: DataFrame, cols: list[str], size: Extent, models: dict[int, tuple], anchors: dict[int, tuple]) -> dict[int, tuple]:
+    """One scan of a round: for every model ``(pieces of its sums, changed rows, distances computed)``.
+
+    ``models``: current and previous centroids (or None). ``anchors``: centroids and pieces of the snapshot's models.
+    """
+    folds, d = Folds(size.rows), len(cols)
+    read = [*cols, *[f"{kind}{m}" for m in models if m in anchors for kind in ("_l", "_s")]]
+
+    def changes(x, cur, prev, dist, lab):
+        """Rows of x in another cluster under the previous centroids, and the distances that took."""
+        unsure = np.flatnonzero(_leads(dist, lab) <= _travel(cur, prev)[lab])
+        return int((_sq_dist(x[unsure], prev).argmin(axis=1) != lab[unsure]).sum()), len(unsure) * len(prev)
+
+    def kernel(table):
+        x, out, at = table[:, :d], [], d
+        tally = _Tally(folds, x, size.reach)
+        for m, (cur, prev) in models.items():
+            k = len(cur)
+            if m in anchors:
+                then, lead = table[:, at].astype(np.int64), table[:, at + 1]
+                at += 2
+                open_ = lead <= _travel(cur, anchors[m][0])[then]
+                if prev is not None:
+                    open_ |= lead <= _travel(prev, anchors[m][0])[then]
+                rows = np.flatnonzero(open_)
+            else:
+                rows = np.arange(len(x))
+            part = x[rows]
+            dist = _sq_dist(part, cur)
             lab = dist.argmin(axis=1)
-            dmin = dist[np.arange(len(x)), lab]
-            changed = len(x) if prev is None else (lab != _sq_dist(x, prev).argmin(axis=1)).sum()
-            sums = [np.bincount(lab, weights=w, minlength=k) for w in (*x.T, sq)]
-            out += [np.bincount(lab, minlength=k), *sums, [changed, np.sqrt(dmin).sum(), dmin.sum()]]
-        return np.concatenate(out).astype(float)
+            if m in anchors:
+                moved = np.flatnonzero(lab != then[rows])
+                sums = tally.by(lab[moved], k, rows[moved]) - tally.by(then[rows[moved]], k, rows[moved])
+            else:
+                sums = tally.by(lab, k)
+            changed, again = changes(part, cur, prev, dist, lab) if prev is not None else (len(x), 0)
+            rest = np.zeros((folds.count, 2))
+            rest[0] = changed, len(rows) * k + again
+            out += [sums, rest]
+        return np.concatenate(out, axis=1)
 
-    v = summed(data, cols, kernel, sum(len(cur) * (d + 2) + 3 for cur, _ in models.values()))
+    v = summed(data, read, kernel, sum(len(cur) * (d + 2) + 2 for cur, _ in models.values()), folds)
     out, at = {}, 0
-    for mid, (cur, _) in models.items():
-        k = len(cur)
-        m, rest = v[at:at + k * (d + 2)].reshape(d + 2, k), v[at + k * (d + 2):at + k * (d + 2) + 3]
-        at += k * (d + 2) + 3
-        st = ClusterStats(m[0].copy(), m[1:1 + d].T.copy(), m[1 + d].copy())
-        st.changed, st.sum_distance, st.wssse = int(rest[0]), float(rest[1]), float(rest[2])
-        out[mid] = st
+    for m, (cur, _) in models.items():
+        n = len(cur) * (d + 2)
+        pieces = v[:, at:at + n] + anchors[m][1] if m in anchors else v[:, at:at + n]
+        out[m] = pieces, int(v[0, at + n]), int(v[0, at + n + 1])
+        at += n + 2
     return out
 
 
@@ -72,28 +203,51 @@ def kmeans_many(df: DataFrame, cols, inits: dict[int, np.ndarray], max_iter: int
     Same stopping rule and round accounting as :func:`kmeans.kmeans_fit`.
     """
     cols = list(cols)
-    data = loop_input(df, cols) if persist else df.select(*cols)
+    d = len(cols)
+    data, size = loop_input(df, cols) if persist else (df.select(*cols), extent(df, cols))
+    held: list[DataFrame] = []
     try:
-        state = {m: {"cur": np.array(c, dtype=float), "prev": None, "rounds": 0, "re": []} for m, c in inits.items()}
-        done: dict[int, KMeansModel] = {}
-        while len(done) < len(state):
-            active = {m: (s["cur"], s["prev"] if s["rounds"] >= 2 else None)
-                      for m, s in state.items() if m not in done}
-            stats = multi_round_scan(data, cols, active)
-            for m, st in stats.items():
-                s = state[m]
-                if s["rounds"] == 1:
-                    s["re"].append(int(st.n.sum()))
-                elif s["rounds"] >= 2:
-                    s["re"].append(int(st.changed))
-                conv = s["rounds"] >= 2 and st.changed == 0
-                if conv or (max_iter is not None and s["rounds"] >= max_iter):
-                    done[m] = KMeansModel(cols, s["cur"], st, s["rounds"], bool(conv), s["re"])
+        cur = {m: np.array(c, dtype=float) for m, c in inits.items()}
+        prev: dict[int, np.ndarray] = {}
+        rounds, re = dict.fromkeys(cur, 0), {m: [] for m in cur}
+        work, full = dict.fromkeys(cur, 0), dict.fromkeys(cur, 0)
+        done: dict[int, bool] = {}
+        anchors: dict[int, tuple] = {}
+        source, scans, since, stale = data, 0, 0, False
+        while len(done) < len(cur):
+            active = {m: (c, prev.get(m) if rounds[m] >= 2 else None) for m, c in cur.items() if m not in done}
+            found = round_scan(source, cols, size, active, anchors)
+            for old in held[:-1]:
+                old.unpersist()
+            held = held[-1:]
+            scans, since = scans + 1, since + 1
+            taken, computed, possible = {}, 0, 0
+            for m, (pieces, changed, distances) in found.items():
+                st = _stats(pieces, len(cur[m]), d)
+                work[m] += distances
+                full[m] += size.rows * len(cur[m]) * (2 if rounds[m] >= 2 else 1)
+                computed, possible = computed + distances, possible + size.rows * len(cur[m])
+                if rounds[m]:
+                    re[m].append(changed if rounds[m] >= 2 else size.rows)
+                same = rounds[m] >= 2 and changed == 0
+                if same or (max_iter is not None and rounds[m] >= max_iter):
+                    done[m] = bool(same)
                     continue
-                s["prev"], s["cur"] = s["cur"], update_centroids(st, s["cur"])
-                s["rounds"] += 1
-        return done
+                taken[m] = cur[m], pieces
+                prev[m], cur[m] = cur[m], update_centroids(st, cur[m])
+                rounds[m] += 1
+            stale = computed > RENEW * possible
+            if persist and taken and (scans == FIRST_ROUNDS or stale and since >= LEAST_ROUNDS and scans > FIRST_ROUNDS):
+                anchors, since = taken, 0
+                source = snapshot(data, cols, {m: c for m, (c, _) in taken.items()}).persist(StorageLevel.MEMORY_AND_DISK)
+                held.append(source)
+        last = multi_round_scan(data, cols, cur, size)
+        for m, st in last.items():
+            st.changed = re[m][-1] if re[m] else 0
+        return {m: KMeansModel(cols, cur[m], last[m], rounds[m], done[m], re[m], work[m], full[m]) for m in cur}
     finally:
+        for old in held:
+            old.unpersist()
         if persist:
             data.unpersist()
 
@@ -112,12 +266,13 @@ def multi_silhouette(df: DataFrame, cols, fits: dict[int, KMeansModel]) -> dict[
     models = {m: (f.centroids, f.stats) for m, f in fits.items() if (f.stats.n > 0).sum() >= 2}
 
     def kernel(x):
-        sq, at, out = _sq_norm(x), np.arange(len(x)), [len(x)]
+        sq, at, out = _sq_norm(x), np.arange(len(x)), []
         for cent, st in models.values():
             lab = _sq_dist(x, cent).argmin(axis=1)
             live = np.flatnonzero(st.n > 0)
             n = st.n[live]
-            avg = (sq[:, None] + (st.sqnorm[live] / n)[None, :]) - 2.0 * (x @ st.sums[live].T) / n[None, :]
+            inner = sum(x[:, [c]] * st.sums[live][:, c] for c in range(x.shape[1]))
+            avg = (sq[:, None] + (st.sqnorm[live] / n)[None, :]) - 2.0 * inner / n[None, :]
             pos = np.searchsorted(live, lab)
             n_own = n[pos]
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -125,8 +280,10 @@ def multi_silhouette(df: DataFrame, cols, fits: dict[int, KMeansModel]) -> dict[
                 avg[at, pos] = np.inf
                 b = avg.min(axis=1)
                 s = np.where(n_own == 1.0, 0.0, np.where(a < b, 1.0 - a / b, np.where(a > b, b / a - 1.0, 0.0)))
-            out.append(s.sum())
-        return np.array(out, float)
+            out.append(folds.sums(s, 4.0))  # a score lies between -1 and 1, but for rounding
+        return np.stack(out, axis=1) if out else np.zeros((folds.count, 0))
 
-    v = summed(df, cols, kernel, 1 + len(models))
-    return {m: float(s / v[0]) for m, s in zip(models, v[1:])} if v[0] else {}
+    rows = extent(df, cols).rows
+    folds = Folds(rows)
+    v = Folds.joined(summed(df, cols, kernel, len(models), folds))
+    return {m: float(s / rows) for m, s in zip(models, v)} if rows else {}

@@ -10,6 +10,9 @@ compared in tasks of their own, so nothing is capped. A pair counts in the
 first table it meets in. Tasks return one row per linked vector (its number of
 links and the smallest vector it hangs together with), not the pairs.
 
+Equal vectors of one label are one class, compared once and counted as often as
+it has rows, so any number of copies costs no more than one vector.
+
 Vectors that are null, zero, or hold null or non-finite numbers, and those with
 a null label, link with nothing. Repeated rows are vectors of their own and link
 with each other; null ids take part but can't be a component's id.
@@ -79,8 +82,11 @@ def _hang(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
 
 
 def linked(rows: DataFrame, tables: int, threshold: float) -> DataFrame:
-    """``(rid, n, low)`` per table and block pair: links first met there and the smallest rid connected there."""
-    met = rows.select("rid", "label", F.size("embedding").alias("dim"), "embedding", "codes", F.posexplode("codes").alias("t", "code"))
+    """``(rid, n, low)`` per table and block pair: rows linked first met there and the smallest rid connected there.
+
+    ``rows``: ``rid, copies, label, embedding, codes``, one per class of equal vectors.
+    """
+    met = rows.select("rid", "copies", "label", F.size("embedding").alias("dim"), "embedding", "codes", F.posexplode("codes").alias("t", "code"))
     bucket = ["label", "dim", "t", "code"]
     sizes = met.groupBy(*bucket).agg(F.count("*").alias("n")).where("n > 1").withColumn("nb", F.ceil(F.col("n") / BLOCK).cast("int"))
     dealt = met.join(sizes.drop("n"), bucket).withColumn("blk", F.pmod(F.xxhash64("rid"), "nb").cast("int"))
@@ -101,7 +107,8 @@ def linked(rows: DataFrame, tables: int, threshold: float) -> DataFrame:
         if b1 == b2:
             i, j = i[i < j], j[i < j]
         new = ~(codes[i, :t] == codes[j, :t]).any(1) if t else np.ones(len(i), bool)
-        count = np.bincount(i[new], minlength=n) + np.bincount(j[new], minlength=n)
+        copies = g["copies"].to_numpy().astype(float)
+        count = np.bincount(i[new], weights=copies[j[new]], minlength=n) + np.bincount(j[new], weights=copies[i[new]], minlength=n)
         order = np.argsort(rid, kind="stable")  # positions in rid order, so the smallest position has the smallest rid
         place = np.empty(n, np.int64)
         place[order] = np.arange(n)
@@ -115,15 +122,20 @@ def linked(rows: DataFrame, tables: int, threshold: float) -> DataFrame:
 def near_duplicates(emb: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, seed: int = 11) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row."""
     base = written(emb.select(F.monotonically_increasing_id().alias("rid"), "vec_id", "label", "embedding"), "vectors")
-    rows = base.where(F.col("label").isNotNull() & usable()).select("rid", "label", "embedding")
-    largest = rows.groupBy("label").count().agg(F.max("count")).first()[0] or 1
+    rows = base.where(F.col("label").isNotNull() & usable())
+    # a map-side aggregate folds copies before they meet; a class goes by the smallest rid among its rows
+    classes = written(rows.groupBy("label", "embedding").agg(F.min("rid").alias("rid"), F.count("*").alias("copies")), "classes")
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     bits, tables = plan(largest, threshold, recall)
-    found = written(linked(sign_codes(rows, bits, tables, seed), tables, threshold), "found")
+    found = written(linked(sign_codes(classes.select("rid", "copies", "label", "embedding"), bits, tables, seed), tables, threshold), "found")
     roots = components(found.select(F.col("rid").alias("a"), F.col("low").alias("b")))
     counts = found.groupBy("rid").agg(F.sum("n").alias("n_links"))
-    rows = (base.select("rid", "vec_id").join(counts, "rid", "left").join(roots.withColumnRenamed("v", "rid"), "rid", "left")
-            .withColumn("root", F.coalesce("root", "rid")))
-    smallest = rows.where("n_links is not null").groupBy("root").agg(F.min("vec_id").alias("_first"))
+    known = (classes.join(counts, "rid", "left").join(roots.withColumnRenamed("v", "rid"), "rid", "left")
+             .select("label", "embedding", F.coalesce("root", "rid").alias("root"),
+                     (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+    rows = rows.join(known, ["label", "embedding"]).select("rid", "root", "n_links")
+    rows = base.select("rid", "vec_id").join(rows, "rid", "left").withColumn("root", F.coalesce("root", "rid"))
+    smallest = rows.where("n_links > 0").groupBy("root").agg(F.min("vec_id").alias("_first"))
     return rows.join(smallest, "root", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("_first", "vec_id").alias("component_id"),

@@ -47,6 +47,8 @@ NUM, DEN = 4, 5
 MOST_LIGHT = 20
 #: What an inverted-list entry costs (written and read) against a subset written.
 ENTRY_COST = 2
+#: Classes whose shingles a task remembers to have given, before it starts anew.
+SEEN = 500_000
 #: Positions of the membership bitmap that lets the second pass skip most texts (a fixed 2**20 bits).
 BITMAP = 1 << 20
 
@@ -97,18 +99,25 @@ def _lists(parts: list[np.ndarray]) -> pa.Array:
 
 
 def first_keys(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``keep``, ``sk`` (class), ``n`` (set size), ``q`` (first shingles in hash order)."""
+    """``keep``, ``sk`` (class), ``n`` (set size), ``q`` (first shingles in hash order).
+
+    A task gives a class's shingles once; further copies in it have an empty ``q``, so copies don't pile up on their keys.
+    """
     keep = ["doc_id"] if keep is None else keep
 
     def kernel(batches):
-        hasher = Hasher()
+        hasher, seen = Hasher(), set()
         for b in batches:
             for lo, hi, data, offs in slices(b.column(text)):
                 sets = sets_of(hasher, data, offs)
                 n = [len(x) for x in sets]
-                q = [x[:m if m <= MOST_LIGHT else m - least_size(m) + 1 + slack(m)] for x, m in zip(sets, n)]
+                sk = [_class(x) for x in sets]
+                if len(seen) > SEEN:
+                    seen.clear()
+                q = [x[:0] if c in seen else seen.add(c) or x[:m if m <= MOST_LIGHT else m - least_size(m) + 1 + slack(m)]
+                     for x, m, c in zip(sets, n, sk)]
                 part = b.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array([_class(x) for x in sets], pa.int64()),
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(sk, pa.int64()),
                                                   pa.array(n, pa.int64()), _lists(q)], [*keep, "sk", "n", "q"])
 
     schema = docs.select(*keep, F.lit(0).cast("long").alias("sk"), F.lit(0).cast("long").alias("n"),
@@ -169,7 +178,7 @@ def survivors(first: DataFrame, light: int) -> DataFrame:
     enough = F.least(F.ceil(low / 10) + 4 + 1, low)
     sizes = first.where("n > 0").groupBy("sk").agg(F.max("n").alias("n"))
     heavy = shared.join(sizes, "sk").where(F.col("m") >= enough).select("sk", "n")
-    by_subset = shared_keys(_spread(subsets(first.where(F.col("n").between(1, light))))).select("sk").distinct().join(sizes, "sk")
+    by_subset = shared_keys(_spread(subsets(first.where(F.col("n").between(1, light) & (F.size("q") > 0))))).select("sk").distinct().join(sizes, "sk")
     return written(heavy.unionByName(by_subset).distinct(), "survivors")
 
 
@@ -281,20 +290,31 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("_first", "doc_id").alias("component_id"))
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """``name``, longer by underscores until no column of ``docs`` has it (columns' case doesn't count)."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with one of every group: that of the smallest key (nulls last), one of it if it repeats."""
-    marked = docs.select(key, text, F.xxhash64(text).alias("_text_hash"))
-    rows = written(grouped(marked, key, text, [key, "_text_hash"]), "groups").where("root is not null")
-    who = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("_text_hash").alias("h"))
-    rows = rows.groupBy("root", key, "_text_hash").agg(F.count("*").alias("copies"))
+    """The rows of ``docs`` with one of every group: that of the smallest key (nulls last), one of it if it repeats.
+
+    All columns are carried along, whatever their names.
+    """
+    id_, hash_ = _unused(docs, "_id"), _unused(docs, "_hash")
+    marked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    rows = written(grouped(marked, "doc_id", "text", ["doc_id", "h"]), "groups").where("root is not null")
+    who = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("h").alias("h"))
+    rows = rows.groupBy("root", "doc_id", "h").agg(F.count("*").alias("copies"))
     best = rows.groupBy("root").agg(F.min(who).alias("best"), F.sum("copies").alias("size")).where("size > 1")
-    acts = rows.join(best, "root").select(F.col(key).alias("_id"), F.col("_text_hash").alias("_h"), "copies",
-                                          (F.col("best") == who).alias("stays"))
+    acts = rows.join(best, "root").select(F.col("doc_id").alias(id_), F.col("h").alias(hash_), "copies", (F.col("best") == who).alias("stays"))
     acts = written(acts, "acts")
-    here = (F.col(key).eqNullSafe(F.col("_id"))) & (F.xxhash64(text) == F.col("_h"))
-    out = docs.join(acts.where("not stays or copies > 1"), here, "left_anti")
-    repeated = acts.where("stays and copies > 1")
+    here = F.col(key).eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(hash_))
+    gone, repeated = (acts.where(c).select(id_, hash_) for c in ("not stays or copies > 1", "stays and copies > 1"))
+    out = docs.join(gone, here, "left_anti")
     if repeated.isEmpty():
         return out
-    return out.unionByName(docs.join(repeated, here, "left_semi").withColumn("_h", F.xxhash64(text))
-                           .dropDuplicates([key, "_h"]).drop("_h"))
+    again = docs.join(repeated, here, "left_semi").withColumn(hash_, F.xxhash64(text))
+    return out.unionByName(again.dropDuplicates([key, hash_]).drop(hash_))

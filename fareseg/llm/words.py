@@ -2,15 +2,23 @@
 
 A polynomial hash in wrapping 64-bit arithmetic: prefix sums of byte * P^i give
 every word's hash as one difference, shifted back by P^-start and then mixed.
+Such a hash collides by construction on long words of a certain pattern, so words
+over ``LONG`` bytes get xxh3 of their bytes instead. The sums run over windows of
+whole words, so a long text costs no more memory for them than a short one.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 _P = np.uint64(0x9E3779B97F4A7C15 | 1)
 _P_INV = np.uint64(pow(int(_P), -1, 1 << 64))
 
+#: Bytes of the longest word that the polynomial hashes, and of a window of words hashed at once (about).
+LONG = 64
+WINDOW = 2 << 20
+
 #: [^\x20\x09-\x0D]
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -63,10 +71,23 @@ class Hasher:
         return starts, ends, np.searchsorted(offs, starts, "right") - 1
 
     def hashes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """One hash per ``data[start:end]``."""
+        """One hash per ``data[start:end]``; the words lie in order."""
+        out = np.zeros(len(starts), np.uint64)
+        size = ends - starts
+        short = np.flatnonzero(size <= LONG)
+        lo = 0
+        while lo < len(short):
+            first = int(starts[short[lo]])
+            hi = lo + int(np.searchsorted(ends[short[lo:]], first + WINDOW, "right"))
+            at = short[lo:max(hi, lo + 1)]
+            out[at] = self._polynomial(data[first:int(ends[at[-1]])], starts[at] - first, ends[at] - first)
+            lo += len(at)
+        for n in np.flatnonzero(size > LONG).tolist():
+            out[n] = xxhash.xxh3_64_intdigest(data[starts[n]:ends[n]])
+        return out
+
+    def _polynomial(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         n = len(data)
-        if not len(starts):
-            return np.zeros(0, np.uint64)
         self._powers(n)
         pre = np.zeros(n + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.up[:n], out=pre[1:])

@@ -164,3 +164,100 @@ def test_components_on_paths_and_stars(spark):
                                         (jaccard.jaccard_components, DOC), (jaccard.deduplicated, DOC)])
 def test_empty_tables(spark, run, schema):
     assert run(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_copies_of_a_vector_are_one_class(spark):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(30, 8))
+    near = base + rng.normal(size=base.shape) * 0.05
+    rows = [(i, v.tolist(), 1, "", "") for i, v in enumerate([*base, *near])]
+    rows += [(1000 + i, base[3].tolist(), 1, "", "") for i in range(5000)]
+    seen = spark.sparkContext.accumulator(0)
+    plain = near_embed.sign_codes
+
+    def counted(classes, *how):
+        def touch(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        return plain(classes.mapInArrow(touch, classes.schema), *how)
+    near_embed.sign_codes = counted
+    try:
+        got = {r["vec_id"]: r for r in near_embed.near_duplicates(spark.createDataFrame(rows, EMB)).collect()}
+    finally:
+        near_embed.sign_codes = plain
+    x = np.float32([r[1] for r in rows]).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for i in (0, 3, 33, 17):
+        assert got[rows[i][0]]["n_links"] == (x @ x[i] >= 0.93).sum() - 1
+    assert got[1004]["n_links"] == got[3]["n_links"] >= 5000 and {got[1000 + i]["component_id"] for i in range(5000)} == {3}
+    assert seen.value <= 4 * 60  # the tables' passes see classes, not copies
+
+
+def test_queries_go_only_to_stripes_that_can_win(spark, monkeypatch):
+    monkeypatch.setattr(topk, "STRIPE", 50)
+    rng = np.random.default_rng(2)
+    length = np.geomspace(50, 0.01, 1000)  # few long rows, many short ones
+    v = rng.normal(size=(1000, 8))
+    v *= (length / np.linalg.norm(v, axis=1))[:, None]
+    rows = spark.createDataFrame([(int(i), x.tolist(), 0, "", "") for i, x in enumerate(v)], EMB)
+    sent = []
+    plain = topk.still_open
+
+    def counted(queries, tops, first, stripes):
+        out = plain(queries, tops, first, stripes)
+        sent.append((out.count(), queries.count(), stripes))
+        return out
+    monkeypatch.setattr(topk, "still_open", counted)
+    got = {(r["query_id"], r["rank"]): r["score"] for r in topk.top_inner_products(rows).collect()}
+    e = np.floor(256 * np.float32(v).astype(float)).astype(np.int64)
+    for i in range(0, 1000, 50):
+        s = np.sort(np.delete(e @ e[i], i))[::-1]
+        assert [got[i, r] for r in range(1, 6)] == s[:5].tolist()
+    n, queries, stripes = sent[0]
+    assert queries == 20 and stripes == 20 and n < 0.5 * queries * (stripes - 1)
+
+
+def test_scores_beyond_a_long_saturate(spark):
+    top = 2 ** 63 - 1
+    rows = [(0, [3e38] * 4), (50, [-3e38] * 4), (1, [1e30] * 4), (2, [1.0, 0.0, 0.0, 0.0]), (3, [-1e30] * 4), (4, [0.0] * 4), (5, [3e38, -3e38, 0.0, 0.0])]
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in
+           topk.top_inner_products(spark.createDataFrame([(i, v, 0, "", "") for i, v in rows], EMB)).collect()}
+    assert [got[0, r] for r in range(1, 4)] == [(1, top), (2, top), (4, 0)]
+    assert got[0, 4][0] == 5 and got[50, 1] == (3, top)
+
+
+def test_clashing_names_are_carried_along(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    schema = "doc_id long, text string, _id string, _h string, _ID_ string, _hash long, root string, sk string, n string, q string, copies string, stays string, best string"
+    rows = [(i, text, *"abc", i, *"defghij") for i in (3, 1, 1, 2)] + [(9, "other words entirely here now", *"abc", 9, *"defghij")]
+    got = jaccard.deduplicated(spark.createDataFrame(rows, schema))
+    assert got.columns == [c.split()[0] for c in schema.split(", ")]
+    assert sorted(map(tuple, got.collect())) == sorted([rows[1], rows[4]])
+
+
+def test_words_that_collide_under_a_polynomial_differ(spark):
+    a = "a"
+    for _ in range(10):  # Thue-Morse words and their complements have equal polynomials modulo a power of two
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"one two three four {a}", "", ""), (2, f"one two three four {b}", "", "")]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.jaccard_components(spark.createDataFrame(rows, DOC)).collect()}
+    assert got == {1: 1, 2: 2}
+
+
+def test_word_hashes_do_not_depend_on_windows(monkeypatch):
+    from fareseg.llm import words
+
+    rng = random.Random(5)
+    text = " ".join("x" * rng.choice([1, 3, 7, 64, 65, 200]) + str(rng.randint(0, 99)) for _ in range(3000))
+    data = np.frombuffer(text.encode(), np.uint8)
+    seen = []
+    for window in (2 << 20, 100, 1):
+        monkeypatch.setattr(words, "WINDOW", window)
+        h = words.Hasher()
+        s, e, _ = h.spans(data, np.array([0, len(data)]))
+        seen.append(h.hashes(data, s, e))
+    assert (seen[0] == seen[1]).all() and (seen[0] == seen[2]).all()
+    found = {}
+    assert all(found.setdefault(w, int(x)) == int(x) for w, x in zip(text.split(), seen[0])) and len(set(found.values())) == len(found)

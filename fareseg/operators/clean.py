@@ -22,16 +22,16 @@ RULES = ["arity", "key", "number", "time_zero", "distance_zero", "fare_range",
          "surcharge", "tip", "toll", "longitude", "latitude", "datetime"]
 
 
-def split_fields(raw: DataFrame) -> DataFrame:
+def split_fields(raw: DataFrame, keep: tuple[str, ...] = ("trip_id",)) -> DataFrame:
     """``(trip_id, p ARRAY<STRING>, n_fields)``: comma split, trailing blanks kept."""
     p = F.split(F.col("line"), ",", -1)
-    return raw.select("trip_id", p.alias("p")).withColumn("n_fields", F.size("p"))
+    return raw.select(*keep, p.alias("p")).withColumn("n_fields", F.size("p"))
 
 
-def parse_fields(raw: DataFrame) -> DataFrame:
+def parse_fields(raw: DataFrame, keep: tuple[str, ...] = ("trip_id",)) -> DataFrame:
     """Typed view of a raw line: key strings, numbers (NULL if not a finite
     number), the parsed pickup datetime and the field count."""
-    s = split_fields(raw)
+    s = split_fields(raw, keep)
     field = {name: F.get(F.col("p"), pos) for name, pos in RAW_POSITIONS.items()}
     # The typed row is produced by a generator over a one-element array: a
     # Generate node is a barrier for predicate pushdown, so each field is
@@ -44,7 +44,7 @@ def parse_fields(raw: DataFrame) -> DataFrame:
         to_datetime(field["pickup_datetime"]).alias("ts"),
         *[to_number(field[c]).alias(c) for c in NUMERIC_FIELDS],
     )
-    return s.select("trip_id", F.inline(F.array(typed)))
+    return s.select(*keep, F.inline(F.array(typed)))
 
 
 def has_key(require: str = "any") -> Column:
@@ -116,11 +116,11 @@ def reject_counts(raw: DataFrame, require: str = "any", bounds: dict | None = No
             .groupBy("rule").agg(F.count(F.lit(1)).alias("n")))
 
 
-def trip_features(clean: DataFrame) -> DataFrame:
+def trip_features(clean: DataFrame, keep: tuple[str, ...] = ("trip_id",)) -> DataFrame:
     """Training row: ``trip_id, weekday, hour, 4 coordinates, trip_min,
     fare, surcharge, tip, toll, distance``."""
     return clean.select(
-        "trip_id",
+        *keep,
         iso_weekday("ts").alias("weekday"),
         F.hour("ts").cast("int").alias("hour"),
         "pu_lon", "pu_lat", "do_lon", "do_lat",

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from fareseg.functions.vector import first_argmin, lit, q, sq_distance, sq_norm, sum_sql
 from fareseg.operators.sampling import seed_rows
-from fareseg.operators.scan import Extent, extent
+from fareseg.operators.scan import Extent, blocked, extent
 
 
 @dataclass
@@ -124,7 +124,7 @@ def point_centroid_distances(df: DataFrame, cols, centroids, key="trip_id") -> D
 
 
 def loop_input(df: DataFrame, cols, rows_per_task: int = 25_000) -> tuple[DataFrame, Extent]:
-    """The persisted input of an iterative fit, and its extent.
+    """The persisted input of an iterative fit as blocks of rows (see ``scan.py``), and its extent.
 
     A small sample read from few files would run every round in one task; it
     is spread to about ``rows_per_task`` rows per task, up to the default
@@ -135,14 +135,12 @@ def loop_input(df: DataFrame, cols, rows_per_task: int = 25_000) -> tuple[DataFr
     try:
         size = extent(data, cols)
         want = min(df.sparkSession.sparkContext.defaultParallelism, max(1, math.ceil(size.rows / rows_per_task)))
-        if data.rdd.getNumPartitions() < want:
-            first, data = data, data.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
-            data.count()
-            first.unpersist()
-    except BaseException:
+        spread = data.repartition(want) if data.rdd.getNumPartitions() < want else data
+        blocks = blocked(spread, cols).persist(StorageLevel.MEMORY_AND_DISK)
+        blocks.count()
+    finally:
         data.unpersist()
-        raise
-    return data, size
+    return blocks, size
 
 
 def update_centroids(stats: ClusterStats, previous: np.ndarray) -> np.ndarray:

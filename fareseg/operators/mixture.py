@@ -240,7 +240,7 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
     data, size = loop_input(df, cols) if persist else (df.select(*cols), extent(df, cols))
     try:
         if center is None:
-            total = column_sums(data, {c: q(c) for c in cols}, dict(zip(cols, size.reach)), size.rows)
+            total = column_sums(df, {c: q(c) for c in cols}, dict(zip(cols, size.reach)), size.rows)
             center = np.array([total[c] / size.rows for c in cols], float)
         lift = ridge * np.eye(len(cols))
         model = Mixture(np.array(init.phi, float), np.array(init.mu, float), np.array(init.sigma, float) + lift)

@@ -13,44 +13,69 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# md5 is hex; the first 8 hex digits are a uniform 32-bit number. The sample
-# pre-filter keeps rows under 2^j for the smallest j that still holds n rows.
-_PREFIX_HEX = 8
-_LADDER = list(range(0, 4 * _PREFIX_HEX))
+#: Hex digits of the hash that one counting pass tells apart (at most 16^4 counts to the driver).
+DIGITS = 4
+#: The pass that reads hashes and keys themselves, to cut inside a bucket, has at most this many.
+LAST_ROWS = 1000
 
 
 def sample_hash(seed: int, key: str = "trip_id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+def sample_bound(df: DataFrame, n: int, seed: int, key: str = "trip_id") -> tuple[str, object, int, int] | None:
+    """``(hash, key, copies, of)`` of the n-th smallest row by ``(md5(seed:key), key)``; None when ``df`` has no more than n rows.
+
+    ``copies``: how many ``of`` the rows with exactly this key belong to the n smallest.
+    Every pass counts rows by the next hash digits of one bucket, the one in
+    which the n-th row lies, until few enough rows are left to read.
+    """
+    hashed = df.select(sample_hash(seed, key).alias("_h"), F.col(key).alias("_key"))
+    head, before, width = "", 0, len("d41d8cd98f00b204e9800998ecf8427e")
+    while True:
+        rows = hashed.where(F.col("_h").startswith(head)) if head else hashed
+        digits = min(DIGITS, width - len(head))
+        counts = sorted((r["d"], r["n"]) for r in rows.groupBy(F.substring("_h", len(head) + 1, digits).alias("d"))
+                        .agg(F.count(F.lit(1)).alias("n")).collect())
+        if not head and sum(c for _, c in counts) <= n:
+            return None
+        for d, c in counts:
+            if before + c >= n:
+                head += d
+                break
+            before += c
+        if c <= LAST_ROWS or len(head) == width:
+            break
+    last = hashed.where(F.col("_h").startswith(head)).groupBy("_h", "_key").agg(F.count(F.lit(1)).alias("n")).collect()
+    for r in sorted(last, key=lambda r: (r["_h"], r["_key"] is not None, r["_key"])):
+        if before + r["n"] >= n:
+            return r["_h"], r["_key"], n - before, r["n"]
+        before += r["n"]
+
+
 def sample_exact(df: DataFrame, n: int, seed: int, key: str = "trip_id") -> DataFrame:
     """Exactly ``min(n, count)`` rows without replacement: the n smallest by
     ``(md5(seed:key), key)``.
 
-    Two passes and no unbounded task: one aggregate counts the rows and the
-    rows under each power-of-two hash threshold (33 numbers to the driver);
-    the second keeps only rows under the smallest threshold that still holds
-    n rows (at most about 2n rows) and takes the n smallest of those. The
-    final merge is bounded by the sample size, never by the table.
+    The bound of the sample is found first (see :func:`sample_bound`: two
+    counting passes up to about 65 million rows, one more for every 65,536
+    times as many); the sample itself is a filter, without a sort, a shuffle
+    or a merge, so its size is no one task's load. Rows with a null key have
+    no hash and are never drawn. Only if a key occurs more than once and its
+    copies straddle the bound is a limit taken, over the copies of that key.
     """
     if n <= 0:
         return df.limit(0)
-    h = sample_hash(seed, key)
-    prefix = F.substring(h, 1, _PREFIX_HEX)
-    thresholds = [format(1 << j, f"0{_PREFIX_HEX}x") for j in _LADDER]
-    aggs = [F.count(F.lit(1)).alias("total")] + [
-        F.count_if(prefix < F.lit(t)).alias(f"c{j}") for j, t in zip(_LADDER, thresholds)]
-    row = df.agg(*aggs).first()
-    total = row["total"]
-    if total <= n:
+    df = df.where(F.col(key).isNotNull())
+    bound = sample_bound(df, n, seed, key)
+    if bound is None:
         return df
-    cut = None
-    for j, t in zip(_LADDER, thresholds):
-        if row[f"c{j}"] >= n:
-            cut = t
-            break
-    cand = df if cut is None else df.where(prefix < F.lit(cut))
-    return cand.orderBy(h, F.col(key)).limit(n)
+    h, k, copies, of = bound
+    below = (sample_hash(seed, key) < F.lit(h)) | ((sample_hash(seed, key) == F.lit(h)) & (F.col(key) < F.lit(k)))
+    own = F.col(key) == F.lit(k)
+    if copies == of:
+        return df.where(below | own)
+    return df.where(below).unionByName(df.where(own).limit(copies))
 
 
 def seed_rows(df: DataFrame, k: int, seed: int, cols: list[str], key: str = "trip_id") -> np.ndarray:

@@ -89,20 +89,53 @@ class Folds:
         return total
 
 
-def summed(data: DataFrame, cols, kernel: Callable[[np.ndarray], np.ndarray], size: int, folds: Folds) -> np.ndarray:
-    """The sum over all rows of ``kernel(rows x cols) -> (folds.count, size)`` exact pieces; zeros for an empty table."""
+def blocked(data: DataFrame, cols) -> DataFrame:
+    """``data`` as blocks, an Arrow batch of rows each: ``_n`` and the rows' values as one binary ``_x``.
+
+    What a loop scans again and again is then handed to Python as a few byte
+    strings instead of a value at a time.
+    """
     def run(batches):
-        total = None
         for b in batches:
             if b.num_rows:
-                x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
-                part = kernel(x)
-                total = part if total is None else total + part
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int32()), pa.array([_matrix(b).tobytes()], pa.binary())], ["_n", "_x"])
+
+    return data.select(*cols).mapInArrow(run, "_n int, _x binary")
+
+
+def _matrix(b: pa.RecordBatch) -> np.ndarray:
+    return np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns])
+
+
+def arrays(batches):
+    """The matrices of a stream of Arrow batches: of blocks one each, with the bytes of further columns after it."""
+    for b in batches:
+        if b.schema.names[0] != "_n":
+            if b.num_rows:
+                yield (_matrix(b),)
+            continue
+        for r in range(b.num_rows):
+            x, *more = (np.frombuffer(c[r].as_buffer(), np.uint8) for c in b.columns[1:])
+            yield x.view(float).reshape(b.column(0)[r].as_py(), -1), *more
+
+
+def summed(data: DataFrame, cols, kernel: Callable[..., np.ndarray], size: int, folds: Folds) -> np.ndarray:
+    """The sum over all rows of ``kernel(rows x cols) -> (folds.count, size)`` exact pieces; zeros for an empty table.
+
+    ``data`` may be blocks (see :func:`blocked`); ``cols`` then doesn't count and
+    the kernel also gets the bytes of columns that follow ``_x``.
+    """
+    def run(batches):
+        total = None
+        for args in arrays(batches):
+            part = kernel(*args)
+            total = part if total is None else total + part
         if total is not None:
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total.ravel()[at], pa.float64())], ["i", "v"])
 
-    parts = data.select(*cols).mapInArrow(run, "i int, v double")
+    data = data if data.columns[0] == "_n" else data.select(*cols)
+    parts = data.mapInArrow(run, "i int, v double")
     if data.rdd.getNumPartitions() > DIRECT_TASKS:
         parts = parts.groupBy("i").agg(F.sum("v").alias("v"))
     t = parts.toArrow()

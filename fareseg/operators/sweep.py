@@ -29,10 +29,9 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from fareseg.functions.vector import q
 from fareseg.operators.kmeans import ClusterStats, KMeansModel, loop_input, update_centroids
 from fareseg.operators.sampling import seed_rows
-from fareseg.operators.scan import Extent, Folds, extent, summed
+from fareseg.operators.scan import Extent, Folds, arrays, blocked, extent, summed
 
 #: Rounds before the first snapshot, and the least number between two.
 FIRST_ROUNDS = 2
@@ -80,17 +79,24 @@ class _Tally:
     """The pieces of one batch's columns, and their sums by cluster."""
 
     def __init__(self, folds: Folds, x: np.ndarray, reach: np.ndarray) -> None:
-        self.folds, self.rows = folds, len(x)
-        columns = [folds.split(x[:, c], r) for c, r in enumerate(reach)]
-        self.pieces = np.stack([*columns, folds.split(_sq_norm(x), float((reach * reach).sum()) * 1.01)], axis=1)  # fold, column, row
-
-    def by(self, lab: np.ndarray, k: int, at=slice(None)) -> np.ndarray:
-        """``(fold, (1 + columns) * k)``: count (in the first fold), column sums and squared-norm sums."""
-        out = np.zeros((self.folds.count, 1 + self.pieces.shape[1], k))
-        out[0, 0] = np.bincount(lab, minlength=k)
-        for f, fold in enumerate(self.pieces):
-            for c, column in enumerate(fold):
-                out[f, 1 + c] = np.bincount(lab, weights=column[at], minlength=k)
+        self.folds, self.x, self.reach, self.whole = folds, x, reach, None
+
+    def _pieces(self, x: np.ndarray) -> np.ndarray:
+        """By fold, column (the last is the squared norm) and row."""
+        columns = [self.folds.split(x[:, c], r) for c, r in enumerate(self.reach)]
+        return np.stack([*columns, self.folds.split(_sq_norm(x), float((self.reach * self.reach).sum()) * 1.01)], axis=1)
+
+    def by(self, lab: np.ndarray, k: int, at: np.ndarray | None = None) -> np.ndarray:
+        """``(fold, (1 + columns) * k)``: count (in the first fold), column sums and squared-norm sums of rows ``at`` (default all)."""
+        if at is None and self.whole is None:
+            self.whole = self._pieces(self.x)
+        pieces = self.whole if at is None else self._pieces(self.x[at])
+        out = np.zeros((self.folds.count, 1 + pieces.shape[1], k))
+        if len(lab):
+            out[0, 0] = np.bincount(lab, minlength=k)
+            for f, fold in enumerate(pieces):
+                for c, column in enumerate(fold):
+                    out[f, 1 + c] = np.bincount(lab, weights=column, minlength=k)
         return out.reshape(self.folds.count, -1)
 
 
@@ -124,48 +130,49 @@ def multi_round_scan(data: DataFrame, cols: list[str], models: dict[int, np.ndar
     return out
 
 
-def snapshot(data: DataFrame, cols: list[str], anchors: dict[int, np.ndarray]) -> DataFrame:
-    """``data`` with each model's cluster (``_l``) and lead (``_s``, rounded down) under the anchors."""
-    names = [f"{kind}{m}" for m in anchors for kind in ("_l", "_s")]
+def _state(models: int) -> np.dtype:
+    """A row's state: its cluster under every model's anchors, and its leads."""
+    return np.dtype([("cluster", "<i4", (models,)), ("lead", "<f4", (models,))])
 
+
+def snapshot(blocks: DataFrame, anchors: list[np.ndarray]) -> DataFrame:
+    """``blocks`` with ``_s``: each row's cluster and lead (rounded down) under the anchors."""
     def run(batches):
         for b in batches:
-            if not b.num_rows:
-                continue
-            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns])
-            extra = []
-            for cents in anchors.values():
-                dist = _sq_dist(x, cents)
-                lab = dist.argmin(axis=1)
-                lead = np.nextafter(_leads(dist, lab).astype(np.float32), np.float32(-np.inf))
-                extra += [pa.array(lab, pa.int32()), pa.array(lead, pa.float32())]
-            yield pa.RecordBatch.from_arrays([*b.columns, *extra], [*cols, *names])
-
-    schema = ", ".join([*[f"{q(c)} double" for c in cols], *[f"{q(n)} {'int' if n[1] == 'l' else 'float'}" for n in names]])
-    return data.select(*cols).mapInArrow(run, schema)
-
-
-def round_scan(data: DataFrame, cols: list[str], size: Extent, models: dict[int, tuple], anchors: dict[int, tuple]) -> dict[int, tuple]:
+            states = []
+            for (x,) in arrays([b]):
+                s = np.zeros(len(x), _state(len(anchors)))
+                for i, cents in enumerate(anchors):
+                    dist = _sq_dist(x, cents)
+                    s["cluster"][:, i] = lab = dist.argmin(axis=1)
+                    s["lead"][:, i] = np.nextafter(_leads(dist, lab).astype(np.float32), np.float32(-np.inf))
+                states.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(states, pa.binary())], ["_n", "_x", "_s"])
+
+    return blocks.mapInArrow(run, "_n int, _x binary, _s binary")
+
+
+def round_scan(data: DataFrame, size: Extent, models: dict[int, tuple], anchors: dict[int, tuple]) -> dict[int, tuple]:
     """One scan of a round: for every model ``(pieces of its sums, changed rows, distances computed)``.
 
-    ``models``: current and previous centroids (or None). ``anchors``: centroids and pieces of the snapshot's models.
+    ``models``: current and previous centroids (or None). ``anchors``: centroids and pieces of the
+    models of ``data``'s snapshot, in its order; none for plain blocks.
     """
-    folds, d = Folds(size.rows), len(cols)
-    read = [*cols, *[f"{kind}{m}" for m in models if m in anchors for kind in ("_l", "_s")]]
+    folds, d = Folds(size.rows), len(size.reach)
+    place = {m: i for i, m in enumerate(anchors)}
 
     def changes(x, cur, prev, dist, lab):
         """Rows of x in another cluster under the previous centroids, and the distances that took."""
         unsure = np.flatnonzero(_leads(dist, lab) <= _travel(cur, prev)[lab])
         return int((_sq_dist(x[unsure], prev).argmin(axis=1) != lab[unsure]).sum()), len(unsure) * len(prev)
 
-    def kernel(table):
-        x, out, at = table[:, :d], [], d
-        tally = _Tally(folds, x, size.reach)
+    def kernel(x, state=None):
+        tally, out = _Tally(folds, x, size.reach), []
+        state = state if state is None else state.view(_state(len(anchors)))
         for m, (cur, prev) in models.items():
             k = len(cur)
             if m in anchors:
-                then, lead = table[:, at].astype(np.int64), table[:, at + 1]
-                at += 2
+                then, lead = state["cluster"][:, place[m]], state["lead"][:, place[m]]
                 open_ = lead <= _travel(cur, anchors[m][0])[then]
                 if prev is not None:
                     open_ |= lead <= _travel(prev, anchors[m][0])[then]
@@ -186,7 +193,7 @@ def round_scan(data: DataFrame, cols: list[str], size: Extent, models: dict[int,
             out += [sums, rest]
         return np.concatenate(out, axis=1)
 
-    v = summed(data, read, kernel, sum(len(cur) * (d + 2) + 2 for cur, _ in models.values()), folds)
+    v = summed(data, (), kernel, sum(len(cur) * (d + 2) + 2 for cur, _ in models.values()), folds)
     out, at = {}, 0
     for m, (cur, _) in models.items():
         n = len(cur) * (d + 2)
@@ -204,7 +211,7 @@ def kmeans_many(df: DataFrame, cols, inits: dict[int, np.ndarray], max_iter: int
     """
     cols = list(cols)
     d = len(cols)
-    data, size = loop_input(df, cols) if persist else (df.select(*cols), extent(df, cols))
+    data, size = loop_input(df, cols) if persist else (blocked(df, cols), extent(df, cols))
     held: list[DataFrame] = []
     try:
         cur = {m: np.array(c, dtype=float) for m, c in inits.items()}
@@ -216,7 +223,7 @@ def kmeans_many(df: DataFrame, cols, inits: dict[int, np.ndarray], max_iter: int
         source, scans, since, stale = data, 0, 0, False
         while len(done) < len(cur):
             active = {m: (c, prev.get(m) if rounds[m] >= 2 else None) for m, c in cur.items() if m not in done}
-            found = round_scan(source, cols, size, active, anchors)
+            found = round_scan(source, size, active, anchors)
             for old in held[:-1]:
                 old.unpersist()
             held = held[-1:]
@@ -239,7 +246,7 @@ def kmeans_many(df: DataFrame, cols, inits: dict[int, np.ndarray], max_iter: int
             stale = computed > RENEW * possible
             if persist and taken and (scans == FIRST_ROUNDS or stale and since >= LEAST_ROUNDS and scans > FIRST_ROUNDS):
                 anchors, since = taken, 0
-                source = snapshot(data, cols, {m: c for m, (c, _) in taken.items()}).persist(StorageLevel.MEMORY_AND_DISK)
+                source = snapshot(data, [c for c, _ in taken.values()]).persist(StorageLevel.MEMORY_AND_DISK)
                 held.append(source)
         last = multi_round_scan(data, cols, cur, size)
         for m, st in last.items():

@@ -13,6 +13,7 @@ from fareseg.sources.fixtures import raw_trips_sql
 
 SEED = 42
 SAMPLE_ROWS = 5000
+SMALL_SAMPLE = 40
 
 
 def num(s: str) -> str:
@@ -156,6 +157,21 @@ ORACLE["training_text_parse"] = with_ctes("train", extra=[
 ]) + f"select trip_id, {_parse} from sp2"
 ORACLE["sample_trips"] = with_ctes("trips") + (
     f"select * from trips order by {md5_key()}, trip_id limit {SAMPLE_ROWS}")
+ORACLE["sample_small"] = with_ctes("trips") + (
+    f"select * from trips order by {md5_key()}, trip_id limit {SMALL_SAMPLE}")
+# text files in trip order: a line's position is the bytes of the lines before it, with their line feeds
+register("lines", "select sum(strlen(line) + 1) over (order by trip_id) - strlen(line) - 1 as trip_id, line from raw", ["raw"])
+ORACLE["text_scan"] = with_ctes("lines") + "select cast(trip_id as bigint) as trip_id, line from lines"
+ORACLE["text_sample"] = with_ctes("lines") + (
+    f"select cast(trip_id as bigint) as trip_id, line from lines order by {md5_key()}, trip_id limit {SMALL_SAMPLE}")
+ORACLE["clean_audit"] = ORACLE["reject_counts"]
+ORACLE["quarantine"] = with_ctes("parsed", "raw") + (
+    f"select raw.trip_id, raw.line, {FIRST_FAILED} as rule from parsed join raw using (trip_id) where {FIRST_FAILED} <> 'kept'")
+ORACLE["sketch_days"] = with_ctes("clean") + (
+    "select cast(ts as date) as day, rate, count(*) as n from clean, (values ('driver'), ('passenger')) r(rate) group by all")
+ORACLE["sketch_quantiles"] = with_ctes("trips") + (
+    "select rate, cast(q as double) as q, count(*) as n, true as within_bound from trips, (values ('driver'), ('passenger')) r(rate), "
+    "(values (0.75), (0.5), (0.25)) s(q) group by rate, q")
 ORACLE["trip_index"] = with_ctes("trips") + (
     "select row_number() over (order by trip_id) - 1 as idx, trip_id from trips")
 ORACLE["feature_stats"] = with_ctes("train") + " union all ".join(
@@ -286,6 +302,10 @@ _sweep = with_ctes("z", extra=kmeans_ctes(SWEEP) + [
     ("si", silhouette_sql("z"))])
 ORACLE["k_sweep"] = _sweep + (f"select cast(k as integer) as k, {r6('sum_distance')} as sum_distance, {r6('wssse')} as wssse, "
                               f"{r6('silhouette')} as silhouette from sc join si using (k)")
+_gaps = _sweep + ("select k, (1 - (k - min(k) over ()) / (max(k) over () - min(k) over ()) - (sum_distance - arg_max(sum_distance, k) over ()) "
+                  "/ (arg_min(sum_distance, k) over () - arg_max(sum_distance, k) over ())) / sqrt(2) as gap from sc")
+ORACLE["elbow_gaps"] = f"select cast(k as integer) as k, {r6('gap')} as gap from ({_gaps})"
+ORACLE["pick_k_elbow"] = f"select cast(case when gap >= 0.05 then k end as integer) as k from ({_gaps}) order by gap desc, k limit 1"
 ORACLE["pick_k"] = _sweep + "select cast(k as integer) as k from si order by silhouette desc, k limit 1"
 
 _kmj = _km("labels", extra=[
@@ -423,6 +443,7 @@ ORACLE["join_features_resp"] = _gmm + ", rl as (" + " union all ".join(
     f"select trip_id, {j} as component, {r6(f'r{j}')} as r from gr" for j in range(_GK)) + (
     ") select t.trip_id, rl.component, rl.r, " + ", ".join(f"t.{c}" for c in FEATURES)
     + " from train t join rl using (trip_id)")
+ORACLE["join_bucketed_resp"] = ORACLE["join_features_resp"]
 ORACLE["gmm_phi_update"] = _gmm + " union all ".join(
     f"select {j} as component, {r6(f'avg(r{j})')} as phi from gr" for j in range(_GK))
 ORACLE["gmm_predict"] = _gmm + "select trip_id, cast(case " + " ".join(
@@ -468,7 +489,7 @@ EMB_DIM = 64
 EMB_K = 10
 EMB_COLS = [f"e{i}" for i in range(EMB_DIM)]
 register("emb", "select vec_id, label, " + ", ".join(f"cast(embedding[{i + 1}] as double) as e{i}" for i in range(EMB_DIM))
-         + " from embeddings", [])
+         + f" from embeddings where len(embedding) = {EMB_DIM} and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0", [])
 _emb = with_ctes("emb", extra=kmeans_ctes((EMB_K,), "emb", EMB_COLS, "ek", "vec_id"))
 ORACLE["embedding_kmeans"] = _emb + (
     f"select cast(a.cluster as integer) as cluster, e.label, count(*) as n from emb e join ek_a a using (vec_id) "

@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,10 +85,14 @@ def q_trip_features(spark, sf_dir):
 
 # -- sampling, statistics, segments ------------------------------------------
 from fareseg.functions.numeric import rounded  # noqa: E402
+from fareseg.operators import audit as A  # noqa: E402
 from fareseg.operators import sampling as S  # noqa: E402
+from fareseg.operators import joins as JN  # noqa: E402
 from fareseg.operators import segments as G  # noqa: E402
+from fareseg.operators import sketches as SK  # noqa: E402
 from fareseg.operators import stats as ST  # noqa: E402
 from fareseg.schema import FARES, FEATURES  # noqa: E402
+from fareseg.session import scratch  # noqa: E402
 from fareseg.sources import text as TX  # noqa: E402
 
 
@@ -111,6 +116,47 @@ def q_sample_trips(spark, sf_dir):
     return S.sample_exact(load_trips(spark, sf_dir), SAMPLE_ROWS, SEED)
 
 
+SMALL_SAMPLE = 40
+
+
+@query("sample_small")
+def q_sample_small(spark, sf_dir):
+    """A sample far below half of the rows: the bound is found by narrowing."""
+    return S.sample_exact(load_trips(spark, sf_dir), SMALL_SAMPLE, SEED)
+
+
+@query("clean_audit")
+def q_clean_audit(spark, sf_dir):
+    """Counts per rule observed while the trips and the rejected lines are written, in one pass."""
+    return A.counts_frame(spark, A.clean_to(load_raw(spark, sf_dir), scratch(spark, "audit")))
+
+
+@query("quarantine")
+def q_quarantine(spark, sf_dir):
+    path = scratch(spark, "audit")
+    A.clean_to(load_raw(spark, sf_dir), path)
+    return A.read_quarantine(spark, path)
+
+
+def text_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw lines written as text files in trip order and read again by ``read_raw_trips``."""
+    path = scratch(spark, "text")
+    raw = load_raw(spark, sf_dir)
+    raw.repartitionByRange(4, "trip_id").sortWithinPartitions("trip_id").select("line").write.text(path)
+    return TX.read_raw_trips(spark, path)
+
+
+@query("text_scan")
+def q_text_scan(spark, sf_dir):
+    return text_trips(spark, sf_dir).select("trip_id", "line")
+
+
+@query("text_sample")
+def q_text_sample(spark, sf_dir):
+    """A sample of lines read from text, keyed by their position."""
+    return S.sample_exact(text_trips(spark, sf_dir).select("trip_id", "line"), SMALL_SAMPLE, SEED)
+
+
 @query("trip_index")
 def q_trip_index(spark, sf_dir):
     return S.with_index(load_trips(spark, sf_dir).select("trip_id"), "trip_id").select("idx", "trip_id")
@@ -290,7 +336,42 @@ def q_gmm_e_step(spark, sf_dir):
 def q_join_features_resp(spark, sf_dir):
     resp = _long(_fixed_resp(spark, sf_dir), fixed_mixture().k, "_r{j}", "r")
     feats = M.train(spark, sf_dir).select("trip_id", *FEATURES)
-    return feats.join(resp, "trip_id", "inner").select("trip_id", "component", "r", *FEATURES)
+    return JN.join_on_key(feats, resp).select("trip_id", "component", "r", *FEATURES)
+
+
+@query("join_bucketed_resp")
+def q_join_bucketed_resp(spark, sf_dir):
+    """The same join of two stored tables, bucket by bucket, without an exchange."""
+    name = uuid.uuid4().hex
+    resp = _long(_fixed_resp(spark, sf_dir), fixed_mixture().k, "_r{j}", "r")
+    feats = M.train(spark, sf_dir).select("trip_id", *FEATURES)
+    buckets = spark.sparkContext.defaultParallelism
+    JN.store_bucketed(feats, f"feats_{name}", scratch(spark, "feats"), buckets)
+    JN.store_bucketed(resp, f"resp_{name}", scratch(spark, "resp"), buckets)
+    return JN.join_bucketed(spark, f"feats_{name}", f"resp_{name}").select("trip_id", "component", "r", *FEATURES)
+
+
+def day_sketches(spark, sf_dir):
+    """Fare sketches of the clean trips by pickup day, stored and read again."""
+    path = scratch(spark, "sketches")
+    trips = C.trip_features(C.clean_trips(load_raw(spark, sf_dir)), ("trip_id", "ts"))
+    SK.store_sketches(SK.day_sketches(trips, F.to_date("ts")), path)
+    return SK.read_sketches(spark, path)
+
+
+@query("sketch_days")
+def q_sketch_days(spark, sf_dir):
+    """Rows per day and rate that the stored sketches stand for."""
+    return day_sketches(spark, sf_dir).select("day", "rate", F.kll_sketch_get_n_double("sketch").alias("n"))
+
+
+@query("sketch_quantiles")
+def q_sketch_quantiles(spark, sf_dir):
+    """Quantiles of the merged day sketches, each held against its true rank (twice the 99 % bound)."""
+    ranks = SK.true_ranks(load_trips(spark, sf_dir), SK.sketch_quantiles(day_sketches(spark, sf_dir)))
+    room = F.lit(2 * SK.rank_error()) * F.col("n")
+    near = (F.col("below") <= F.col("q") * F.col("n") + room) & (F.col("up_to") >= F.col("q") * F.col("n") - room)
+    return ranks.select("rate", "q", "n", near.alias("within_bound"))
 
 
 def _fixed_moments(spark, sf_dir):
@@ -374,6 +455,16 @@ def q_k_sweep(spark, sf_dir):
     return _scores(spark, sf_dir).select("k", *r6(["sum_distance", "wssse", "silhouette"]))
 
 
+@query("elbow_gaps")
+def q_elbow_gaps(spark, sf_dir):
+    return P.elbow(_scores(spark, sf_dir)).select("k", *r6(["gap"]))
+
+
+@query("pick_k_elbow")
+def q_pick_k_elbow(spark, sf_dir):
+    return P.pick_k(_scores(spark, sf_dir), by="elbow")
+
+
 @query("pick_k")
 def q_pick_k(spark, sf_dir):
     return P.pick_k(_scores(spark, sf_dir))
@@ -394,8 +485,11 @@ EMB_COLS = [f"e{i}" for i in range(EMB_DIM)]
 
 
 def load_embeddings(spark, sf_dir):
+    """Vectors of the right length and finite numbers; others take no part."""
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)])
+    x = F.col("embedding")
+    fit = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    return e.where((F.size(x) == EMB_DIM) & F.coalesce(fit, F.lit(False))).select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(EMB_DIM)])
 
 
 def _emb_model(spark, sf_dir):

@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareseg.operators import kmeans as K
@@ -22,6 +22,7 @@ from fareseg.operators import segments as G
 from fareseg.operators import stats as ST
 from fareseg.operators import sweep as SW
 from fareseg.operators.clean import trips_from_raw
+from fareseg.plans.model import Parts, SegmentationModel
 from fareseg.plans.models import clustered
 from fareseg.schema import DEFAULT_K, FEATURES, SWEEP_KS
 from fareseg.session import ensure_checkpoint_dir
@@ -39,6 +40,10 @@ class SegmentResult:
     mixture: X.Mixture | None = None
     component_summary: DataFrame | None = None
 
+    def model(self) -> SegmentationModel:
+        """What scoring needs, to save and load (see ``model.py``)."""
+        return SegmentationModel(Parts(self.stats, self.kmeans.centroids, self.mixture, self.thresholds))
+
 
 def training_sample(raw: DataFrame, n: int | None = None, seed: int = 42, require: str = "any",
                     checkpoint: bool = True) -> DataFrame:
@@ -69,8 +74,31 @@ def k_sweep_scores(train: DataFrame, ks=SWEEP_KS, seed: int = 42, scaling: str =
     return scores_frame(train.sparkSession, fits, sil)
 
 
-def pick_k(scores: DataFrame, by: str = "silhouette") -> DataFrame:
-    """The k with the best score (highest silhouette, smallest k on ties)."""
+def elbow(scores: DataFrame, cost: str = "sum_distance") -> DataFrame:
+    """``(k, gap)``: how far each k's cost lies below the chord from the first to the last k.
+
+    Both axes are scaled to 0..1. The knee is the k with the largest gap.
+    Fewer than three k, or a cost that doesn't fall from the first to the last k, have no gaps.
+    """
+    one = Window.partitionBy(F.lit(0))  # a row per k
+    curve = scores.select("k", F.col(cost).alias("_c"), F.min("k").over(one).alias("_k0"), F.max("k").over(one).alias("_k1"),
+                          F.min_by(cost, "k").over(one).alias("_c0"), F.max_by(cost, "k").over(one).alias("_c1"),
+                          F.count("k").over(one).alias("_n")).where("_n >= 3 and _c0 > _c1")
+    x = (F.col("k") - F.col("_k0")) / (F.col("_k1") - F.col("_k0"))
+    y = (F.col("_c") - F.col("_c1")) / (F.col("_c0") - F.col("_c1"))
+    return curve.select("k", ((1.0 - x - y) / F.sqrt(F.lit(2.0))).alias("gap"))
+
+
+def pick_k(scores: DataFrame, by: str = "silhouette", least_gap: float = 0.05) -> DataFrame:
+    """One row with the chosen ``k``.
+
+    ``by="silhouette"`` (or another score): the highest, smallest k on ties.
+    ``by="elbow"``: the knee of the cost curve; null when no k lies ``least_gap``
+    below the chord, that is when the curve has no knee.
+    """
+    if by == "elbow":
+        best = elbow(scores).agg(F.max(F.struct("gap", (-F.col("k")).alias("k"))).alias("b"))
+        return best.select(F.when(F.col("b.gap") >= least_gap, -F.col("b.k")).cast("int").alias("k"))
     return scores.orderBy(F.desc(by), F.asc("k")).limit(1).select("k")
 
 

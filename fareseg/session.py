@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         conf_dir = tempfile.mkdtemp(prefix="fareseg-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, gone when the session's JVM ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

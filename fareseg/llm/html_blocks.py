@@ -29,12 +29,15 @@ from html import unescape
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fareseg.llm.words import ALNUM, LOWER, Hasher
 
 MAX_TRAIN = 240
+#: Bytes of pages that are labelled together (about).
+SLICE = 4 << 20
 PATH_DIM, WORD_DIM, EXTRA = 64, 24, 8
 INPUT = PATH_DIM + WORD_DIM + EXTRA
 HIDDEN = 16
@@ -56,9 +59,9 @@ ARTICLE = {"article", "main", "articlebody"}
 BOILER = set("nav header footer aside form menu dialog ad ads advert sponsored sidebar cookie notice banner promo related share "
              "social comment comments reply breadcrumb newsletter subscribe login popup".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>|(?P<text>[^<]+|<)", re.S)
+_TAG = re.compile(r"<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)")
+#: To a tag's end: a value may be quoted or bare (and then hold quotes); quotes elsewhere are plain characters. Nothing is tried twice.
+_ATTRS = re.compile(r"(?>[^>\"'=]++|=\s*+(?>\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?|[\"'])*+>")
 _END = {t: re.compile(rf"</{t}(?![a-z0-9:-])[^>]*>", re.I | re.A) for t in TEXT}
 _AGAIN = {t: re.compile(rf"<(?:{t}{'|/head|body' * (t == 'title')})(?![a-z0-9:-])", re.I | re.A) for t in TEXT}
 _BARE_VALUE = re.compile(r"=\s*[^\s\"'>]+/\Z")
@@ -88,24 +91,41 @@ def _tokens(html: str) -> list[tuple[str | None, str, str, str]]:
             ahead[p] = p.search(html, at)
         return ahead[p]
 
-    while m := _TOKEN.match(html, at):
-        at = m.end()
-        text, tag, end, attrs = m.group("text", "tag", "end", "attrs")
-        if text is not None:
-            out.append((text, "", "", ""))
-        elif tag is not None:
-            tag = tag.lower()
-            out.append((None, tag, end, attrs))
-            if tag not in _END or end or _closed(attrs):
-                continue
-            last, again = upcoming(_END[tag]), upcoming(_AGAIN[tag])
-            near = last and not (again and again.start() < last.start())
-            if near or last and tag in TO_END and not attrs.endswith("/"):
-                at = last.end()
-            elif tag in TO_END and not attrs.endswith("/"):
-                at = len(html)
-            elif tag == "title":
-                at = max(at, html.find("<", at))
+    final, quoted = html.rfind(">"), True  # behind the last tag end everything is text
+    while at < len(html):
+        lt = html.find("<", at)
+        if lt != at:
+            out.append((html[at:lt if lt > 0 else len(html)], "", "", ""))
+            at = lt if lt > 0 else len(html)
+            continue
+        if html.startswith("<!--", at):
+            shut = html.find("-->", at + 4)
+            at = shut + 3 if shut >= 0 else len(html)
+            continue
+        m = _TAG.match(html, at)
+        if at > final or not m and html[at + 1:at + 2] not in ("!", "?", "/"):
+            out.append(("<", "", "", ""))
+            at += 1
+            continue
+        if not m:
+            at = html.find(">", at) + 1
+            continue
+        shut = _ATTRS.match(html, m.end()) if quoted else None
+        if shut is None:  # a quote that never ends: from here on quotes hide no tag end
+            quoted = False
+        at = shut.end() if shut else html.find(">", m.end()) + 1
+        tag, end, attrs = m["tag"].lower(), m["end"], html[m.end():at - 1]
+        out.append((None, tag, end, attrs))
+        if tag not in _END or end or _closed(attrs):
+            continue
+        last, again = upcoming(_END[tag]), upcoming(_AGAIN[tag])
+        near = last and not (again and again.start() < last.start())
+        if near or last and tag in TO_END and not attrs.endswith("/"):
+            at = last.end()
+        elif tag in TO_END and not attrs.endswith("/"):
+            at = len(html)
+        elif tag == "title":
+            at = max(at, html.find("<", at))
     return out
 
 
@@ -132,21 +152,74 @@ def _dropped(tokens: list) -> dict[int, int]:
     return ends
 
 
-def blocks(html: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
-    """``(path, text, linked characters)`` of the non-empty leaf blocks in page order; the text is decoded, single-spaced and trimmed."""
+def _part_vector(part: tuple[str, ...], memo: dict) -> np.ndarray:
+    v = memo.get(part)
+    if v is None:
+        v = np.zeros(PATH_DIM)
+        for n in part:
+            h = zlib.crc32(n.encode())
+            v[h % PATH_DIM] += 1.0 if h >> 16 & 1 else -1.0
+        if len(memo) > 50_000:
+            memo.clear()
+        memo[part] = v
+    return v
+
+
+class Path:
+    """An element's place in the page: its own names and the place around it, so that a deep page costs no more than a flat one.
+
+    ``total`` sums the vectors of all its parts, ``own`` is the innermost one's.
+    """
+
+    __slots__ = ("around", "part", "depth", "total", "own", "article", "boiler")
+
+    def __init__(self, around: Path | None, part: tuple[str, ...], memo: dict) -> None:
+        self.around, self.part, self.own = around, part, _part_vector(part, memo)
+        self.depth = around.depth + 1 if around else 1
+        self.total = around.total + self.own if around else self.own
+        self.article = bool(around and around.article) or not ARTICLE.isdisjoint(part)
+        self.boiler = bool(around and around.boiler) or not BOILER.isdisjoint(part)
+
+    def parts(self) -> list[tuple[str, ...]]:
+        """All parts, outermost first."""
+        out, p = [], self
+        while p:
+            out.append(p.part)
+            p = p.around
+        return out[::-1]
+
+    def vector(self) -> np.ndarray:
+        """The two innermost parts weigh more than those around them."""
+        near = self.own + self.around.own if self.around else self.own
+        return 0.7 * self.total + 0.3 * near
+
+
+def path_of(parts, memo: dict) -> Path | None:
+    p = None
+    for part in parts:
+        p = Path(p, part, memo)
+    return p
+
+
+def blocks(html: str, memo: dict | None = None) -> list[tuple[Path | None, str, int]]:
+    """``(path, text, linked characters)`` of the non-empty leaf blocks in page order; the text is decoded, single-spaced and trimmed.
+
+    The path is None outside of all elements. ``memo`` keeps part vectors from page to page.
+    """
     out, stack, text, linked, in_link = [], [], [], 0, False
+    memo = {} if memo is None else memo
 
     def flush() -> None:
         nonlocal linked
         if text:
             t = " ".join(unescape("".join(text)).split())
             if t:
-                out.append((tuple(stack), t, linked))
+                out.append((stack[-1] if stack else None, t, linked))
             text.clear()
             linked = 0
 
     tokens = _tokens(html)
-    ends, skip = _dropped(tokens), -1
+    ends, skip, open_ = _dropped(tokens), -1, {}  # open_: how many elements of a name are open
     for i, (piece, tag, end, attrs) in enumerate(tokens):
         if i <= skip:
             continue
@@ -168,38 +241,27 @@ def blocks(html: str) -> list[tuple[tuple[tuple[str, ...], ...], str, int]]:
             continue
         flush()
         if end:
-            for j in range(len(stack) - 1, -1, -1):
-                if stack[j][0] == tag:
-                    del stack[j:]
-                    break
+            if open_.get(tag):
+                while True:
+                    name = stack.pop().part[0]
+                    open_[name] -= 1
+                    if name == tag:
+                        break
         elif tag not in VOID and not attrs.endswith("/"):
-            if tag in CLOSES_P and stack and stack[-1][0] == "p" or tag in ("li", "td", "th", "tr", "dt", "dd") and stack and stack[-1][0] == tag:
-                stack.pop()
-            stack.append(_names(tag, attrs))
+            inner = stack[-1].part[0] if stack else ""
+            if tag in CLOSES_P and inner == "p" or tag in ("li", "td", "th", "tr", "dt", "dd") and inner == tag:
+                open_[stack.pop().part[0]] -= 1
+            stack.append(Path(stack[-1] if stack else None, _names(tag, attrs), memo))
+            open_[tag] = open_.get(tag, 0) + 1
     flush()
     return out
 
 
-def structural_label(path) -> bool:
-    names = {n for part in path for n in part}
-    return bool(names & ARTICLE) and not names & BOILER
-
-
-def _path_vector(path, memo: dict) -> np.ndarray:
-    v = memo.get(path)
-    if v is None:
-        v = np.zeros(PATH_DIM)
-        for depth, part in enumerate(path[::-1]):
-            for n in part:
-                h = zlib.crc32(n.encode())
-                v[h % PATH_DIM] += (1.0 if h >> 16 & 1 else -1.0) * (1.0 if depth < 2 else 0.7)
-        if len(memo) > 50_000:
-            memo.clear()
-        memo[path] = v
-    return v
+def structural_label(path: Path | None) -> bool:
+    return path is not None and path.article and not path.boiler
 
 
-def page_vectors(pages: list, hasher: Hasher, memo: dict) -> list[np.ndarray]:
+def page_vectors(pages: list, hasher: Hasher) -> list[np.ndarray]:
     """One (blocks, INPUT) array a page; all pages' words are hashed together."""
     flat = [b for p in pages for b in p]
     x = np.zeros((len(flat), INPUT))
@@ -215,11 +277,13 @@ def page_vectors(pages: list, hasher: Hasher, memo: dict) -> list[np.ndarray]:
         slot = at * WORD_DIM + (h % np.uint64(WORD_DIM)).astype(np.int64)
         words = np.bincount(slot, sign, len(flat) * WORD_DIM).reshape(-1, WORD_DIM)
         x[:, PATH_DIM:PATH_DIM + WORD_DIM] = words / np.maximum(np.linalg.norm(words, axis=1), 1)[:, None]
-        x[:, :PATH_DIM] = [_path_vector(p, memo) for p, _, _ in flat]
+        for row, (p, _, _) in zip(x, flat):
+            if p is not None:
+                row[:PATH_DIM] = p.vector()
         link = np.array([k for _, _, k in flat], float) / np.maximum([len(t) for _, t, _ in flat], 1)
         stops = np.bincount(np.searchsorted(offs, np.flatnonzero((data == 46) | (data == 44)), "right") - 1, minlength=len(flat))
         x[:, PATH_DIM + WORD_DIM:] = np.stack([
-            np.log1p(n) / 3, np.minimum(link, 1), np.log1p(stops) / 2, (n < 4), (n >= 12), np.array([len(p) for p, _, _ in flat]) / 8,
+            np.log1p(n) / 3, np.minimum(link, 1), np.log1p(stops) / 2, (n < 4), (n >= 12), np.array([p.depth if p else 0 for p, _, _ in flat]) / 8,
             np.array([t[-1:] in ".!?\"”" for _, t, _ in flat]), np.ones(len(flat))], axis=1)
     cut = np.cumsum([len(p) for p in pages])[:-1]
     return np.split(x, cut) if len(pages) else []
@@ -262,8 +326,8 @@ class Labeller:
             self.w["c" + d] = np.concatenate([np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)])
         self.w["o"], self.w["ob"] = rng.normal(0, 0.15, (2 * HIDDEN,)), np.zeros(1)
 
-    def _run(self, x, seen, d: str):
-        """States of one direction; padding keeps the state, so backward starts at each page's own end."""
+    def _run(self, x, seen, d: str, learn: bool = False):
+        """States of one direction; padding keeps the state, so backward starts at each page's own end. ``learn`` keeps each step."""
         steps = range(len(x)) if d == "f" else range(len(x) - 1, -1, -1)
         pre = x @ self.w["x" + d] + self.w["c" + d]
         h, c = np.zeros((x.shape[1], HIDDEN)), np.zeros((x.shape[1], HIDDEN))
@@ -275,7 +339,8 @@ class Labeller:
             m = seen[t][:, None]
             new = f * c + i * u
             th = np.tanh(new)
-            trace.append((t, h, c, i, f, o, u, th, m))
+            if learn:
+                trace.append((t, h, c, i, f, o, u, th, m))
             c = m * new + (1 - m) * c
             h = m * o * th + (1 - m) * h
             out[t] = h
@@ -288,7 +353,7 @@ class Labeller:
 
     def gradient(self, x, seen, y):
         grads = {k: np.zeros_like(v) for k, v in self.w.items()}
-        states = {d: self._run(x, seen, d) for d in "fb"}
+        states = {d: self._run(x, seen, d, True) for d in "fb"}
         both = np.concatenate([states["f"][0], states["b"][0]], 2)
         err = (_sigmoid(both @ self.w["o"] + self.w["ob"]) - y) * seen / seen.sum()
         grads["o"], grads["ob"] = np.tensordot(err, both, 2), err.sum(keepdims=True).ravel()
@@ -364,8 +429,9 @@ def shortened(page, rng: np.random.Generator):
     return out
 
 
-def redressed(page, others: list, rng: np.random.Generator):
+def redressed(page, others: list, rng: np.random.Generator, memo: dict | None = None):
     """The page's article blocks in another layout, with other pages' texts as its boilerplate: ``(blocks, labels)``."""
+    memo = {} if memo is None else memo
     own = [b for b in page if structural_label(b[0])]
     spare = lambda: others[rng.integers(len(others))]
     names = _ARTICLE_AS[rng.integers(len(_ARTICLE_AS))]
@@ -380,14 +446,14 @@ def redressed(page, others: list, rng: np.random.Generator):
             text = " ".join(words[:max(n, 1)])
             linked = len(text) if part[0] in ("nav", "ul") or rng.random() < 0.3 else 0
             inner = (("p",),) if comments or rng.random() < 0.4 else (("ul",), ("li",)) if linked else ()
-            out.append(((("html",), ("body",), *inside, part, *inner), text, linked))
+            out.append((path_of((("html",), ("body",), *inside, part, *inner), memo), text, linked))
             labels.append(0.0)
 
     for _ in range(rng.integers(1, 4)):
         around()
     for k, (path, text, linked) in enumerate(own):
-        part = path[-1] if rng.random() < 0.7 else _TEXT_AS[rng.integers(len(_TEXT_AS))]
-        out.append(((("html",), ("body",), names, part if part != ("h",) else ("h2",)), text, linked))
+        part = path.part if rng.random() < 0.7 else _TEXT_AS[rng.integers(len(_TEXT_AS))]
+        out.append((path_of((("html",), ("body",), names, part if part != ("h",) else ("h2",)), memo), text, linked))
         labels.append(1.0)
         if k and rng.random() < 0.08:
             around((names,))
@@ -402,8 +468,9 @@ def fit(pages: DataFrame, max_rows: int = MAX_TRAIN, layouts: int = 4, seed: int
     pick = some.select("page_id").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(max_rows)  # ids first, then their html
     rows = some.join(F.broadcast(pick), "page_id").groupBy("page_id").agg(F.min("html").alias("html")).collect()
     rows.sort(key=lambda r: r["page_id"])
-    rng, read = np.random.default_rng(seed), [blocks(r["html"]) for r in rows]
-    others = [b for p in read for b in p] or [((), "none", 0)]
+    rng, memo = np.random.default_rng(seed), {}
+    read = [blocks(r["html"], memo) for r in rows]
+    others = [b for p in read for b in p] or [(None, "none", 0)]
     data, labels = [], []
     for p in read:
         data.append(p)
@@ -412,10 +479,10 @@ def fit(pages: DataFrame, max_rows: int = MAX_TRAIN, layouts: int = 4, seed: int
         for _ in range(layouts if any(own) else 0):
             data.append(shortened(p, rng))
             labels.append(own)
-            b, y = redressed(p, others, rng)
+            b, y = redressed(p, others, rng, memo)
             data.append(shortened(b, rng) if rng.random() < 0.3 else b)
             labels.append(y)
-    return Labeller(seed).train(page_vectors(data, Hasher(), {}), labels)
+    return Labeller(seed).train(page_vectors(data, Hasher()), labels)
 
 
 def extract(pages: DataFrame, labeller: Labeller, html: str = "html", keep: list[str] | None = None, out: str = "text") -> DataFrame:
@@ -425,10 +492,14 @@ def extract(pages: DataFrame, labeller: Labeller, html: str = "html", keep: list
     def kernel(batches):
         hasher, memo = Hasher(), {}
         for whole in batches:
-            for lo in range(0, whole.num_rows, 256):
-                b = whole.slice(lo, 256)
-                read = [blocks(h.as_py() or "") for h in b.column(html)]
-                marks = labeller.label(page_vectors(read, hasher, memo))
+            size = pc.fill_null(pc.binary_length(whole.column(html)), 0).to_numpy(zero_copy_only=False).astype(np.int64).cumsum()
+            lo = 0
+            while lo < whole.num_rows:  # as many pages as fit in SLICE bytes, a longer one alone
+                fit_in = int(np.searchsorted(size, (size[lo - 1] if lo else 0) + SLICE, "right"))
+                b = whole.slice(lo, max(1, min(fit_in - lo, 256)))
+                lo += b.num_rows
+                read = [blocks(h.as_py() or "", memo) for h in b.column(html)]
+                marks = labeller.label(page_vectors(read, hasher))
                 texts = ["\n".join(t for (_, t, _), y in zip(p, m) if y) for p, m in zip(read, marks)]
                 yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(texts, pa.string())], [*keep, out])
 

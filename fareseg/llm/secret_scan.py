@@ -46,6 +46,8 @@ SENSITIVE = {
     "session": 0.5, "cookie": 0.5,
 }
 THRESHOLD = 0.45
+#: Literals that are joined and judged as one at most; a longer sum's are judged as they stand in the pairs behind it.
+JOINED = 64
 
 # A name is a whole run of its characters, so that each run is read once however long it is.
 _NAME = r"(?<![A-Za-z0-9_.\-])[0-9.\-]*+(?P<name>[A-Za-z_][A-Za-z0-9_.\-]*+)"
@@ -132,8 +134,8 @@ class _Pair(NamedTuple):
     parts: list[tuple[int, int, str | None]]
 
 
-def _resolved(pairs: list[_Pair]) -> list[list[tuple[int, int]]]:
-    """The literals of every pair. A bare word that is a name stands for that name's last pair before, or else its first one after."""
+def _targets(pairs: list[_Pair]) -> list[list[int | None]]:
+    """For every part the pair it stands for. A bare word that is a name stands for that name's last pair before, or else its first one after."""
     where: dict[str, list[int]] = {}
     for i, p in enumerate(pairs):
         for name in dict.fromkeys(p.names):
@@ -149,26 +151,57 @@ def _resolved(pairs: list[_Pair]) -> list[list[tuple[int, int]]]:
         k += at[k:k + 1] == [i]
         return at[k] if k < len(at) else None
 
+    return [[target(word, i) for _, _, word in p.parts] for i, p in enumerate(pairs)]
+
+
+def _resolved(pairs: list[_Pair]) -> list[tuple[float, list[tuple[int, int]]]]:
+    """Weights and the literals that they judge as one: every pair's, names replaced by what they stand for.
+
+    A pair with more than ``JOINED`` literals (a string that a program adds up)
+    keeps only those written in it; its weight goes on to the pairs behind its
+    names and judges what is written in each of them, so that long accumulations
+    take linear time and memory.
+    """
+    aims = _targets(pairs)
     done: list[list[tuple[int, int]] | None] = [None] * len(pairs)
-    begun = [False] * len(pairs)
+    begun, long = [False] * len(pairs), [False] * len(pairs)
+    written: list[list[tuple[int, int]]] = [[] for _ in pairs]
     for first in range(len(pairs)):
         todo = [first]
         while todo:
             i = todo[-1]
             if done[i] is None:
-                aims = [target(word, i) for _, _, word in pairs[i].parts]
-                wait = [] if begun[i] else [j for j in aims if j is not None and done[j] is None and not begun[j]]
+                wait = [] if begun[i] else [j for j in dict.fromkeys(aims[i]) if j is not None and done[j] is None and not begun[j]]
                 begun[i] = True
                 if wait:
                     todo += wait
                     continue
                 got: dict[tuple[int, int], None] = {}
-                for (s, e, _), j in zip(pairs[i].parts, aims):
+                own = written[i]
+                for (s, e, _), j in zip(pairs[i].parts, aims[i]):
                     # names that only lead to each other are words
-                    got.update(dict.fromkeys([(s, e)] if j is None or done[j] is None else done[j]))
-                done[i] = list(got)
+                    if j is None or done[j] is None:
+                        own.append((s, e))
+                        got[s, e] = None
+                    elif long[j]:
+                        long[i] = True
+                    elif not long[i]:
+                        got.update(dict.fromkeys(done[j]))
+                        long[i] = len(got) > JOINED
+                done[i] = own if long[i] else list(got)
             todo.pop()
-    return done
+    out = [(p.weight, x) for p, x in zip(pairs, done)]
+    # heaviest first, a pair is passed once: with the heaviest name that leads to it
+    passed = [False] * len(pairs)
+    for first in sorted((i for i in range(len(pairs)) if long[i]), key=lambda i: -pairs[i].weight):
+        todo = [first]
+        while todo:
+            i = todo.pop()
+            if not passed[i]:
+                passed[i] = True
+                out.append((pairs[first].weight, written[i]))
+                todo += [j for j in dict.fromkeys(aims[i]) if j is not None and not passed[j]]
+    return out
 
 
 def named_spans(text: str) -> list[tuple[int, int, float]]:
@@ -208,8 +241,8 @@ def named_spans(text: str) -> list[tuple[int, int, float]]:
             word = a[k].rstrip(".:!?") if k == 3 else a[k]
             parts.append((start + a.start(k), start + a.start(k) + len(word), a[k] if k == 3 else None))
         pairs.append(_Pair(names, weight, parts))
-    for pair, literals in zip(pairs, _resolved(pairs)):
-        judge(pair.weight, literals)
+    for weight, literals in _resolved(pairs):
+        judge(weight, literals)
     return [(s, e, w) for (s, e), w in best.items() if w >= THRESHOLD and e > s]
 
 

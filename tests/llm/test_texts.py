@@ -392,3 +392,27 @@ def test_pipeline_stages_match_brute_force(spark):
 def test_held_out_rule(spark):
     got = spark.range(200).select("id", held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in got)
+
+
+@pytest.mark.parametrize("make", [
+    lambda n: 's = ""\n' + "".join(f's = s + "abc def {i}"\n' for i in range(n)),
+    lambda n: 'a="b"+' * n,
+    lambda n: "".join(f"v{i} = v{i + 1} + v{i + 1}\n" for i in range(n)) + f'v{n} = "x1"\n',
+    lambda n: "".join(f'w{i % 50} = w{(i * 7 + 1) % 50} + "q{i}"\n' for i in range(n))])
+def test_accumulating_code_takes_linear_time(make):
+    import time
+
+    text = make(30_000)
+    start = time.process_time()
+    secret_scan.find_spans(text)
+    assert time.process_time() - start < 20
+
+
+def test_weights_reach_literals_behind_long_sums():
+    parts = "".join(f's = s + "x{i} y"\n' for i in range(300))
+    text = f's = "h8Kq2ZpL0vXs7Rt4"\n{parts}password = s\n'
+    at = text.index("h8Kq")
+    assert (at, at + 16, "named") in secret_scan.find_spans(text)
+    assert secret_scan.find_spans(text.replace("password = s", "colour = s")) == []
+    joined = 'a = "h8Kq2Z"\nb = "pL0vXs7Rt4"\npassword = a + b\n'
+    assert [joined[s:e] for s, e, k in secret_scan.find_spans(joined) if k == "named"] == ["h8Kq2Z", "pL0vXs7Rt4"]

@@ -12,6 +12,7 @@ import uuid
 from dataclasses import dataclass
 
 import numpy as np
+from py4j.protocol import Py4JJavaError
 from pyspark.ml import Model
 from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,21 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
 
 
+def _renamed(spark: SparkSession, source: str, target: str) -> bool:
+    """One rename that fails, rather than moves into it, where ``target`` is there already."""
+    jvm = spark._jvm
+    (a, fs), (b, _) = _folder(spark, source), _folder(spark, target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    no_options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.makeQualified(a), fs.makeQualified(b), no_options)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 class _Writer(MLWriter):
     """``save`` adds a version. ``overwrite`` isn't needed and changes nothing: older versions stay."""
 
@@ -85,13 +101,8 @@ class _Writer(MLWriter):
                p.thresholds)
         staging = f"{path}/_staging-{uuid.uuid4().hex}"
         spark.createDataFrame([row], _SCHEMA).coalesce(1).write.parquet(staging)
-        source, fs = _folder(spark, staging)
-        while True:  # another writer may take the next number first: a rename onto a folder that is there fails
-            target, _ = _folder(spark, f"{path}/version={max(versions(spark, path), default=0) + 1}")
-            if not fs.exists(target) and fs.rename(source, target):
-                return
-            if not fs.exists(source):
-                raise OSError(f"the staged model is gone: {staging}")
+        while not _renamed(spark, staging, f"{path}/version={max(versions(spark, path), default=0) + 1}"):
+            pass  # another writer took that number first
 
     def save(self, path: str) -> None:
         self.saveImpl(path)

@@ -200,3 +200,12 @@ def test_readers_see_whole_versions_only(spark, tmp_path):
     os.makedirs(os.path.join(path, "_staging-x"))
     with pytest.raises(FileNotFoundError):
         MO.SegmentationModel.load(path)
+
+
+def test_a_version_that_is_there_is_neither_replaced_nor_entered(spark, tmp_path):
+    for name in ("staged", "version=1"):
+        spark.range(3).write.parquet(str(tmp_path / name))
+    before = sorted(os.listdir(tmp_path / "version=1"))
+    assert not MO._renamed(spark, str(tmp_path / "staged"), str(tmp_path / "version=1"))
+    assert sorted(os.listdir(tmp_path / "version=1")) == before and os.path.isdir(tmp_path / "staged")
+    assert MO._renamed(spark, str(tmp_path / "staged"), str(tmp_path / "version=2")) and not os.path.exists(tmp_path / "staged")

@@ -27,10 +27,23 @@ SEED = 42
 _memo: dict[tuple, Any] = {}
 
 
+def stamp(sf_dir: str) -> tuple:
+    """Size and change time of the tables that fits read, so that new data in a folder gets new models."""
+    spark, out = SparkSession.active(), []
+    for name in ("events", "embeddings"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(path):
+            out.append((name, fs.getContentSummary(path).getLength(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)
+
+
 def memo(key: tuple, fn):
-    if key not in _memo:
-        _memo[key] = fn()
-    return _memo[key]
+    """``fn()``, kept by ``key`` (what it is, the data folder, parameters) as long as the folder's tables stay the same."""
+    now = stamp(key[1])
+    if _memo.get(key, (None,))[0] != now:
+        _memo[key] = now, fn()
+    return _memo[key][1]
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:

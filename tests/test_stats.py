@@ -1,6 +1,7 @@
 """Feature statistics: population variance, the as-written variance, z-scores."""
 
 import numpy as np
+from conftest import SF_SMALL
 
 from fareseg.operators import stats as ST
 
@@ -24,3 +25,14 @@ def test_constant_column_scales_to_zero(spark):
     df = spark.createDataFrame([(i, 3.0, float(i)) for i in range(10)], "trip_id long, a double, b double")
     rows = ST.scaled_features(df, ["a", "b"]).collect()
     assert all(r.a == 0.0 for r in rows)
+
+
+def test_new_data_in_a_folder_gets_new_statistics(spark, tmp_path):
+    from fareseg.plans import models as M
+
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    seen = []
+    for part in (events, events.where("event_id % 2 = 0"), events):
+        part.coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
+        seen += [M.feature_stats(spark, str(tmp_path)), M.feature_stats(spark, str(tmp_path))]
+    assert seen[0] is seen[1] and seen[2] is seen[3] and seen[0].n > seen[2].n and seen[4] == seen[0]

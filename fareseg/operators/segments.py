@@ -39,11 +39,12 @@ def round_half_up(v: float, digits: int = 2) -> float:
     return float(Decimal(repr(v)).quantize(q, rounding=ROUND_HALF_UP))
 
 
-def fare_thresholds(df: DataFrame, qs=LABEL_QUANTILES, digits: int = 2) -> dict[str, dict[float, float]]:
+def fare_thresholds(df: DataFrame, qs=LABEL_QUANTILES, digits: int = 2, **how) -> dict[str, dict[float, float]]:
     """``{'driver': {0.75: t, 0.5: t, 0.25: t}, 'passenger': {...}}``, exact
-    discrete quantiles of each rate, rounded to ``digits`` as the labels use."""
+    discrete quantiles of each rate, rounded to ``digits`` as the labels use.
+    ``how`` goes to :func:`exact_quantiles`."""
     rates = fare_per_mile(df)
-    vals = exact_quantiles(rates, list(RATES.values()), list(qs))
+    vals = exact_quantiles(rates, list(RATES.values()), list(qs), **how)
     return {name: {q: round_half_up(vals[(col, q)], digits) for q in qs} for name, col in RATES.items()}
 
 

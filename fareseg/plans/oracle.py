@@ -174,6 +174,7 @@ ORACLE["sketch_quantiles"] = with_ctes("trips") + (
     "(values (0.75), (0.5), (0.25)) s(q) group by rate, q")
 ORACLE["trip_index"] = with_ctes("trips") + (
     "select row_number() over (order by trip_id) - 1 as idx, trip_id from trips")
+ORACLE["trip_index_buckets"] = ORACLE["trip_index"]
 ORACLE["feature_stats"] = with_ctes("train") + " union all ".join(
     f"select '{c}' as feature, count(*) as n, {r6(f'avg({c})')} as mean, {r6(f'var_pop({c})')} as var, "
     f"{r6(f'stddev_pop({c})')} as std from train" for c in FEATURES)
@@ -187,6 +188,7 @@ ORACLE["fare_per_mile"] = with_ctes("rates") + (
 ORACLE["fare_quantiles"] = with_ctes("thr") + (
     "select 'driver' as rate, d75 as q75, d50 as q50, d25 as q25 from thr union all "
     "select 'passenger', p75, p50, p25 from thr")
+ORACLE["fare_quantiles_narrowed"] = ORACLE["fare_quantiles"]
 ORACLE["trip_labels"] = with_ctes("labels") + "select trip_id, d_label, p_label from labels"
 ORACLE["label_onehot"] = with_ctes("labels") + "select trip_id, " + ", ".join(
     f"cast({col} = '{pre.upper()}{lv}' as integer) as {pre}{lv}"

@@ -162,6 +162,19 @@ def q_trip_index(spark, sf_dir):
     return S.with_index(load_trips(spark, sf_dir).select("trip_id"), "trip_id").select("idx", "trip_id")
 
 
+@query("trip_index_buckets")
+def q_trip_index_buckets(spark, sf_dir):
+    """The same index, numbered bucket by bucket."""
+    return S.with_index(load_trips(spark, sf_dir).select("trip_id"), "trip_id", rows_per_bucket=700).select("idx", "trip_id")
+
+
+@query("fare_quantiles_narrowed")
+def q_fare_quantiles_narrowed(spark, sf_dir):
+    """The same quantiles with brackets narrowed until few rows are left."""
+    train = load_train(spark, sf_dir)
+    return G.thresholds_frame(train, G.fare_thresholds(train, final_rows=100, accuracy=50))
+
+
 @query("feature_stats")
 def q_feature_stats(spark, sf_dir):
     return ST.feature_stats(load_train(spark, sf_dir)).select("feature", "n", *r6(["mean", "var", "std"]))

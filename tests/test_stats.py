@@ -36,3 +36,23 @@ def test_new_data_in_a_folder_gets_new_statistics(spark, tmp_path):
         part.coalesce(1).write.mode("overwrite").parquet(str(tmp_path / "events.parquet"))
         seen += [M.feature_stats(spark, str(tmp_path)), M.feature_stats(spark, str(tmp_path))]
     assert seen[0] is seen[1] and seen[2] is seen[3] and seen[0].n > seen[2].n and seen[4] == seen[0]
+
+
+def test_lines_are_parsed_once_for_queries_that_read_the_rows_often(spark, tmp_path, monkeypatch):
+    import shutil
+
+    from fareseg.plans import models as M
+    from fareseg.plans import registry as R
+
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    parses, parse = [], M.train
+    monkeypatch.setattr(M, "train", lambda *a: parses.append(a) or parse(*a))
+    sf = str(tmp_path)
+    rows = sorted(R.QUERIES["label_onehot"](spark, sf).collect())
+    assert len(parses) == 1 and len(rows) == M.trips(spark, sf).count()
+    assert sorted(M.stored_train(spark, sf).collect()) == sorted(M.trips(spark, sf).collect())
+    M.feature_stats(spark, sf), M.seeds(spark, sf)
+    assert len(parses) == 1
+    # a table that is gone is written again
+    shutil.rmtree(M._memo["train", sf, spark.sparkContext.applicationId][1].replace("file:", ""))
+    assert sorted(R.QUERIES["label_onehot"](spark, sf).collect()) == rows and len(parses) == 2

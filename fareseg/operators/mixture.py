@@ -34,6 +34,10 @@ EIG_CUTOFF_FACTOR = 1e6
 # standard deviation at the eigenvalue cut-off along a dropped direction.
 SUPPORT_FACTOR = 10.0
 LOG_UNDERFLOW = math.log(np.nextafter(0.0, 1.0))
+#: Rows of one matrix product of the moments, and bits of the pieces it multiplies: 2 * 20 + 12 <= 53.
+CHUNK = 2048
+PIECE_BITS = 20
+MOMENT_PIECES = 6
 
 
 @dataclass
@@ -141,16 +145,50 @@ def _moment_size(k: int, d: int) -> int:
     return k * (1 + d + d * (d + 1) // 2)
 
 
-def _moment_pieces(folds: Folds, r: np.ndarray, xc: np.ndarray, reach: np.ndarray) -> np.ndarray:
-    """Exact pieces of W_j, S_j and the upper triangle of Q_j for weights ``r`` (0 to 1) and centred rows ``xc``."""
-    d, out = xc.shape[1], []
-    for j in range(r.shape[1]):
-        w = r[:, j]
-        out.append(folds.sums(w, 1.0))
-        wx = [w * xc[:, a] for a in range(d)]
-        out += [folds.sums(wx[a], reach[a]) for a in range(d)]
-        out += [folds.sums(wx[a] * xc[:, b], reach[a] * reach[b] * 1.01) for a, b in _pairs(d)]
-    return np.stack(out, axis=1)
+def _cut(values: np.ndarray, bound: float, out: np.ndarray) -> None:
+    """``values`` (overwritten), of magnitude ``bound`` at most, as ``out``'s three pieces of ``PIECE_BITS`` bits each.
+
+    Adding and taking away 1.5 * 2^52 times a grid rounds to a multiple of it.
+    """
+    e = min(max(math.frexp(bound)[1], -800), 900)
+    for i, piece in enumerate(out):
+        shift = 1.5 * 2.0 ** (52 + e - PIECE_BITS * (i + 1))
+        np.add(values, shift, out=piece)
+        piece -= shift
+        values -= piece
+
+
+def _moment_pieces(r: np.ndarray, xc: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Exact pieces of W_j, S_j and the upper triangle of Q_j for weights ``r`` (0 to 1) and centred rows ``xc``.
+
+    Weights and products of features are cut into pieces so short that a matrix
+    product over ``CHUNK`` rows, whatever its order, adds whole multiples of one
+    grid below 2^53 of them. Its sums are cut once more, so that up to 2^26
+    chunks add up exactly: ``(MOMENT_PIECES, size)``, coarsest first.
+    """
+    (n, d), k = xc.shape, r.shape[1]
+    pairs = _pairs(d)
+    bounds = np.array([1.0, *reach, *[reach[a] * reach[b] * 1.01 for a, b in pairs]])
+    unit = np.array([2.0 ** (min(max(math.frexp(b)[1], -800), 900) - 2 * PIECE_BITS) for b in bounds])
+    out = np.zeros((MOMENT_PIECES, k, len(bounds)))
+    for at in range(0, n, CHUNK):
+        x = [np.ascontiguousarray(xc[at:at + CHUNK, a]) for a in range(d)]
+        p, w = np.empty((3, len(bounds), len(x[0]))), np.empty((3, k, len(x[0])))
+        p[:, 0] = np.array([1.0, 0.0, 0.0])[:, None]
+        for i, b in enumerate(bounds[1:1 + d], 1):
+            _cut(x[i - 1].copy(), b, p[:, i])
+        for i, (a, b) in enumerate(pairs, 1 + d):
+            _cut(x[a] * x[b], bounds[i], p[:, i])
+        for j in range(k):
+            _cut(r[at:at + CHUNK, j].copy(), 1.0, w[:, j])
+        by = [w[:3 - i].reshape(-1, w.shape[2]) @ p[i].T for i in range(3)]
+        levels = by[0][:k], by[0][k:2 * k] + by[1][:k], by[0][2 * k:] + by[1][k:] + by[2]
+        for i, level in enumerate(levels):
+            coarse = unit * 2.0 ** (26 - PIECE_BITS * i)
+            high = np.rint(level / coarse) * coarse
+            out[2 * i] += high
+            out[2 * i + 1] += level - high
+    return out.reshape(MOMENT_PIECES, -1)
 
 
 def _moments(v: np.ndarray, k: int, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,12 +205,12 @@ def weighted_moments(df: DataFrame, cols, weights: list[str], center: np.ndarray
     d, k = len(cols), len(weights)
     data = df.selectExpr(*[q(c) for c in cols], *[f"{w} as _w{j}" for j, w in enumerate(weights)])
     size = extent(data, cols)
-    folds, reach = Folds(size.rows), (size.reach + np.abs(center)) * 1.01
+    reach = (size.reach + np.abs(center)) * 1.01
 
     def kernel(x):
-        return _moment_pieces(folds, x[:, d:], x[:, :d] - center, reach)
+        return _moment_pieces(x[:, d:], x[:, :d] - center, reach)
 
-    return _moments(Folds.joined(summed(data, data.columns, kernel, _moment_size(k, d), folds)), k, d)
+    return _moments(Folds.joined(summed(data, data.columns, kernel, _moment_size(k, d), MOMENT_PIECES)), k, d)
 
 
 def moments_to_params(W, S, Q, center) -> tuple[np.ndarray, np.ndarray]:
@@ -319,7 +357,7 @@ def _np_resp(x: np.ndarray, gs: list[Gaussian], phi: np.ndarray, underflow: str)
         total = total + v
     some = total > 0
     safe = np.where(some, total, 1.0)
-    r = np.stack([np.where(some, v / safe, p) for v, p in zip(e, phi)], axis=1)
+    r = np.array([np.where(some, v / safe, p) for v, p in zip(e, phi)]).T
     if underflow == "uniform":
         r[np.maximum.reduce(ld) < LOG_UNDERFLOW] = phi
     return r
@@ -331,18 +369,18 @@ def batched_weights(data: DataFrame, cols, model: Mixture, size: Extent, underfl
     folds = Folds(size.rows)
 
     def kernel(x):
-        return folds.sums(_np_resp(x, gs, phi, underflow), 1.0)
+        return np.stack([folds.sums(w, 1.0) for w in _np_resp(x, gs, phi, underflow).T], axis=1)
 
-    return Folds.joined(summed(data, cols, kernel, model.k, folds))
+    return Folds.joined(summed(data, cols, kernel, model.k, folds.count))
 
 
 def batched_moments(data: DataFrame, cols, model: Mixture, center: np.ndarray, size: Extent, underflow: str = "exact") -> tuple:
     """One scan: (W, S, Q) of the responsibilities under ``model``, about ``center``."""
     d, k = len(cols), model.k
     gs, phi = [prepare(model.mu[j], model.sigma[j]) for j in range(k)], np.asarray(model.phi, float)
-    folds, reach = Folds(size.rows), (size.reach + np.abs(center)) * 1.01
+    reach = (size.reach + np.abs(center)) * 1.01
 
     def kernel(x):
-        return _moment_pieces(folds, _np_resp(x, gs, phi, underflow), x - center, reach)
+        return _moment_pieces(_np_resp(x, gs, phi, underflow), x - center, reach)
 
-    return _moments(Folds.joined(summed(data, cols, kernel, _moment_size(k, d), folds)), k, d)
+    return _moments(Folds.joined(summed(data, cols, kernel, _moment_size(k, d), MOMENT_PIECES)), k, d)

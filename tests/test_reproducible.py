@@ -108,3 +108,53 @@ def test_the_least_rows(spark):
     assert m.converged and m.centroids.tolist() == [[1.0, 2.0]] and m.wssse == 0.0
     empty = df.limit(0)
     assert SC.extent(empty, ["a", "b"]).rows == 0 and SC.column_sums(empty, {"a": "a"}, {"a": 0.0}, 0) == {"a": 0.0}
+
+
+def test_rounds_of_few_near_rows_scan_a_table_of_them(spark, monkeypatch):
+    x = rows(4000, 5)
+    df = dealt(spark, x, 4, 1)
+    tables, seen = [], []
+    make, scan = SW.near_rows, SW.round_scan
+    monkeypatch.setattr(SW, "near_rows", lambda blocks, models: tables.append(len(models)) or make(blocks, models))
+    monkeypatch.setattr(SW, "round_scan", lambda *a: seen.append((set(a[2]) - set(a[3]), a)) or scan(*a))
+    z = ST.scaled_features(df, COLS)
+    pruned = SW.k_sweep(z, COLS, (2, 6, 8))
+    assert tables and any(not full for full, _ in seen)  # rounds that read no block of all rows
+    monkeypatch.setattr(SW, "FIRST_ROUNDS", 10 ** 9)
+    plain = SW.k_sweep(z, COLS, (2, 6, 8))
+    assert all(same_model(pruned[k], plain[k]) for k in plain)
+
+
+def test_moments_are_exact_in_any_order_and_chunking(monkeypatch):
+    rng = np.random.default_rng(3)
+    x, r = rng.normal(size=(5000, 3)) * [1.0, 1e3, 1e-5], rng.random((5000, 2))
+    reach = np.abs(x).max(axis=0)
+    results = set()
+    for chunk in (2048, 100, 1500):
+        monkeypatch.setattr(X, "CHUNK", chunk)
+        order = rng.permutation(len(x))
+        parts = [X._moment_pieces(r[p], x[p], reach) for p in np.array_split(order, 7)]
+        results.add(SC.Folds.joined(sum(parts)).tobytes())
+    assert len(results) == 1
+    W, S, Q = X._moments(np.frombuffer(results.pop()), 2, 3)
+    for j in range(2):
+        assert W[j] == pytest.approx(math.fsum(r[:, j]), rel=1e-14)
+        for a in range(3):
+            assert S[j, a] == pytest.approx(math.fsum(r[:, j] * x[:, a]), abs=1e-13 * len(x) * reach[a])
+            for b in range(3):
+                assert Q[j, a, b] == pytest.approx(math.fsum(r[:, j] * x[:, a] * x[:, b]), rel=1e-12, abs=1e-13 * len(x) * reach[a] * reach[b])
+
+
+def test_a_job_per_scan_adds_many_tasks_and_two_tables(spark, monkeypatch):
+    df = spark.range(1000).selectExpr("cast(id as double) as a").repartition(12)
+    folds = SC.Folds(1000)
+
+    def kernel(x, *more):
+        return folds.sums(x[:, 0], 1000.0)[:, None]
+
+    blocks = SC.blocked(df, ["a"])
+    for direct in (32, 4):
+        monkeypatch.setattr(SC, "DIRECT_TASKS", direct)
+        assert SC.Folds.joined(SC.summed(df, ["a"], kernel, 1, folds.count))[0] == 499500.0
+        assert SC.Folds.joined(SC.summed([blocks, blocks], (), kernel, 1, folds.count))[0] == 999000.0
+        assert not SC.summed(df.limit(0), ["a"], kernel, 1, folds.count).any()

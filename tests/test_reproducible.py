@@ -158,3 +158,34 @@ def test_a_job_per_scan_adds_many_tasks_and_two_tables(spark, monkeypatch):
         assert SC.Folds.joined(SC.summed(df, ["a"], kernel, 1, folds.count))[0] == 499500.0
         assert SC.Folds.joined(SC.summed([blocks, blocks], (), kernel, 1, folds.count))[0] == 999000.0
         assert not SC.summed(df.limit(0), ["a"], kernel, 1, folds.count).any()
+
+
+def test_a_scan_of_all_rows_adds_only_the_changed_ones_to_the_sums_before(spark):
+    cols, x = ["a", "b", "c"], rows(3000, 7)
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "trip_id long, a double, b double, c double").repartition(5)
+    data, size = K.loop_input(df, cols)
+    try:
+        n, values = data.first()  # blocks are kept as Python bytes, not as rows
+        assert type(values) is bytes and len(values) == n * 3 * 8
+        prev = x[:4].copy()
+        first, *_ = SW.round_scan(data, size, {0: (prev, None)}, {})[0]
+        cur = K.update_centroids(SW._stats(first, 4, 3), prev)
+        whole = SW.round_scan(data, size, {0: (cur, prev)}, {})[0]
+        shifted = SW.round_scan(data, size, {0: (cur, prev)}, {}, None, {0: first})[0]
+        assert (whole[0] == shifted[0]).all() and whole[1:] == shifted[1:] and 0 < whole[1] < len(x)
+        change = SW.round_scan(data, size, {0: (cur, prev)}, {}, None, {0: np.zeros_like(first)})[0][0]
+        assert (change + first == whole[0]).all() and (change != whole[0]).any()
+        same = SW.round_scan(data, size, {0: (cur, cur)}, {}, None, {0: whole[0]})[0]
+        assert same[1] == 0 and (same[0] == whole[0]).all()
+    finally:
+        data.unpersist()
+
+
+def test_several_models_some_in_a_table_keep_the_bits_of_full_sums(spark, monkeypatch):
+    x = np.round(rows(4000, 11) / [1.0, 1e3, 1e-5] * 8) / 8
+    df = dealt(spark, x, 6, 2)
+    scan = SW.round_scan
+    ours = SW.k_sweep(df, COLS, (1, 3, 6))
+    monkeypatch.setattr(SW, "round_scan", lambda *a: scan(*a[:5]))  # all sums anew in every scan of all rows
+    plain = SW.k_sweep(df, COLS, (1, 3, 6))
+    assert all(same_model(ours[k], plain[k]) for k in plain)

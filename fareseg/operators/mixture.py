@@ -20,11 +20,11 @@ import math
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark import RDD
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fareseg.functions.vector import first_argmax, lit, q, sum_sql
-from fareseg.operators.scan import Extent, Folds, column_sums, extent, summed
+from fareseg.operators.scan import Extent, Folds, column_sums, extent, matrix, summed
 
 LOG_2PI = math.log(2.0 * math.pi)
 # Eigenvalues below 1e6 * machine epsilon * largest |eigenvalue|
@@ -34,7 +34,7 @@ EIG_CUTOFF_FACTOR = 1e6
 # standard deviation at the eigenvalue cut-off along a dropped direction.
 SUPPORT_FACTOR = 10.0
 LOG_UNDERFLOW = math.log(np.nextafter(0.0, 1.0))
-#: Rows of one matrix product of the moments, and bits of the pieces it multiplies: 2 * 20 + 12 <= 53.
+#: Rows of one matrix product, and bits of the pieces that those of the moments multiply: 2 * 20 + 12 <= 53.
 CHUNK = 2048
 PIECE_BITS = 20
 MOMENT_PIECES = 6
@@ -145,50 +145,64 @@ def _moment_size(k: int, d: int) -> int:
     return k * (1 + d + d * (d + 1) // 2)
 
 
-def _cut(values: np.ndarray, bound: float, out: np.ndarray) -> None:
-    """``values`` (overwritten), of magnitude ``bound`` at most, as ``out``'s three pieces of ``PIECE_BITS`` bits each.
+def _cut(values: np.ndarray, e: int, out: np.ndarray) -> None:
+    """``values`` (overwritten), of magnitude 2^e at most, as ``out``'s three pieces of ``PIECE_BITS`` bits each.
 
     Adding and taking away 1.5 * 2^52 times a grid rounds to a multiple of it.
     """
-    e = min(max(math.frexp(bound)[1], -800), 900)
     for i, piece in enumerate(out):
-        shift = 1.5 * 2.0 ** (52 + e - PIECE_BITS * (i + 1))
+        shift = math.ldexp(1.5, 52 + e - PIECE_BITS * (i + 1))
         np.add(values, shift, out=piece)
         piece -= shift
-        values -= piece
+        if i + 1 < len(out):
+            values -= piece
 
 
-def _moment_pieces(r: np.ndarray, xc: np.ndarray, reach: np.ndarray) -> np.ndarray:
-    """Exact pieces of W_j, S_j and the upper triangle of Q_j for weights ``r`` (0 to 1) and centred rows ``xc``.
+class _MomentSums:
+    """Exact pieces of W_j, S_j and the upper triangle of Q_j for weights (0 to 1) and centred rows, a chunk at a time.
 
-    Weights and products of features are cut into pieces so short that a matrix
+    Features are divided by powers of two above their reach, so that one grid fits them and their products.
+    Weights and products are cut into pieces so short that a matrix
     product over ``CHUNK`` rows, whatever its order, adds whole multiples of one
     grid below 2^53 of them. Its sums are cut once more, so that up to 2^26
-    chunks add up exactly: ``(MOMENT_PIECES, size)``, coarsest first.
+    chunks add up exactly: :meth:`pieces` are ``(MOMENT_PIECES, size)``, coarsest first.
     """
-    (n, d), k = xc.shape, r.shape[1]
-    pairs = _pairs(d)
-    bounds = np.array([1.0, *reach, *[reach[a] * reach[b] * 1.01 for a, b in pairs]])
-    unit = np.array([2.0 ** (min(max(math.frexp(b)[1], -800), 900) - 2 * PIECE_BITS) for b in bounds])
-    out = np.zeros((MOMENT_PIECES, k, len(bounds)))
-    for at in range(0, n, CHUNK):
-        x = [np.ascontiguousarray(xc[at:at + CHUNK, a]) for a in range(d)]
-        p, w = np.empty((3, len(bounds), len(x[0]))), np.empty((3, k, len(x[0])))
+
+    def __init__(self, k: int, reach: np.ndarray) -> None:
+        e, pairs = np.clip(np.frexp(reach)[1], -400, 450), _pairs(len(reach))
+        self.down = np.ldexp(1.0, -e)[:, None]
+        self.up = np.ldexp(1.0, np.array([0, *e, *[e[a] + e[b] for a, b in pairs]]))
+        self.total = np.zeros((MOMENT_PIECES, k, len(self.up)))
+
+    def add(self, r: np.ndarray, xc: np.ndarray) -> None:
+        """``r``: ``(k, rows)``, ``xc``: ``(d, rows)``, of ``CHUNK`` rows at most."""
+        (k, n), d, at, columns = r.shape, len(xc), len(xc), len(self.up)
+        v, p, w = np.empty((columns - 1, n)), np.empty((3, columns, n)), np.empty((3, k, n))
+        np.multiply(xc, self.down, out=v[:d])
+        for a in range(d):
+            np.multiply(v[a], v[a:d], out=v[at:at + d - a])
+            at += d - a
         p[:, 0] = np.array([1.0, 0.0, 0.0])[:, None]
-        for i, b in enumerate(bounds[1:1 + d], 1):
-            _cut(x[i - 1].copy(), b, p[:, i])
-        for i, (a, b) in enumerate(pairs, 1 + d):
-            _cut(x[a] * x[b], bounds[i], p[:, i])
-        for j in range(k):
-            _cut(r[at:at + CHUNK, j].copy(), 1.0, w[:, j])
-        by = [w[:3 - i].reshape(-1, w.shape[2]) @ p[i].T for i in range(3)]
+        _cut(v, 0, p[:, 1:])
+        _cut(r.copy(), 1, w)
+        by = [w[:3 - i].reshape(-1, n) @ p[i].T for i in range(3)]
         levels = by[0][:k], by[0][k:2 * k] + by[1][:k], by[0][2 * k:] + by[1][k:] + by[2]
         for i, level in enumerate(levels):
-            coarse = unit * 2.0 ** (26 - PIECE_BITS * i)
+            coarse = 2.0 ** (26 - PIECE_BITS * (i + 2))
             high = np.rint(level / coarse) * coarse
-            out[2 * i] += high
-            out[2 * i + 1] += level - high
-    return out.reshape(MOMENT_PIECES, -1)
+            self.total[2 * i] += high
+            self.total[2 * i + 1] += level - high
+
+    def pieces(self) -> np.ndarray:
+        return (self.total * self.up).reshape(MOMENT_PIECES, -1)
+
+
+def _moment_pieces(r: np.ndarray, xc: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """Summed pieces (see :class:`_MomentSums`) of weights ``(rows, k)`` and centred rows ``(rows, d)``."""
+    sums = _MomentSums(r.shape[1], reach)
+    for at in range(0, len(xc), CHUNK):
+        sums.add(np.ascontiguousarray(r[at:at + CHUNK].T), np.ascontiguousarray(xc[at:at + CHUNK].T))
+    return sums.pieces()
 
 
 def _moments(v: np.ndarray, k: int, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -199,13 +213,19 @@ def _moments(v: np.ndarray, k: int, d: int) -> tuple[np.ndarray, np.ndarray, np.
     return m[:, 0].copy(), m[:, 1:1 + d].copy(), Q
 
 
+def centred_reach(data: DataFrame | RDD, cols, center: np.ndarray) -> np.ndarray:
+    """Each column's largest distance from ``center``, of a table (null or non-finite values are an error) or of blocks."""
+    if isinstance(data, DataFrame):
+        return extent(data.selectExpr(*[f"cast({q(c)} as double) - {lit(v)} as {q(c)}" for c, v in zip(cols, center)]), cols).reach
+    return data.map(lambda b: np.abs(matrix(*b) - center).max(axis=0)).fold(np.zeros(len(center)), np.maximum)
+
+
 def weighted_moments(df: DataFrame, cols, weights: list[str], center: np.ndarray) -> tuple:
     """One scan: W_j, S_j (d), Q_j (d x d) of the weights (SQL expressions, 0 to 1)
     over features centred at ``center``. Returns numpy arrays."""
     d, k = len(cols), len(weights)
     data = df.selectExpr(*[q(c) for c in cols], *[f"{w} as _w{j}" for j, w in enumerate(weights)])
-    size = extent(data, cols)
-    reach = (size.reach + np.abs(center)) * 1.01
+    reach = centred_reach(data, cols, center)
 
     def kernel(x):
         return _moment_pieces(x[:, d:], x[:, :d] - center, reach)
@@ -280,6 +300,7 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
         if center is None:
             total = column_sums(df, {c: q(c) for c in cols}, dict(zip(cols, size.reach)), size.rows)
             center = np.array([total[c] / size.rows for c in cols], float)
+        reach = centred_reach(data, cols, center)
         lift = ridge * np.eye(len(cols))
         model = Mixture(np.array(init.phi, float), np.array(init.mu, float), np.array(init.sigma, float) + lift)
         deltas: list[float] = []
@@ -287,13 +308,13 @@ def gmm_fit(df: DataFrame, cols, init: Mixture, tol: float = 1e-4, max_iter: int
         rounds = 0
         while True:
             if em_schedule == "two_phase":
-                W0 = batched_weights(data, cols, model, size, underflow)
+                W0 = batched_weights(data, cols, model, center, size, underflow)
                 new_phi = W0 / W0.sum()
                 delta = float(np.sum(np.abs(new_phi - model.phi)))
                 model = Mixture(new_phi, model.mu, model.sigma)
-                W, S, Q = batched_moments(data, cols, model, center, size, underflow)
+                W, S, Q = batched_moments(data, cols, model, center, reach, underflow)
             elif em_schedule == "single":
-                W, S, Q = batched_moments(data, cols, model, center, size, underflow)
+                W, S, Q = batched_moments(data, cols, model, center, reach, underflow)
                 new_phi = W / W.sum()
                 delta = float(np.sum(np.abs(new_phi - model.phi)))
             else:
@@ -324,63 +345,87 @@ def mixture_frame(spark, model: Mixture, cols) -> DataFrame:
 
 
 # -- Arrow-batched E-step + moments for the EM loop ----------------------------
-def _projected(xc: list[np.ndarray], axes: np.ndarray) -> list[np.ndarray]:
-    """Centred columns on each axis, term by term: a matrix product's bits would depend on the batch."""
-    out = []
-    for i in range(axes.shape[1]):
-        z = xc[0] * axes[0, i]
-        for a in range(1, len(xc)):
-            z = z + xc[a] * axes[a, i]
-        out.append(z)
-    return out
-
-
-def _np_resp(x: np.ndarray, gs: list[Gaussian], phi: np.ndarray, underflow: str) -> np.ndarray:
-    """``(rows, k)`` responsibilities; a row's depend on nothing but the row and the model."""
-    ld = []
-    for g in gs:
-        xc = [np.ascontiguousarray(x[:, a]) - g.mu[a] for a in range(x.shape[1])]
-        maha = np.zeros(len(x))
-        for z in _projected(xc, g.proj):
-            maha = maha + z * z
-        dens = -0.5 * ((g.rank * LOG_2PI + g.log_pdet) + maha)
-        for z in _projected(xc, g.null):
-            dens[np.abs(z) > g.reach] = -np.inf
-        ld.append(dens)
-    with np.errstate(divide="ignore"):
-        lw = [v + p for v, p in zip(ld, np.log(phi))]
-    m = np.maximum.reduce(lw)
-    m = np.where(np.isfinite(m), m, 0.0)
-    e = [np.exp(v - m) for v in lw]
-    total = e[0]
-    for v in e[1:]:
-        total = total + v
-    some = total > 0
-    safe = np.where(some, total, 1.0)
-    r = np.array([np.where(some, v / safe, p) for v, p in zip(e, phi)]).T
-    if underflow == "uniform":
-        r[np.maximum.reduce(ld) < LOG_UNDERFLOW] = phi
-    return r
+class _EStep:
+    """Responsibilities of a batch's rows, ``CHUNK`` at a time.
 
+    A row's projections on the axes of all components are one matrix product,
+    always of ``CHUNK`` columns (the last chunk is filled up with the centre), so that
+    a row's bits depend on nothing but the row and the model.
+    """
 
-def batched_weights(data: DataFrame, cols, model: Mixture, size: Extent, underflow: str = "exact") -> np.ndarray:
+    def __init__(self, model: Mixture, center: np.ndarray, underflow: str) -> None:
+        gs = [prepare(model.mu[j], model.sigma[j]) for j in range(model.k)]
+        axes = [np.concatenate([g.proj, g.null], axis=1) for g in gs]
+        offsets = [(center - g.mu) @ a for g, a in zip(gs, axes)]
+        self.axes = np.column_stack([np.concatenate([a.T for a in axes]), np.concatenate(offsets)])
+        self.center, self.underflow = center, underflow
+        self.singular = [(j, g.rank, g.reach) for j, g in enumerate(gs) if g.null.shape[1]]
+        self.const = np.array([g.rank * LOG_2PI + g.log_pdet for g in gs])[:, None]
+        self.phi = np.asarray(model.phi, float)[:, None]
+
+    def chunks(self, x: np.ndarray):
+        """``(k, rows)`` responsibilities and ``(d, rows)`` centred values of each chunk."""
+        d = x.shape[1]
+        xc = np.empty((d + 1, CHUNK))
+        xc[d] = 1.0
+        for at in range(0, len(x), CHUNK):
+            n = min(CHUNK, len(x) - at)
+            xc[:d, n:] = 0.0
+            np.subtract(x[at:at + n].T, self.center[:, None], out=xc[:d, :n])
+            yield self._of(xc)[:, :n], xc[:d, :n]
+
+    def _of(self, xc: np.ndarray) -> np.ndarray:
+        z = (self.axes @ xc).reshape(len(self.phi), -1, xc.shape[1])
+        off = [(j, (np.abs(z[j, rank:]) > reach).any(axis=0)) for j, rank, reach in self.singular]
+        np.multiply(z, z, out=z)
+        for j, rank, _ in self.singular:
+            z[j, rank:] = 0.0
+        ld = z[:, 0]
+        for i in range(1, z.shape[1]):
+            ld += z[:, i]
+        ld += self.const
+        ld *= -0.5
+        for j, rows in off:
+            ld[j, rows] = -np.inf
+        with np.errstate(divide="ignore"):
+            lw = ld + np.log(self.phi)
+        top = np.maximum.reduce(lw, axis=0)
+        apart = not np.isfinite(top).all()
+        if apart:
+            top = np.where(np.isfinite(top), top, 0.0)
+        lw -= top
+        r = np.exp(lw, out=lw)
+        total = r[0].copy()
+        for e in r[1:]:
+            total += e
+        if apart:  # a row off every support gets the weights themselves
+            some = total > 0
+            r = np.where(some, r / np.where(some, total, 1.0), self.phi)
+        else:
+            r /= total
+        if self.underflow == "uniform":
+            r = np.where(np.maximum.reduce(ld, axis=0) < LOG_UNDERFLOW, self.phi, r)
+        return r
+
+
+def batched_weights(data: DataFrame | RDD, cols, model: Mixture, center: np.ndarray, size: Extent, underflow: str = "exact") -> np.ndarray:
     """One scan: each component's summed responsibilities, without the moments."""
-    gs, phi = [prepare(model.mu[j], model.sigma[j]) for j in range(model.k)], np.asarray(model.phi, float)
-    folds = Folds(size.rows)
+    step, folds = _EStep(model, center, underflow), Folds(size.rows)
 
     def kernel(x):
-        return np.stack([folds.sums(w, 1.0) for w in _np_resp(x, gs, phi, underflow).T], axis=1)
+        return sum((folds.split(r, 1.0).sum(axis=2) for r, _ in step.chunks(x)), np.zeros((folds.count, len(step.phi))))
 
     return Folds.joined(summed(data, cols, kernel, model.k, folds.count))
 
 
-def batched_moments(data: DataFrame, cols, model: Mixture, center: np.ndarray, size: Extent, underflow: str = "exact") -> tuple:
-    """One scan: (W, S, Q) of the responsibilities under ``model``, about ``center``."""
-    d, k = len(cols), model.k
-    gs, phi = [prepare(model.mu[j], model.sigma[j]) for j in range(k)], np.asarray(model.phi, float)
-    reach = (size.reach + np.abs(center)) * 1.01
+def batched_moments(data: DataFrame | RDD, cols, model: Mixture, center: np.ndarray, reach: np.ndarray, underflow: str = "exact") -> tuple:
+    """One scan: (W, S, Q) of the responsibilities under ``model``, about ``center``; ``reach``: that of :func:`centred_reach`."""
+    d, k, step = len(cols), model.k, _EStep(model, center, underflow)
 
     def kernel(x):
-        return _moment_pieces(_np_resp(x, gs, phi, underflow), x - center, reach)
+        sums = _MomentSums(k, reach)
+        for r, xc in step.chunks(x):
+            sums.add(r, xc)
+        return sums.pieces()
 
     return _moments(Folds.joined(summed(data, cols, kernel, _moment_size(k, d), MOMENT_PIECES)), k, d)

@@ -152,3 +152,65 @@ def test_em_with_as_written_covariance_and_ridge(spark):
         assert np.allclose(got.phi, m.phi, atol=1e-9) and np.allclose(got.sigma, m.sigma, atol=1e-8)
     with pytest.raises(ValueError):
         X.gmm_fit(frame(spark, x), COLS, m0, covariance="other")
+
+
+def test_a_rows_responsibilities_depend_on_nothing_but_the_row():
+    x = np.random.default_rng(0).permutation(data(6000))
+    m, center = start(data()), np.array([0.5, -1.0, 0.25])
+
+    def resps(rows, model=m, underflow="exact"):
+        return np.concatenate([r.T.copy() for r, _ in X._EStep(model, center, underflow).chunks(np.asfortranarray(rows))])
+
+    whole = resps(x)
+    assert np.allclose(whole, resp(x, m), atol=1e-12)
+    for at in (1, 7, 500, 2047, 2048, 5999):
+        assert (resps(x[at:]) == whole[at:]).all() and (resps(x[:at]) == whole[:at]).all()
+    flat = x.copy()
+    flat[:, 2] = 1.0  # a constant feature: rows off it lie off every support
+    single = X.Mixture(m.phi, *map(np.array, zip(*[(flat[i::3].mean(0), np.cov(flat[i::3].T, bias=True)) for i in range(3)])))
+    odd = np.vstack([flat[:5], flat[:5] + [0.0, 0.0, 9.0]])
+    r = resps(odd, single)
+    assert np.allclose(r.sum(axis=1), 1.0) and (r[5:] == m.phi).all() and not (r[:5] == m.phi).all()
+    assert (resps(x[:3] + 1e4, m, "uniform") == m.phi).all()
+
+
+def test_a_scan_projects_all_components_at_once():
+    x, m = np.asfortranarray(data(3000)), start(data())
+    products = []
+
+    class Axes(np.ndarray):
+        def __matmul__(self, other):
+            products.append(other.shape[1])
+            return np.asarray(self) @ other
+
+    step = X._EStep(m, np.zeros(3), "exact")
+    step.axes = step.axes.view(Axes)
+    assert sum(r.shape[1] for r, _ in step.chunks(x)) == len(x)
+    assert products == [X.CHUNK] * math.ceil(len(x) / X.CHUNK)
+
+
+def test_moments_far_from_the_origin_keep_their_bits():
+    """Pieces are cut below the centred features' reach, not below that of the features."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4000, 2)) * 1e-4
+    r = rng.random((4000, 2))
+    W, S, Q = X._moments(X.Folds.joined(X._moment_pieces(r, x, np.abs(x).max(axis=0))), 2, 2)
+    for j in range(2):
+        for a in range(2):
+            assert S[j, a] == pytest.approx(math.fsum(r[:, j] * x[:, a]), rel=1e-13, abs=1e-18)
+            for b in range(2):
+                assert Q[j, a, b] == pytest.approx(math.fsum(r[:, j] * x[:, a] * x[:, b]), rel=1e-13, abs=1e-20)
+
+
+def test_reach_is_that_of_centred_rows(spark):
+    from fareseg.operators.kmeans import loop_input
+
+    x, center = data(300) - 74.0, np.full(3, -74.0)
+    df = frame(spark, x)
+    want = np.abs(x - center).max(axis=0)
+    assert (X.centred_reach(df, COLS, center) == want).all()
+    blocks, _ = loop_input(df, COLS)
+    assert (X.centred_reach(blocks, COLS, center) == want).all()
+    blocks.unpersist()
+    empty, _ = loop_input(df.limit(0), COLS)
+    assert not X.centred_reach(empty, COLS, center).any()

@@ -189,3 +189,62 @@ def test_several_models_some_in_a_table_keep_the_bits_of_full_sums(spark, monkey
     monkeypatch.setattr(SW, "round_scan", lambda *a: scan(*a[:5]))  # all sums anew in every scan of all rows
     plain = SW.k_sweep(df, COLS, (1, 3, 6))
     assert all(same_model(ours[k], plain[k]) for k in plain)
+
+
+def test_the_sieve_finds_the_nearest_and_computes_few_distances(monkeypatch):
+    rng, exact, count = np.random.default_rng(5), SW._nearest, [0]
+    monkeypatch.setattr(SW, "_nearest", lambda x, c: count.__setitem__(0, count[0] + len(x)) or exact(x, c))
+    x = rows(20_000, 13) / [1.0, 1e3, 1e-5]
+    grid = np.round(x * 4) / 4  # many ties
+    for at, few in ((x, 0.02), (grid, 1.0), (x + 1e5, 0.02), (x * 1e12, 0.02), (x * 1e-18, 1.0), (x * 1e140, 1.0), (x[:1], 1.0), (x[:0], 1.0), (x * 0, 1.0)):
+        at = np.asfortranarray(at)
+        for k in (1, 2, 9, 20, 300):
+            cents = (at if len(at) else x)[rng.integers(0, len(at) or 9, k)]
+            count[0] = 0
+            lab, lead = SW._Sieve(at, SW._middle([cents])).assigned(cents)
+            assert k > 256 or count[0] <= few * len(at)
+            want, near, second = exact(at, cents)
+            assert (lab == want).all() and (lead <= SW._leads(near, second)).all()
+            assert (SW._own_sq_dist(at, cents, lab) == near).all()
+
+
+def test_a_scan_of_all_rows_computes_few_rows_exactly(monkeypatch):
+    x = np.asfortranarray(rows(20_000, 17) / [1.0, 1e3, 1e-5])
+    exact, count = SW._nearest, [0]
+    monkeypatch.setattr(SW, "_nearest", lambda x, c: count.__setitem__(0, count[0] + len(x)) or exact(x, c))
+    monkeypatch.setattr(SW, "summed", lambda data, cols, kernel, size, folds: kernel(x))
+    size = SC.Extent(len(x), np.abs(x).max(axis=0))
+    cur = {k: x[:k] + 1e-3 for k in (2, 5, 9)}
+    found = SW.round_scan([], size, {k: (c, x[:k]) for k, c in cur.items()}, {})
+    assert count[0] < 0.05 * len(x) * len(cur)
+    for k, c in cur.items():
+        now, was = exact(x, c)[0], exact(x, x[:k])[0]
+        assert found[k][1] == (now != was).sum() and (SW._stats(found[k][0], k, 3).n == np.bincount(now, minlength=k)).all()
+
+
+def test_tables_of_models_whose_allowance_lasts_stay(spark, monkeypatch):
+    z = ST.scaled_features(dealt(spark, rows(4000, 5), 4, 1), COLS)
+    made, seen, make, scan = [], [], SW.near_rows, SW.round_scan
+    monkeypatch.setattr(SW, "near_rows", lambda blocks, models: made.append([m[2] for m in models]) or make(blocks, models))
+    monkeypatch.setattr(SW, "round_scan", lambda *a: seen.append((set(a[3]), len(a[4]))) or scan(*a))
+    several = SW.k_sweep(z, COLS, (2, 4, 6, 8))
+    assert max(tables for _, tables in seen) > 1  # a model got a new table beside one that stays
+    assert all(tables <= SW.MOST_TABLES for _, tables in seen)
+    assert len({n for ms in made for n in ms}) == sum(map(len, made))
+    monkeypatch.setattr(SW, "MOST_TABLES", 1)
+    one = SW.k_sweep(z, COLS, (2, 4, 6, 8))
+    monkeypatch.setattr(SW, "FIRST_ROUNDS", 10 ** 9)
+    plain = SW.k_sweep(z, COLS, (2, 4, 6, 8))
+    assert all(same_model(several[k], plain[k]) and same_model(one[k], plain[k]) for k in plain)
+
+
+def test_blocks_hold_many_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        df = spark.range(0, 1000, 1, 1).selectExpr("cast(id as double) as a", "cast(-id as double) as b")
+        blocks = SC.blocked(df, ["a", "b"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [b["_n"] for b in blocks] == [1000]  # ten batches, one block
+    x = SC.matrix(1000, bytes(blocks[0]["_x"]))
+    assert x[:, 0].tolist() == list(range(1000)) and (x[:, 1] == -x[:, 0]).all()

@@ -248,3 +248,37 @@ def test_blocks_hold_many_batches(spark):
     assert [b["_n"] for b in blocks] == [1000]  # ten batches, one block
     x = SC.matrix(1000, bytes(blocks[0]["_x"]))
     assert x[:, 0].tolist() == list(range(1000)) and (x[:, 1] == -x[:, 0]).all()
+
+
+def test_models_whose_table_goes_get_a_new_one(monkeypatch):
+    """A model that moved to a new table isn't taken from an old one that stays; the loop alone, without Spark."""
+    class Blocks(list):
+        def mapPartitions(self, f):
+            return Blocks(f(iter(self)))
+
+        def persist(self, level):
+            return self
+
+        def unpersist(self):
+            self.clear()
+
+    def summed(data, cols, kernel, size, count):
+        parts = [kernel(SC.matrix(n, b), *more) for t in (data if type(data) is list else [data]) for n, b, *more in t]
+        return sum(parts, np.zeros((count, size)))
+
+    x = np.random.default_rng(0).uniform(-1, 1, (6000, 7))
+    x[:, 0] = np.round(3 * x[:, 0]) / 3
+    monkeypatch.setattr(SW, "summed", summed)
+    monkeypatch.setattr(SW, "loop_input", lambda df, cols: (Blocks((2000, x[i:i + 2000].tobytes("F")) for i in range(0, 6000, 2000)),
+                                                            SC.Extent(6000, np.abs(x).max(axis=0))))
+
+    def fits():
+        return SW.kmeans_many(None, range(7), {k: x[:k] for k in range(2, 21)})
+
+    got = []
+    for most in (1, 2, 3, 4, 6):
+        monkeypatch.setattr(SW, "MOST_TABLES", most)
+        got.append(fits())
+    monkeypatch.setattr(SW, "FIRST_ROUNDS", 10 ** 9)
+    plain = fits()
+    assert [k for models in got for k in plain if not same_model(models[k], plain[k])] == []
